@@ -36,6 +36,11 @@ def score_unblocked(df: DataFrame, scorer: Callable[[DataFrame], DataFrame]) ->
     return scored.unionByName(df.where(F.col("blocked") == 1), allowMissingColumns=True)
 
 
+def score_unblocked_columns(df: DataFrame, outcomes: dict[str, Column]) -> DataFrame:
+    """The same routing for a scorer made of expressions: one scan, outcomes null where blocked."""
+    return df.withColumns({name: F.when(F.col("blocked") == 0, value) for name, value in outcomes.items()})
+
+
 def daily_ingestion(df: DataFrame, day: str = "day", by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, day).agg(
         F.count(F.lit(1)).alias("n"),

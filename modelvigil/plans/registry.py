@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from modelvigil.plans import rolling
+from modelvigil.plans import judging, records, rolling
 
-_MODULES = (rolling,)
+_MODULES = (rolling, records, judging)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

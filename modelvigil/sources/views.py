@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from modelvigil.functions.checks import check_enum, check_null_text, check_sentinel
 from modelvigil.functions.draws import draw
 from modelvigil.functions.text import normalize_prediction
-from modelvigil.operators.quality import score_unblocked, validate_records
+from modelvigil.operators.quality import score_unblocked_columns, validate_records
 from modelvigil.sources.files import read_table
 
 ORIGIN = "2024-01-01"
@@ -93,18 +93,22 @@ def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ticket_scorer(df: DataFrame) -> DataFrame:
+def ticket_outcomes() -> dict[str, Column]:
     predicted = F.when(F.col("k").between(50, 52), F.lit("error")).otherwise(F.col("label"))
-    return (
-        df.withColumn("predicted", predicted)
-        .withColumn("confidence", (100 - F.col("k")) / F.lit(100.0))
-        .withColumn("correct", (predicted == F.col("label")).cast("int"))
-    )
+    return {
+        "predicted": predicted,
+        "confidence": (100 - F.col("k")) / F.lit(100.0),
+        "correct": (predicted == F.col("label")).cast("int"),
+    }
+
+
+def checked_tickets(spark: SparkSession, folder: str) -> DataFrame:
+    return validate_records(raw_tickets(spark, folder), ticket_checks())
 
 
 def ingest_log(spark: SparkSession, folder: str) -> DataFrame:
     """Validated tickets, scored when not blocked."""
-    return score_unblocked(validate_records(raw_tickets(spark, folder), ticket_checks()), ticket_scorer)
+    return score_unblocked_columns(checked_tickets(spark, folder), ticket_outcomes())
 
 
 def letter_hits(text: Column, label: str) -> Column:
