@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-import math
+import itertools
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelvigil.operators.timeseries import key_window
 from modelvigil.presets import MIN_DELTA, PATIENCE, SEARCH_AXES
 
 
+def grid_array(axes: dict[str, Sequence]) -> Column:
+    """Every combination of the axes as an array of structs, numbered, the first axis changing slowest."""
+    return F.array(*[
+        F.struct(F.lit(i).alias("trial_idx"), *[F.lit(v).alias(name) for name, v in zip(axes, cell)])
+        for i, cell in enumerate(itertools.product(*axes.values()))
+    ])
+
+
 def grid(spark: SparkSession, axes: dict[str, Sequence] | None = None) -> DataFrame:
-    """Every combination of the axes, the first axis changing slowest, numbered by ``trial_idx``."""
-    axes = axes or SEARCH_AXES
-    sizes = [len(v) for v in axes.values()]
-    cells = spark.range(math.prod(sizes)).withColumnRenamed("id", "trial_idx")
-    columns = []
-    stride = math.prod(sizes)
-    for name, values in axes.items():
-        stride //= len(values)
-        at = (F.floor(F.col("trial_idx") / stride) % len(values)).cast("int")
-        columns.append(F.get(F.array(*[F.lit(v) for v in values]), at).alias(name))
-    return cells.select(F.col("trial_idx").cast("int").alias("trial_idx"), *columns)
+    """The search grid as a table."""
+    return spark.range(1).select(F.inline(grid_array(axes or SEARCH_AXES)))
 
 
 def patience_stop(
@@ -51,7 +50,7 @@ def patience_stop(
 
     def fold(state, trial):
         runs = state["stalls"] < patience
-        better = runs & (trial["value"] > state["best"] + F.lit(min_delta))
+        better = runs & F.coalesce(trial["value"] > state["best"] + F.lit(min_delta), F.lit(False))
         best = F.when(better, trial["value"]).otherwise(state["best"])
         stalls = F.when(better, F.lit(0)).when(runs, state["stalls"] + 1).otherwise(state["stalls"])
         entry = F.struct(

@@ -241,8 +241,8 @@ ORACLES = {
         WITH v AS (SELECT vec_id, CAST(label AS VARCHAR) AS label,
                           list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
         p AS (SELECT *, [e[1], e[7], e[13], e[19], e[25], e[31], e[37], e[43], e[49], e[55]] AS c FROM v),
-        w AS (SELECT *, list_position(c, list_max(c)) - 1 AS at,
+        w AS (SELECT *, list_position(c, list_max(c)) - 1 AS best,
                      exp(list_max(c)) / list_sum(list_transform(e, lambda x: exp(x))) AS conf FROM p)
-        SELECT vec_id AS ex_id, CAST(at AS VARCHAR) AS predicted, round(conf, 6) AS confidence,
-               CAST(CAST(at AS VARCHAR) = label AS INT) AS correct FROM w""",
+        SELECT vec_id AS ex_id, CAST(best AS VARCHAR) AS predicted, round(conf, 6) AS confidence,
+               CAST(CAST(best AS VARCHAR) = label AS INT) AS correct FROM w""",
 }
