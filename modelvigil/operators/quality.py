@@ -49,6 +49,10 @@ def daily_ingestion(df: DataFrame, day: str = "day", by: Sequence[str] = ()) ->
     )
 
 
+def has_issue(issue: str, issues: str = "issues") -> Column:
+    return F.exists(issues, lambda i: i["issue_type"] == issue)
+
+
 def rolling_issue_rates(
     df: DataFrame, rates: dict[str, str] | None = None, day: str = "day", by: Sequence[str] = (),
     window: int = ROLLING_DAYS, warmup: int | None = None, correct: str = "correct",
@@ -56,13 +60,10 @@ def rolling_issue_rates(
     """Share of rows with each issue, share blocked, and accuracy on what reached the model."""
     rates = rates or RATE_OF_ISSUE
 
-    def having(issue: str) -> Column:
-        return F.count_if(F.exists("issues", lambda i: i["issue_type"] == issue))
-
     reached = F.col("blocked") == 0
     sums = {
         "_n": F.count(F.lit(1)),
-        **{f"_{name}": having(issue) for name, issue in rates.items()},
+        **{f"_{name}": F.count_if(has_issue(issue)) for name, issue in rates.items()},
         "_blocked": F.count_if(F.col("blocked") == 1),
         "_correct": F.coalesce(F.sum(F.when(reached, F.col(correct).cast("bigint"))), F.lit(0)),
         "_scored": F.count(F.when(reached, F.col(correct))),

@@ -70,9 +70,12 @@ def baseline_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
+    return tickets_of(read_table(spark, folder, "events"), event_day())
+
+
+def tickets_of(events: DataFrame, day: Column) -> DataFrame:
     """Ticket records with faults that set in on days 7, 15 and 21."""
-    k, day = _k(), event_day()
-    events = read_table(spark, folder, "events")
+    k = _k()
     lost = (day >= 7) & (k < 15)
     return events.select(
         "event_id",
