@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.draws import draw, draw_int, pick, shuffle_hash
 from modelvigil.functions.text import replace_first
-from modelvigil.operators.ranking import PREFIX_DIGITS, bucket_offsets, with_shuffle_position
+from modelvigil.operators.joins import join_group_rows
+from modelvigil.operators.ranking import PREFIX_DIGITS, bucket_offsets, first_per_group, with_shuffle_position
 from modelvigil.presets import (
     BATCH_SIZE,
     IGNORED_LABEL_ID,
@@ -23,36 +24,26 @@ from modelvigil.presets import (
     VAL_SHARE,
 )
 
-# Spark trims each map task to the first rows of a group only up to this many of them.
-GROUP_LIMIT = 1000
-SUBGROUPS = 256
-
 
 def dedup_ci(df: DataFrame, label: str = "label", text: str = "text", row_key: str = "ex_id") -> DataFrame:
-    """Keep the first row of each text per label, ignoring case.
+    """Keep the first row of each text per label, ignoring case; ``row_key`` is unique.
 
-    The group key is a digest, and rank one is cut per map task, so many copies of one text never meet
-    in one task.
+    The first row of each digest comes out of a narrow aggregation that combines copies on the map side.
+    The texts themselves move once, by row key, and are never sorted.
     """
-    copies = Window.partitionBy(label, "_digest").orderBy(row_key)
-    return (
-        df.withColumn("_digest", F.sha2(F.lower(text), 256))
-        .withColumn("_copy", F.row_number().over(copies))
-        .where(F.col("_copy") == 1)
-        .drop("_digest", "_copy")
-    )
+    digests = df.select(label, F.sha2(F.lower(text), 256).alias("_digest"), row_key)
+    first = digests.groupBy(label, "_digest").agg(F.min(row_key).alias(row_key)).select(row_key)
+    return df.join(first.hint("shuffle_hash"), row_key, "left_semi")
 
 
 def cap_per_label(df: DataFrame, n: int = ROWS_PER_LABEL, order: str = "ex_id", label: str = "label") -> DataFrame:
-    """At most the first ``n`` rows of each label."""
-    if n > GROUP_LIMIT:
-        # Too many for the map-side cut: take the first n of every hashed subgroup, then of the label.
-        part = F.pmod(F.xxhash64(order), F.lit(SUBGROUPS))
-        inner = Window.partitionBy(label, "_part").orderBy(order)
-        df = df.withColumn("_part", part).withColumn("_nth", F.row_number().over(inner))
-        df = df.where(F.col("_nth") <= n).drop("_part", "_nth")
-    nth = F.row_number().over(Window.partitionBy(label).orderBy(order))
-    return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
+    """At most the first ``n`` rows of each label; ``order`` is unique within a label.
+
+    The n-th key of each label is found on two columns; the full rows are then only filtered by it.
+    """
+    keys = first_per_group(df.select(label, order), n, order, [label])
+    cuts = keys.groupBy(label).agg(F.max(order).alias("_last"))
+    return join_group_rows(df, cuts, [label], order).where(F.col(order) <= F.col("_last")).drop("_last")
 
 
 def _group_order(group: str, seed: int) -> Column:
@@ -174,27 +165,35 @@ def resample_mix(
     return df.where(kept)
 
 
-def hashed_tokens(text: Column, vocabulary_size: int = 32_000) -> Column:
-    """Token ids of the words of a text by hashing; id 0 and 1 are left for padding and end of text."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return F.transform(
-        words, lambda w: (F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("int") % (vocabulary_size - 2)) + 2
-    )
+def split_words(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def hashed_id(word: Column, vocabulary_size: int = 32_000) -> Column:
+    """Token id of a word by hashing; ids 0 and 1 are left for padding and end of text."""
+    return (F.conv(F.substring(F.md5(word), 1, 7), 16, 10).cast("int") % (vocabulary_size - 2)) + 2
 
 
 def build_examples(
     df: DataFrame, prompt: str = "prompt", label: str = "label",
-    tokenize: Callable[[Column], Column] = hashed_tokens, eos_id: int = 1, max_len: int = MAX_TOKENS,
+    words: Callable[[Column], Column] = split_words, token_id: Callable[[Column], Column] = hashed_id,
+    eos_id: int = 1, max_len: int = MAX_TOKENS,
 ) -> DataFrame:
-    """Training arrays whose loss covers the label only: prompt ids are masked in ``labels``."""
-    with_ids = df.withColumn("_prompt", tokenize(F.col(prompt))).withColumn(
-        "_answer", F.concat(tokenize(F.col(label)), F.array(F.lit(eos_id)))
-    )
-    masked = F.array_repeat(F.lit(IGNORED_LABEL_ID), F.size("_prompt"))
-    arrays = with_ids.withColumn("input_ids", F.slice(F.concat("_prompt", "_answer"), 1, max_len)).withColumn(
-        "labels", F.slice(F.concat(masked, F.col("_answer")), 1, max_len)
-    )
-    return arrays.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids"))).drop("_prompt", "_answer")
+    """Training arrays whose loss covers the label only: prompt ids are masked in ``labels``.
+
+    Prompt and label tokens are joined and then cut to ``max_len``, which is what the arrays hold. Ids
+    are looked up after the cut, so no id is computed only to be thrown away.
+    """
+    split = df.withColumn("_prompt", words(F.col(prompt))).withColumn("_answer", words(F.col(label)))
+    split = split.withColumn("_n_prompt", F.least(F.size("_prompt"), F.lit(max_len)))
+    split = split.withColumn("_ids", F.transform(F.slice("_prompt", 1, max_len), lambda w: token_id(w)))
+    answer = F.concat(F.transform("_answer", lambda w: token_id(w)), F.array(F.lit(eos_id)))
+    masked = F.array_repeat(F.lit(IGNORED_LABEL_ID), F.col("_n_prompt"))
+    arrays = split.withColumn("_answer", answer).withColumn(
+        "input_ids", F.slice(F.concat("_ids", "_answer"), 1, max_len)
+    ).withColumn("labels", F.slice(F.concat(masked, F.col("_answer")), 1, max_len))
+    arrays = arrays.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+    return arrays.drop("_prompt", "_answer", "_n_prompt", "_ids")
 
 
 def pad_batches(

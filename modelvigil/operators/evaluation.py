@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelvigil.operators.ranking import index_percentiles
+from modelvigil.operators.ranking import first_per_group, index_percentiles
 from modelvigil.operators.timeseries import key_window
 
 
 def with_correct(df: DataFrame, predicted: str = "predicted", label: str = "label") -> DataFrame:
-    return df.withColumn("correct", (F.col(predicted) == F.col(label)).cast("int"))
+    """1 where the prediction equals the label, else 0; never null."""
+    same = F.coalesce(F.col(predicted) == F.col(label), F.lit(False))
+    return df.withColumn("correct", same.cast("int"))
 
 
 def accuracy_summary(df: DataFrame, by: Sequence[str] = (), invalid: str = "INVALID") -> DataFrame:
@@ -62,8 +64,7 @@ def confusion(df: DataFrame, by: Sequence[str] = (), row_key: str | None = None)
 def top_confusions(df: DataFrame, k: int = 5, by: Sequence[str] = (), row_key: str = "ex_id") -> DataFrame:
     """The ``k`` most frequent wrong cells per key; equal counts go by first appearance."""
     cells = confusion(df.where(F.col("label") != F.col("predicted")), by, row_key)
-    order = key_window(by).orderBy(F.desc("n"), "first_key")
-    return cells.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("first_key")
+    return first_per_group(cells, k, [F.desc("n"), F.col("first_key")], by).drop("first_key")
 
 
 def latency_percentiles(
@@ -89,8 +90,7 @@ def self_consistency(
         F.count(F.lit(1)).alias("_runs"),
     )
     if first_n is not None:
-        nth = F.row_number().over(key_window(by).orderBy(row_key))
-        per_example = per_example.withColumn("_nth", nth).where(F.col("_nth") <= first_n)
+        per_example = first_per_group(per_example, first_n, row_key, by)
     same = F.when(F.col("_given") == F.col("_runs"), F.col("_least") == F.col("_most")).otherwise(F.col("_given") == 0)
     return per_example.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_examples"),
@@ -133,9 +133,7 @@ def error_groups(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def worst_errors(df: DataFrame, n: int = 10, by: Sequence[str] = (), row_key: str = "ex_id") -> DataFrame:
     """The most confident errors of each key."""
-    order = key_window(by).orderBy(F.desc("confidence"), row_key)
-    wrong = df.where(F.col("correct") == 0)
-    return wrong.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+    return first_per_group(df.where(F.col("correct") == 0), n, [F.desc("confidence"), F.col(row_key)], by, row_key)
 
 
 def prediction_counts(df: DataFrame, predicted: str = "predicted", by: Sequence[str] = ()) -> DataFrame:

@@ -40,7 +40,7 @@ def incident_spans(alert_days: DataFrame, keys: Sequence[str] = ()) -> DataFrame
 
 
 def _percent(value: Column) -> Column:
-    return F.format_string("%.1f%%", value * 100)
+    return F.when(value.isNotNull(), F.format_string("%.1f%%", value * 100))
 
 
 def impact_band(series: DataFrame, n_values: int = ROLLING_DAYS, stds: float = NOISE_BAND_STDS, by: Sequence[str] = ()) -> DataFrame:

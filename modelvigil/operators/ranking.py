@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelvigil.functions.draws import shuffle_hash
@@ -12,6 +12,9 @@ from modelvigil.operators.joins import join_group_rows
 
 # Hash prefixes split any key evenly; 16**4 of them is also the bound on the offset table.
 PREFIX_DIGITS = 4
+# The default of spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
+SUBGROUPS = 256
 
 
 def bucket_offsets(buckets: DataFrame) -> DataFrame:
@@ -45,6 +48,27 @@ def with_shuffle_position(
     )
 
 
+def first_per_group(
+    df: DataFrame, n: int, order: Column | str | Sequence[Column | str], by: Sequence[str] = (),
+    spread: str | None = None, place: str = "place",
+) -> DataFrame:
+    """The first ``n`` rows of each group with their one-based place.
+
+    Spark cuts a rank filter on the map side only up to ``GROUP_LIMIT`` rows per group. Beyond that the
+    rows are first cut inside hashed parts of every group, so no task ever ranks a whole group.
+    ``spread`` is the column hashed for it; by default the order column.
+    """
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
+    keys = list(by) or [F.lit(0)]
+    if n > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(spread or order[-1]), F.lit(SUBGROUPS))
+        inner = Window.partitionBy(*keys, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_nth", F.row_number().over(inner))
+        df = df.where(F.col("_nth") <= n).drop("_part", "_nth")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(place, nth).where(F.col(place) <= n)
+
+
 def hash_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in a reproducible random order."""
     return df.withColumn("_hash", shuffle_hash(F.col(key), seed)).orderBy("_hash", key).drop("_hash")

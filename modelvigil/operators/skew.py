@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelvigil.functions.text import truncate
+from modelvigil.operators.evaluation import with_correct
 from modelvigil.presets import SERVING_MAX_CHARS, SKEW_GAP_ALERT
 
 
@@ -19,22 +20,21 @@ def score_paths(
 
     The paths are scored before the rows are multiplied, so no text is copied.
     """
-
-    def outcome(path: str, max_chars: int | None, seen: Column) -> Column:
-        scored = rule(seen)
-        return F.struct(
+    paths = [("offline", None, F.col(text))] + [("serving", n, truncate(F.col(text), n)) for n in lengths]
+    scored = df.select(
+        row_key, F.col(label).alias("label"), *[rule(seen).alias(f"_path{i}") for i, (_, _, seen) in enumerate(paths)]
+    )
+    outcomes = F.array(*[
+        F.struct(
             F.lit(path).alias("path"),
             F.lit(max_chars).cast("int").alias("max_chars"),
-            scored["predicted"].alias("predicted"),
-            scored["confidence"].alias("confidence"),
+            F.col(f"_path{i}.predicted").alias("predicted"),
+            F.col(f"_path{i}.confidence").alias("confidence"),
         )
-
-    whole = F.col(text)
-    outcomes = F.array(
-        outcome("offline", None, whole), *[outcome("serving", n, truncate(whole, n)) for n in lengths]
-    )
-    scored = df.select(row_key, F.col(label).alias("label"), F.inline(outcomes))
-    return scored.withColumn("correct", (F.col("predicted") == F.col("label")).cast("int"))
+        for i, (path, max_chars, _) in enumerate(paths)
+    ])
+    rows = scored.select(row_key, "label", F.inline(outcomes))
+    return with_correct(rows)
 
 
 def skew_sweep(
