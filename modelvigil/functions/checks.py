@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -18,10 +18,12 @@ _NO_ISSUES = "array<struct<issue_type:string,severity:string,field:string,value:
 
 @dataclass(frozen=True)
 class Check:
+    """What to report, and the condition as a function of the column, so that rules need no session."""
+
     issue_type: str
     severity: str
     field: str
-    failed: Column
+    failed: Callable[[Column], Column]
 
     def issue(self) -> Column:
         return F.struct(
@@ -33,25 +35,25 @@ class Check:
 
 
 def check_null_text(field: str, min_length: int = MIN_TEXT_LENGTH, issue_type: str = "null_or_empty_text") -> Check:
-    return Check(issue_type, BLOCKING, field, is_blank(F.col(field), min_length))
+    return Check(issue_type, BLOCKING, field, lambda c: is_blank(c, min_length))
 
 
 def check_sentinel(
     field: str, sentinel: str = PRIORITY_SENTINEL, issue_type: str = "silent_default_priority"
 ) -> Check:
-    return Check(issue_type, NON_BLOCKING, field, F.coalesce(F.col(field) == sentinel, F.lit(False)))
+    return Check(issue_type, NON_BLOCKING, field, lambda c: F.coalesce(c == sentinel, F.lit(False)))
 
 
 def check_enum(
     field: str, allowed: Sequence[str], issue_type: str = "schema_violation_source_system"
 ) -> Check:
-    return Check(issue_type, NON_BLOCKING, field, F.col(field).isNotNull() & ~F.col(field).isin(*allowed))
+    return Check(issue_type, NON_BLOCKING, field, lambda c: c.isNotNull() & ~c.isin(*allowed))
 
 
 def validate(checks: Sequence[Check]) -> Column:
     """Array of the issues a row has, in the order of ``checks``."""
     found = [
-        F.when(c.failed, F.array(c.issue())).otherwise(F.array()).cast(_NO_ISSUES)
+        F.when(c.failed(F.col(c.field)), F.array(c.issue())).otherwise(F.array()).cast(_NO_ISSUES)
         for c in checks
     ]
     return F.concat(*found)

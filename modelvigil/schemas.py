@@ -21,9 +21,9 @@ PREDICTIONS = T.StructType([
 ])
 
 ISSUE = T.StructType([
-    T.StructField("issue_type", T.StringType(), False),
-    T.StructField("severity", T.StringType(), False),
-    T.StructField("field", T.StringType(), False),
+    T.StructField("issue_type", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("field", T.StringType()),
     T.StructField("value", T.StringType()),
 ])
 
@@ -35,7 +35,7 @@ INGESTION = T.StructType([
     T.StructField("priority", T.StringType()),
     T.StructField("source_system", T.StringType()),
     T.StructField("label", T.StringType()),
-    T.StructField("issues", T.ArrayType(ISSUE, False)),
+    T.StructField("issues", T.ArrayType(ISSUE)),
     T.StructField("blocked", T.IntegerType(), False),
     T.StructField("predicted", T.StringType()),
     T.StructField("confidence", T.DoubleType()),
