@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelvigil.functions.divergence import kl, psi, psi_band
-from modelvigil.operators.timeseries import as_of_delay, daily_sums, key_window, rolling_counts
+from modelvigil.operators.timeseries import as_of_delay, daily_sums, key_window, rolling_counts, rolling_over_days
 from modelvigil.presets import CLIP_EPSILON, LABEL_DELAY_DAYS, NOISE_BAND_STDS, PSI_ALERT, ROLLING_DAYS
 
 
@@ -65,6 +65,28 @@ def _with_baseline(df: DataFrame, baseline: DataFrame | Sequence[float], by: Seq
     return df.withColumn("baseline", baseline.select("baseline").scalar())
 
 
+def _accuracy_sums(correct: str) -> dict[str, Column]:
+    return {"_correct": F.coalesce(F.sum(F.col(correct).cast("bigint")), F.lit(0)), "_scored": F.count(correct)}
+
+
+_ACCURACY = ("_correct", "_scored")
+
+
+def _accuracy() -> Column:
+    return F.try_divide(F.col("_correct").cast("double"), F.col("_scored"))
+
+
+def daily_outcomes(
+    df: DataFrame, vocabulary: Sequence[str], predicted: str = "predicted", correct: str = "correct",
+    day: str = "day", by: Sequence[str] = (),
+) -> DataFrame:
+    """Label counts and hits per key and day: all that the series, the noise band and the alerts need.
+
+    Store this table, or let one call compute it, when several of them are wanted from one scan.
+    """
+    return daily_sums(df, {**_label_counts(predicted, vocabulary), **_accuracy_sums(correct)}, day, by)
+
+
 def drift_series(
     df: DataFrame,
     baseline: DataFrame | Sequence[float],
@@ -83,25 +105,34 @@ def drift_series(
     Predictions are known at once; correctness only ``delay`` days later. ``baseline`` is a vector in
     vocabulary order, or the result of :func:`label_vector`.
     """
-    warmup = window if warmup is None else warmup
-    sums = {
-        **_label_counts(predicted, vocabulary),
-        "_correct": F.coalesce(F.sum(F.col(correct).cast("bigint")), F.lit(0)),
-        "_scored": F.count(correct),
-    }
-    rolled = rolling_counts(df, sums, day, by, window, warmup)
-    accuracy = F.try_divide(F.col("_correct").cast("double"), F.col("_scored"))
-    rolled = rolled.withColumn("accuracy_as_known", as_of_delay(accuracy, by, delay))
+    daily = daily_outcomes(df, vocabulary, predicted, correct, day, by)
+    return drift_of_days(daily, baseline, vocabulary, by, window, warmup, delay, epsilon)
+
+
+def drift_of_days(
+    daily: DataFrame,
+    baseline: DataFrame | Sequence[float],
+    vocabulary: Sequence[str],
+    by: Sequence[str] = (),
+    window: int = ROLLING_DAYS,
+    warmup: int | None = None,
+    delay: int = LABEL_DELAY_DAYS,
+    epsilon: float = CLIP_EPSILON,
+) -> DataFrame:
+    """:func:`drift_series` from the table of :func:`daily_outcomes`."""
+    measures = ["n_in_window", *[f"_c{i}" for i in range(len(vocabulary))], *_ACCURACY]
+    rolled = rolling_over_days(daily, measures, by, window, warmup)
+    rolled = rolled.withColumn("accuracy_as_known", as_of_delay(_accuracy(), by, delay))
     rolled = _with_baseline(rolled.withColumn("current", _shares(vocabulary, "n_in_window")), baseline, by)
-    return rolled.select(
+    measured = rolled.select(
         *by,
         "day",
         "n_in_window",
         psi(F.col("baseline"), F.col("current"), epsilon).alias("psi"),
         kl(F.col("baseline"), F.col("current"), epsilon).alias("kl"),
-        psi_band(psi(F.col("baseline"), F.col("current"), epsilon)).alias("psi_band"),
         "accuracy_as_known",
     )
+    return measured.select(*by, "day", "n_in_window", "psi", "kl", psi_band(F.col("psi")).alias("psi_band"), "accuracy_as_known")
 
 
 def rolling_accuracy(
@@ -109,11 +140,8 @@ def rolling_accuracy(
     window: int = ROLLING_DAYS, warmup: int | None = None,
 ) -> DataFrame:
     """Row-weighted accuracy over the trailing window; null when nothing was scored."""
-    sums = {"_correct": F.coalesce(F.sum(F.col(correct).cast("bigint")), F.lit(0)), "n_scored": F.count(correct)}
-    rolled = rolling_counts(df, sums, day, by, window, warmup)
-    return rolled.select(
-        *by, "day", "n_scored", F.try_divide(F.col("_correct").cast("double"), F.col("n_scored")).alias("accuracy")
-    )
+    rolled = rolling_counts(df, _accuracy_sums(correct), day, by, window, warmup)
+    return rolled.select(*by, "day", F.col("_scored").alias("n_scored"), _accuracy().alias("accuracy"))
 
 
 def label_delayed(series: DataFrame, value: str = "accuracy", by: Sequence[str] = (), delay: int = LABEL_DELAY_DAYS) -> DataFrame:
@@ -126,15 +154,19 @@ def noise_band(
     n_days: int = ROLLING_DAYS, stds: float = NOISE_BAND_STDS,
 ) -> DataFrame:
     """Pooled accuracy of the first observed days and the alert threshold below it."""
-    daily = daily_sums(
-        df, {"_correct": F.sum(F.col(correct).cast("bigint")), "_scored": F.count(correct)}, day, by
-    )
+    return noise_band_of_days(daily_sums(df, _accuracy_sums(correct), day, by), by, n_days, stds)
+
+
+def noise_band_of_days(
+    daily: DataFrame, by: Sequence[str] = (), n_days: int = ROLLING_DAYS, stds: float = NOISE_BAND_STDS
+) -> DataFrame:
+    """:func:`noise_band` from the table of :func:`daily_outcomes`."""
     early = daily.withColumn("_nth", F.dense_rank().over(key_window(by).orderBy("day"))).where(F.col("_nth") <= n_days)
     band = early.groupBy(*by).agg(
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
         F.try_divide(F.sum("_correct").cast("double"), F.sum("_scored")).alias("baseline_accuracy"),
-        F.stddev_samp(F.try_divide(F.col("_correct").cast("double"), F.col("_scored"))).alias("daily_std"),
+        F.stddev_samp(_accuracy()).alias("daily_std"),
     )
     return band.withColumn("threshold", F.col("baseline_accuracy") - F.lit(float(stds)) * F.col("daily_std"))
 

@@ -43,34 +43,34 @@ def _percent(value: Column) -> Column:
     return F.when(value.isNotNull(), F.format_string("%.1f%%", value * 100))
 
 
-def impact_band(series: DataFrame, n_values: int = ROLLING_DAYS, stds: float = NOISE_BAND_STDS, by: Sequence[str] = ()) -> DataFrame:
-    """Threshold from the first known values of the smoothed accuracy series.
+def with_impact_threshold(
+    series: DataFrame, by: Sequence[str] = (), n_values: int = ROLLING_DAYS, stds: float = NOISE_BAND_STDS
+) -> DataFrame:
+    """Add the threshold that the first known values of the smoothed accuracy series give.
 
     Smoothed values vary less than raw days, so this lies closer to the mean than ``noise_band``.
     """
-    known = series.where(F.col("accuracy_as_known").isNotNull())
-    early = known.withColumn("_nth", F.row_number().over(key_window(by).orderBy("day"))).where(F.col("_nth") <= n_values)
-    return early.groupBy(*by).agg(
-        (F.avg("accuracy_as_known") - F.lit(float(stds)) * F.stddev_samp("accuracy_as_known")).alias("impact_threshold")
-    )
+    known_so_far = F.count("accuracy_as_known").over(key_window(by).orderBy("day"))
+    early = F.when(known_so_far <= n_values, F.col("accuracy_as_known"))
+    whole = key_window(by)
+    marked = series.withColumn("_early", early)
+    threshold = F.avg("_early").over(whole) - F.lit(float(stds)) * F.stddev_samp("_early").over(whole)
+    return marked.withColumn("impact_threshold", threshold).drop("_early")
 
 
 def drift_incidents(
     series: DataFrame, psi_alert: float = PSI_ALERT, by: Sequence[str] = (), stds: float = NOISE_BAND_STDS
 ) -> DataFrame:
     """Spans of significant PSI; confirmed when known accuracy fell below the impact band meanwhile."""
-    alerts = series.where(F.col("psi") > psi_alert).withColumn("_island", _island(by))
+    banded = with_impact_threshold(series, by, stds=stds)
+    alerts = banded.where(F.col("psi") > psi_alert).withColumn("_island", _island(by))
     spans = alerts.groupBy(*by, "_island").agg(
         F.min("day").alias("start_day"),
         F.max("day").alias("end_day"),
         F.max("psi").alias("peak_value"),
         F.min("accuracy_as_known").alias("_lowest"),
+        F.first("impact_threshold").alias("impact_threshold"),
     )
-    band = impact_band(series, by=by, stds=stds)
-    if by:
-        spans = spans.join(band, list(by), "left")
-    else:
-        spans = spans.withColumn("impact_threshold", band.scalar())
     confirmed = F.coalesce(F.col("_lowest") < F.col("impact_threshold"), F.lit(False))
     lowest = F.coalesce(_percent(F.col("_lowest")), F.lit("unknown"))
     limit = F.coalesce(_percent(F.col("impact_threshold")), F.lit("unknown"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelvigil.functions.text import truncate
@@ -68,14 +68,14 @@ def skew_by_category(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     grouped = scored.groupBy(*by, "label", "max_chars").agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg("correct").alias("_accuracy"),
+        F.avg("correct").alias("serving_accuracy"),
         F.avg(F.when(F.col("correct") == 0, F.col("confidence"))).alias("confidence_wrong"),
         F.avg("confidence").alias("confidence_all"),
     )
-    # One offline row per label meets its few serving rows; both sides are aggregates already.
-    base = grouped.where(F.col("max_chars").isNull()).select(*by, "label", F.col("_accuracy").alias("offline_accuracy"))
-    serving = grouped.where(F.col("max_chars").isNotNull()).withColumnRenamed("_accuracy", "serving_accuracy")
-    return serving.join(base, [*by, "label"], "left").select(
+    # A label has one row per path here, so the window is as small as the list of lengths.
+    offline = F.max(F.when(F.col("max_chars").isNull(), F.col("serving_accuracy"))).over(Window.partitionBy(*by, "label"))
+    serving = grouped.withColumn("offline_accuracy", offline).where(F.col("max_chars").isNotNull())
+    return serving.select(
         *by, "label", "max_chars", "n", "offline_accuracy", "serving_accuracy",
         (F.col("offline_accuracy") - F.col("serving_accuracy")).alias("gap"),
         "confidence_wrong", "confidence_all",

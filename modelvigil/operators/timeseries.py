@@ -51,19 +51,21 @@ def rolling_sums(daily: DataFrame, measures: Sequence[str], by: Sequence[str] =
     return daily.select(*by, "day", *[F.sum(m).over(trailing).alias(m) for m in measures])
 
 
-def rolling_counts(
-    df: DataFrame,
-    sums: dict[str, Column],
-    day: str = "day",
-    by: Sequence[str] = (),
-    window: int = ROLLING_DAYS,
-    warmup: int | None = None,
+def rolling_over_days(
+    daily: DataFrame, measures: Sequence[str], by: Sequence[str] = (), window: int = ROLLING_DAYS, warmup: int | None = None
 ) -> DataFrame:
     """Trailing sums for every integer day from ``warmup`` to the last day of each key."""
     warmup = window if warmup is None else warmup
-    daily = daily_sums(df, sums, day, by)
-    dense = fill_days(daily, list(sums), by, first_day=warmup)
-    return rolling_sums(dense, list(sums), by, window).where(F.col("day") >= warmup)
+    dense = fill_days(daily, measures, by, first_day=warmup)
+    return rolling_sums(dense, measures, by, window).where(F.col("day") >= warmup)
+
+
+def rolling_counts(
+    df: DataFrame, sums: dict[str, Column], day: str = "day", by: Sequence[str] = (), window: int = ROLLING_DAYS,
+    warmup: int | None = None,
+) -> DataFrame:
+    """The same straight from raw rows."""
+    return rolling_over_days(daily_sums(df, sums, day, by), list(sums), by, window, warmup)
 
 
 def as_of_delay(value: Column, by: Sequence[str], delay: int) -> Column:

@@ -13,6 +13,7 @@ from modelvigil.functions.text import truncate
 from modelvigil.operators import evaluation, scoring, skew
 from modelvigil.plans.rolling import rounded
 from modelvigil.plans.sql import MODEL_RUNS, REPEATED_RUNS, SKEW_EVAL, with_
+from modelvigil.session import materialise
 from modelvigil.sources import views
 from modelvigil.sources.views import LANG_LABELS, SERVING_LENGTHS
 
@@ -42,7 +43,8 @@ def eval_top_confusions(spark, folder):
 
 
 def eval_latency(spark, folder):
-    latency = evaluation.latency_percentiles(views.model_runs(spark, folder), by=MODEL)
+    runs = materialise(views.model_runs(spark, folder).select("model", "ex_id", "latency_s"))
+    latency = evaluation.latency_percentiles(runs, by=MODEL)
     return rounded(latency, "p50", "p95")
 
 
@@ -57,9 +59,11 @@ def self_consistency(spark, folder):
 
 
 def compare_models(spark, folder):
-    table = evaluation.compare_models(
-        views.model_runs(spark, folder), "base", "tuned", views.repeated_runs(spark, folder)
+    """The judged rows are stored once; every metric reads them instead of scoring again."""
+    judged = materialise(
+        views.model_runs(spark, folder).select("model", "ex_id", "predicted", "correct", "latency_s", "output_tokens")
     )
+    table = evaluation.compare_models(judged, "base", "tuned", views.repeated_runs(spark, folder))
     return rounded(table, "base", "tuned", "delta")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelvigil.operators import drift, evaluation, incidents
 from modelvigil.plans.sql import DAYS, DRIFT_SERIES, NOISE_BAND, PRED_LOG, PSI_ROWS, with_
+from modelvigil.session import materialise
 from modelvigil.sources import views
 from modelvigil.sources.views import EVENT_TYPES
 
@@ -59,8 +60,11 @@ def noise_band(spark, folder):
 
 
 def _alerts(spark, folder, by=()):
-    band = drift.noise_band(views.pred_log(spark, folder), by=by)
-    return drift.first_alerts(drift_frame(spark, folder, by), band, by)
+    """Series and noise band from one scan: both read the stored daily table."""
+    daily = materialise(drift.daily_outcomes(views.pred_log(spark, folder), EVENT_TYPES, by=by))
+    baseline = drift.label_vector(views.baseline_log(spark, folder), "label", EVENT_TYPES, by)
+    series = drift.drift_of_days(daily, baseline, EVENT_TYPES, by)
+    return drift.first_alerts(series, drift.noise_band_of_days(daily, by), by)
 
 
 def first_alerts(spark, folder):
@@ -90,11 +94,10 @@ def confidence_histogram(spark, folder):
 
 def incident_spans(spark, folder):
     """Spans of days whose own accuracy lies under the noise band."""
-    log = views.pred_log(spark, folder)
-    daily = evaluation.daily_telemetry(log)
-    band = drift.noise_band(log)
-    low = daily.where(F.col("accuracy") < band.select("threshold").scalar())
-    return incidents.incident_spans(low)
+    daily = materialise(drift.daily_outcomes(views.pred_log(spark, folder), EVENT_TYPES))
+    band = drift.noise_band_of_days(daily)
+    accuracy = F.try_divide(F.col("_correct").cast("double"), F.col("_scored"))
+    return incidents.incident_spans(daily.where(accuracy < band.select("threshold").scalar()))
 
 
 def drift_incidents(spark, folder):

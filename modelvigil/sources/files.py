@@ -35,10 +35,14 @@ def write_examples(df: DataFrame, path: str, text: str = "text", label: str = "l
 
 
 def _append_days(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Write the (scenario, date) partitions of ``df``; a repeated run replaces and never doubles them."""
+    """Write the (scenario, date) partitions of ``df``; a repeated run replaces and never doubles them.
+
+    Rows gather by partition; the rebalance hint lets adaptive execution split a heavy day into files of
+    the advisory size instead of writing it in one task.
+    """
     (
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        .repartition("scenario", "sim_date", F.pmod(F.xxhash64("event_id"), F.lit(16)))
+        .hint("rebalance", "scenario", "sim_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("scenario", "sim_date")
