@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelvigil.functions.probability import softmax_choice
+from modelvigil.functions.probability import with_softmax_choice
 from modelvigil.functions.text import identity
 
 Rule = Callable[[Column], Column]
@@ -69,8 +69,6 @@ def score_in_batches(
     return df.withColumn("_input", preprocess(F.col(text))).mapInPandas(run, schema)
 
 
-def softmax_confidence(df: DataFrame, scores: str, positions, labels) -> DataFrame:
-    """Label and confidence from a score vector; see :func:`softmax_choice`."""
-    return df.withColumn("_c", softmax_choice(F.col(scores), positions, labels)).select(
-        *df.columns, F.col("_c.predicted").alias("predicted"), F.col("_c.confidence").alias("confidence")
-    )
+def softmax_confidence(df: DataFrame, scores: str, positions: Sequence[int], labels: Sequence[str]) -> DataFrame:
+    """Label and confidence from a score vector; see :func:`with_softmax_choice`."""
+    return with_softmax_choice(df, scores, positions, labels)

@@ -18,23 +18,22 @@ def score_paths(
 ) -> DataFrame:
     """Score each row offline (whole text) and once per serving length.
 
-    The paths are scored before the rows are multiplied, so no text is copied.
+    Every path becomes a row before the rule runs, so the rule is compiled once whatever the number of
+    lengths; generated code that grows with them would soon be too long for the JIT.
     """
     paths = [("offline", None, F.col(text))] + [("serving", n, truncate(F.col(text), n)) for n in lengths]
-    scored = df.select(
-        row_key, F.col(label).alias("label"), *[rule(seen).alias(f"_path{i}") for i, (_, _, seen) in enumerate(paths)]
-    )
-    outcomes = F.array(*[
-        F.struct(
-            F.lit(path).alias("path"),
-            F.lit(max_chars).cast("int").alias("max_chars"),
-            F.col(f"_path{i}.predicted").alias("predicted"),
-            F.col(f"_path{i}.confidence").alias("confidence"),
-        )
-        for i, (path, max_chars, _) in enumerate(paths)
+    views = F.array(*[
+        F.struct(F.lit(path).alias("path"), F.lit(n).cast("int").alias("max_chars"), seen.alias("_seen"))
+        for path, n, seen in paths
     ])
-    rows = scored.select(row_key, "label", F.inline(outcomes))
-    return with_correct(rows)
+    rows = df.select(row_key, F.col(label).alias("label"), F.inline(views))
+    scored = rows.select(row_key, "label", "path", "max_chars", rule(F.col("_seen")).alias("_scored"))
+    return with_correct(
+        scored.select(
+            row_key, "label", "path", "max_chars",
+            F.col("_scored.predicted").alias("predicted"), F.col("_scored.confidence").alias("confidence"),
+        )
+    )
 
 
 def skew_sweep(

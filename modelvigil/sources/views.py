@@ -11,6 +11,7 @@ from modelvigil.functions.checks import check_enum, check_null_text, check_senti
 from modelvigil.functions.draws import draw
 from modelvigil.functions.text import normalize_prediction
 from modelvigil.operators.quality import score_unblocked_columns, validate_records
+from modelvigil.operators.search import grid_array
 from modelvigil.sources.files import read_table
 
 ORIGIN = "2024-01-01"
@@ -165,27 +166,24 @@ def _tuned_answer(flags: dict[str, Column], english: Column) -> Column:
 ANSWERS = {"base": _base_answer, "tuned": _tuned_answer}
 
 
-def _with_flags(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
-    """Look for the tell-tale letters and words once per text, before any row is multiplied."""
-    found = {}
-    for name, text in texts.items():
-        found.update({f"_{name}_{label}": has_letters(text, label) for label in LETTERS})
-        lowered = F.lower(text)
-        found[f"_{name}_english"] = lowered.contains(" the ") | lowered.contains(" of ") | lowered.contains(" and ")
-    return df.withColumns(found)
+def _with_flags(df: DataFrame, text: str) -> DataFrame:
+    """Look for the tell-tale letters and words once per text, before the models answer."""
+    lowered = F.lower(text)
+    english = lowered.contains(" the ") | lowered.contains(" of ") | lowered.contains(" and ")
+    return df.withColumns({**{f"_{v}": has_letters(F.col(text), v) for v in LETTERS}, "_english": english})
 
 
-def _flags(name: str) -> tuple[dict[str, Column], Column]:
-    return {label: F.col(f"_{name}_{label}") for label in LETTERS}, F.col(f"_{name}_english")
+def _flags() -> tuple[dict[str, Column], Column]:
+    return {label: F.col(f"_{label}") for label in LETTERS}, F.col("_english")
 
 
 def raw_outputs(spark: SparkSession, folder: str) -> DataFrame:
     """Free-text answers of two models to every document."""
-    docs = _with_flags(labelled_docs(spark, folder).withColumn("_size", F.length("text")), {"whole": F.col("text")})
+    docs = _with_flags(labelled_docs(spark, folder).withColumn("_size", F.length("text")), "text")
     answers = F.array(*[
         F.struct(
             F.lit(model).alias("model"),
-            answer(*_flags("whole")).alias("raw_output"),
+            answer(*_flags()).alias("raw_output"),
             ((F.col("_size") + 37 * i) / F.lit(100_000.0 / (i + 1))).alias("latency_s"),
         )
         for i, (model, answer) in enumerate(ANSWERS.items())
@@ -206,15 +204,12 @@ def model_runs(spark: SparkSession, folder: str) -> DataFrame:
 def repeated_runs(spark: SparkSession, folder: str, runs: int = 5) -> DataFrame:
     """Five predictions per document and model; together the runs read the whole text, a fifth each."""
     part = F.floor((F.length("text") + (runs - 1)) / runs).cast("int")
-    parts = {f"run{run}": F.substring(F.col("text"), part * run + 1, part) for run in range(runs)}
-    docs = labelled_docs(spark, folder).withColumns({f"_{n}": p for n, p in parts.items()})
-    docs = _with_flags(docs, {name: F.col(f"_{name}") for name in parts})
+    parts = F.array(*[F.substring(F.col("text"), part * run + 1, part) for run in range(runs)])
+    read = labelled_docs(spark, folder).select("ex_id", "label", F.posexplode(parts).alias("run", "_part"))
     answers = F.array(*[
-        F.struct(F.lit(model).alias("model"), F.lit(run).alias("run"), answer(*_flags(f"run{run}")).alias("raw_output"))
-        for model, answer in ANSWERS.items()
-        for run in range(runs)
+        F.struct(F.lit(model).alias("model"), answer(*_flags()).alias("raw_output")) for model, answer in ANSWERS.items()
     ])
-    outputs = docs.select("ex_id", "label", F.inline(answers))
+    outputs = _with_flags(read, "_part").select("ex_id", "label", "run", F.inline(answers))
     return outputs.select(
         "model", "ex_id", "run", "label", normalize_prediction(F.col("raw_output"), LANG_LABELS).alias("predicted")
     )
@@ -237,56 +232,36 @@ def gate_rows(spark: SparkSession, folder: str) -> DataFrame:
 def trial_results(spark: SparkSession, folder: str) -> DataFrame:
     """Validation and test accuracy of 27 rule settings, searched separately for every source.
 
-    The letters of a text are counted once; each setting is then an arithmetic test, so one scan and
-    one aggregation measure the whole grid.
+    The letters of a text are counted once. Then each setting is one narrow row with an arithmetic test,
+    so one scan and one aggregation with map-side combining measure the whole grid.
     """
-    size = F.length("text")
+    hits = {
+        f"_h{i}": F.when(has_letters(F.col("text"), v), count_letters(F.col("text"), v)).otherwise(0)
+        for i, v in enumerate(LETTERS)
+    }
     docs = labelled_docs(spark, folder).select(
-        "label", "source", size.alias("_size"), draw(F.col("ex_id"), 42).alias("_draw"),
-        *[
-            F.when(has_letters(F.col("text"), v), count_letters(F.col("text"), v)).otherwise(0).alias(f"_h{i}")
-            for i, v in enumerate(LETTERS)
-        ],
+        F.col("source").alias("search_id"), "label", F.length("text").alias("_size"),
+        (draw(F.col("ex_id"), 42) < 0.5).alias("_val"), *[h.alias(n) for n, h in hits.items()],
     )
+    rows = docs.select("*", F.inline(grid_array(TRIAL_AXES)))
     names = list(LETTERS)
-    cells = [
-        (hits, density, first)
-        for hits in TRIAL_AXES["min_hits"]
-        for density in TRIAL_AXES["min_per_1000"]
-        for first in TRIAL_AXES["first_class"]
+    found = [
+        (F.col(f"_h{i}") >= F.col("min_hits")) & (F.col(f"_h{i}") * 1000 >= F.col("_size") * F.col("min_per_1000"))
+        for i in range(len(names))
     ]
-    side = F.when(F.col("_draw") < 0.5, "val").otherwise("test")
-
-    def hit(cell: tuple[int, int, int]) -> Column:
-        hits, density, first = cell
-        order = [(first + j) % len(names) for j in range(len(names))]
-        says = [
-            F.when((F.col(f"_h{i}") >= hits) & (F.col(f"_h{i}") * 1000 >= F.col("_size") * density), F.lit(names[i]))
-            for i in order
-        ]
-        return F.coalesce(*says, F.lit("lang_en")) == F.col("label")
-
-    flags = F.array(*[hit(c).cast("int") for c in cells])
-    sided = docs.select("source", side.alias("_side"), flags.alias("_flags"))
-    sums = sided.groupBy(F.col("source").alias("search_id")).agg(
-        F.count_if(F.col("_side") == "val").alias("_n_val"),
-        F.count_if(F.col("_side") == "test").alias("_n_test"),
-        *[
-            F.count_if((F.col("_side") == s) & (F.get("_flags", F.lit(i)) == 1)).alias(f"_{s}{i}")
-            for i in range(len(cells))
-            for s in ("val", "test")
-        ],
+
+    def first_found(start: int) -> Column:
+        order = [(start + j) % len(names) for j in range(len(names))]
+        return F.coalesce(*[F.when(found[i], F.lit(names[i])) for i in order], F.lit("lang_en"))
+
+    says = F.when(F.col("first_class") == 0, first_found(0)).when(F.col("first_class") == 1, first_found(1)).otherwise(first_found(2))
+    judged = rows.withColumn("_right", says == F.col("label"))
+    sums = judged.groupBy("search_id", "trial_idx", *TRIAL_AXES).agg(
+        F.count_if(F.col("_val")).alias("n_val"),
+        F.count_if(~F.col("_val")).alias("n_test"),
+        F.count_if(F.col("_val") & F.col("_right")).alias("n_val_correct"),
+        F.count_if(~F.col("_val") & F.col("_right")).alias("n_test_correct"),
     )
-    rows = F.array(*[
-        F.struct(
-            F.lit(i).alias("trial_idx"),
-            *[F.lit(x).alias(n) for n, x in zip(TRIAL_AXES, cell)],
-            F.col(f"_val{i}").alias("n_val_correct"),
-            F.col(f"_test{i}").alias("n_test_correct"),
-        )
-        for i, cell in enumerate(cells)
-    ])
-    long = sums.select("search_id", F.col("_n_val").alias("n_val"), F.col("_n_test").alias("n_test"), F.inline(rows))
-    return long.withColumn("val_accuracy", F.try_divide(F.col("n_val_correct").cast("double"), F.col("n_val"))).withColumn(
+    return sums.withColumn("val_accuracy", F.try_divide(F.col("n_val_correct").cast("double"), F.col("n_val"))).withColumn(
         "test_accuracy", F.try_divide(F.col("n_test_correct").cast("double"), F.col("n_test"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions import checks, draws, text
 from modelvigil.functions.divergence import kl, psi, psi_band
-from modelvigil.functions.probability import softmax_choice
+from modelvigil.functions.probability import with_softmax_choice
 
 
 def column(spark, values, kind="string"):
@@ -88,11 +88,11 @@ def test_psi_bands(spark):
 def test_softmax_over_everything_choice_among_some(spark):
     scores = [[0.5, 9.0, 2.0, 2.0], [1000.0, 1.0, 999.0, 0.0]]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, s array<double>")
-    got = df.orderBy("i").select(softmax_choice(F.col("s"), [2, 3, 0], ["c", "d", "a"]).alias("r")).collect()
-    assert [r.r.predicted for r in got] == ["c", "a"]
+    got = with_softmax_choice(df, "s", [2, 3, 0], ["c", "d", "a"]).orderBy("i").collect()
+    assert [r.predicted for r in got] == ["c", "a"]
     mass = sum(math.exp(x - 9) for x in scores[0])
-    assert got[0].r.confidence == pytest.approx(math.exp(2.0 - 9) / mass)
-    assert got[1].r.confidence == pytest.approx(math.exp(0) / (1 + math.exp(-1) + math.exp(-999)))
+    assert got[0].confidence == pytest.approx(math.exp(2.0 - 9) / mass)
+    assert got[1].confidence == pytest.approx(math.exp(0) / (1 + math.exp(-1) + math.exp(-999)))
 
 
 def test_checks_run_in_order(spark):
