@@ -20,6 +20,14 @@ BatchScorer = Callable[[pd.Series], pd.DataFrame]
 _LOADED: dict[str, BatchScorer] = {}
 
 
+def load_once(name: str, load: Callable[[], BatchScorer]) -> BatchScorer:
+    """The scorer of this Python worker. A top-level function travels by reference, so its cache stays
+    with the worker process from task to task."""
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
+
 def score_with_rule(df: DataFrame, rule: Rule, text: str = "text", preprocess: Rule = identity) -> DataFrame:
     """Score with a Column expression returning struct(predicted, confidence)."""
     return df.withColumn("_scored", rule(preprocess(F.col(text)))).select(
@@ -58,9 +66,7 @@ def score_in_batches(
     columns = df.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _LOADED.get(name)
-        if scorer is None:
-            scorer = _LOADED[name] = load()
+        scorer = load_once(name, load)
         for batch in batches:
             scored = scorer(batch["_input"])
             scored.index = batch.index

@@ -7,9 +7,6 @@ from modelvigil.functions.checks import check_null_text
 
 
 def load():
-    marks = {"loads": 0}
-    marks["loads"] += 1
-
     def score(texts: pd.Series) -> pd.DataFrame:
         if texts.isna().any() or (texts.str.len() < 5).any():
             raise ValueError("blocked row reached the scorer")
@@ -44,3 +41,17 @@ def test_preprocessing_is_seen_by_the_scorer_only(spark):
     assert row.confidence == 0.2 and row.text == "abcdefghij" and row.latency_ms == 0.5
     rule = lambda c: F.struct(c.alias("predicted"), F.lit(1.0).alias("confidence"))
     assert scoring.score_with_rule(df, rule, preprocess=lambda c: truncate(c, 3)).head().predicted == "abc"
+
+
+def test_the_model_loads_once_per_worker(spark, tmp_path):
+    path = str(tmp_path / "loads")
+
+    def counted():
+        with open(path, "a") as f:
+            f.write("x")
+        return load()
+
+    df = tickets(spark).where("text IS NOT NULL").repartition(40)
+    assert scoring.score_in_batches(df, counted, f"counted-{path}").count() == 171
+    with open(path) as f:
+        assert 1 <= len(f.read()) <= 20
