@@ -26,7 +26,7 @@ from modelvigil.presets import (
 
 
 def dedup_ci(df: DataFrame, label: str = "label", text: str = "text", row_key: str = "ex_id") -> DataFrame:
-    """Keep the first row of each text per label, ignoring case; ``row_key`` is unique.
+    """Keep the first row of each text per label, ignoring case; ``row_key`` is unique and never null.
 
     The first row of each digest comes out of a narrow aggregation that combines copies on the map side.
     The texts themselves move once, by row key, and are never sorted.
@@ -166,7 +166,7 @@ def resample_mix(
 
 
 def split_words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def hashed_id(word: Column, vocabulary_size: int = 32_000) -> Column:

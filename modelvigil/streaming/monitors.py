@@ -109,3 +109,8 @@ def run_to_parquet(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the stateful operators of a query left out because the watermark had passed them."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

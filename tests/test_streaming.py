@@ -64,7 +64,8 @@ def test_late_rows_are_left_out(spark, tmp_path):
     for batch in ([(1, at(0), "a"), (2, at(5), "a")], [(3, at(0, 2), "a"), (4, at(5, 3), "a"), (5, at(9), "a")]):
         drop(spark, inbox, batch, SCHEMA)
         stream = spark.readStream.schema(SCHEMA).parquet(str(inbox))
-        run(monitors.daily_partials(stream, {"n": F.count(F.lit(1))}), tmp_path)
+        query = run(monitors.daily_partials(stream, {"n": F.count(F.lit(1))}), tmp_path)
+    assert monitors.late_rows(query) == 1
     days = spark.read.parquet(f"{tmp_path}/out").select(monitors.day_of(F.col("window.start"), ORIGIN).alias("day"), "n")
     assert {r.day: r.n for r in days.collect()} == {0: 1, 5: 2}
 
