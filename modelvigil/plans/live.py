@@ -24,6 +24,19 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+def stream_session(spark):
+    """The session a stream runs in.
+
+    The number of state stores is fixed by the shuffle partitions of the first run. On a cluster that is
+    the setting of the session; a local master gets one store per core, in a session of its own.
+    """
+    if not spark.sparkContext.master.startswith("local"):
+        return spark
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
 def event_stream(spark, folder):
     return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(folder)
 
@@ -32,9 +45,8 @@ def _day():
     return monitors.day_of(F.col("ts"), views.ORIGIN)
 
 
-def landed(stream, name, partition_by=()):
+def landed(spark, stream, name, partition_by=()):
     """Run a stream to its end into the shared folder and read the result."""
-    spark = stream.sparkSession
     path = scratch_path(spark, name)
     query = monitors.run_to_parquet(stream, f"{path}/table", f"{path}/checkpoint", partition_by)
     query.awaitTermination()
@@ -45,18 +57,18 @@ def landed(stream, name, partition_by=()):
 
 def stream_quarantine(spark, folder):
     """Clean and quarantined tickets from one sink."""
-    tickets = views.tickets_of(event_stream(spark, folder), _day())
+    tickets = views.tickets_of(event_stream(stream_session(spark), folder), _day())
     checked = monitors.validated_stream(tickets, views.ticket_checks())
-    table = landed(checked.select("event_id", "day", "issue_types", "blocked"), "quarantine", ["blocked"])
+    table = landed(spark, checked.select("event_id", "day", "issue_types", "blocked"), "quarantine", ["blocked"])
     return table.select("event_id", "day", "issue_types", "blocked")
 
 
 def stream_sliding_psi(spark, folder):
     """PSI of the closed seven-day windows."""
     baseline = drift.label_vector(views.baseline_log(spark, folder), "label", views.EVENT_TYPES).head()["baseline"]
-    log = views.predictions_of(event_stream(spark, folder), _day())
+    log = views.predictions_of(event_stream(stream_session(spark), folder), _day())
     counts = monitors.sliding_label_counts(log, "predicted", views.EVENT_TYPES)
-    table = landed(monitors.window_drift(counts, baseline), "sliding")
+    table = landed(spark, monitors.window_drift(counts, baseline), "sliding")
     last = monitors.day_of(F.col("window.end"), views.ORIGIN) - 1
     full = table.select(last.alias("day"), "n_in_window", F.round("psi", 6).alias("psi"), F.round("kl", 6).alias("kl"))
     return full.where(F.col("day") >= 7).withColumn("psi_band", psi_band(F.col("psi")))
@@ -64,11 +76,11 @@ def stream_sliding_psi(spark, folder):
 
 def stream_daily_rates(spark, folder):
     """Daily partials from the stream; the trailing seven-day rates are taken on read."""
-    tickets = views.tickets_of(event_stream(spark, folder), _day())
+    tickets = views.tickets_of(event_stream(stream_session(spark), folder), _day())
     checked = monitors.validated_stream(tickets, views.ticket_checks())
     issues = {name: F.count_if(quality.has_issue(issue)) for name, issue in quality.RATE_OF_ISSUE.items()}
     sums = {"n": F.count(F.lit(1)), **issues, "blocked_rate": F.count_if(F.col("blocked") == 1)}
-    daily = landed(monitors.daily_partials(checked, sums), "daily")
+    daily = landed(spark, monitors.daily_partials(checked, sums), "daily")
     daily = daily.select(monitors.day_of(F.col("window.start"), views.ORIGIN).alias("day"), *sums)
     rolled = rolling_sums(fill_days(daily, list(sums), first_day=7), list(sums)).where(F.col("day") >= 7)
     rates = [c for c in sums if c != "n"]
@@ -77,12 +89,13 @@ def stream_daily_rates(spark, folder):
 
 def stream_label_join(spark, folder):
     """Labels arrive one to eight days late; those within five days meet their prediction."""
-    log = views.predictions_of(event_stream(spark, folder), _day()).select("event_id", "ts", "day", "predicted")
+    session = stream_session(spark)
+    log = views.predictions_of(event_stream(session, folder), _day()).select("event_id", "ts", "day", "predicted")
     late = (F.col("user_id") % 8 + 1).cast("int")
-    labels = event_stream(spark, folder).select(
+    labels = event_stream(session, folder).select(
         "event_id", F.col("event_type").alias("label"), (F.col("ts") + F.make_dt_interval(days=late)).alias("label_ts")
     )
-    matched = landed(monitors.join_delayed_labels(log, labels), "labels")
+    matched = landed(spark, monitors.join_delayed_labels(log, labels), "labels")
     correct = (F.col("predicted") == F.col("label")).cast("int")
     known = matched.groupBy(monitors.day_of(F.col("label_ts"), views.ORIGIN).alias("label_day")).agg(
         F.count(F.lit(1)).alias("n_known"), F.avg(correct).alias("accuracy")
@@ -108,17 +121,17 @@ def stream_alert_sessions(spark, folder):
     )
     path = scratch_path(spark, "alerts")
     alerts.write.parquet(path)
-    stream = spark.readStream.schema(alerts.schema).parquet(path)
-    sessions = landed(monitors.alert_sessions(stream), "sessions")
+    stream = stream_session(spark).readStream.schema(alerts.schema).parquet(path)
+    sessions = landed(spark, monitors.alert_sessions(stream), "sessions")
     first, last = (monitors.day_of(F.col(c), views.ORIGIN) for c in ("first_ts", "last_ts"))
     return sessions.select("metric", first.alias("start_day"), last.alias("end_day"))
 
 
 def stream_dedup(spark, folder):
     """Every event delivered twice is counted once."""
-    events = event_stream(spark, folder)
+    events = event_stream(stream_session(spark), folder)
     twice = events.withColumn("_delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = landed(monitors.without_repeats(twice).select("event_id", "ts", "event_type"), "dedup")
+    once = landed(spark, monitors.without_repeats(twice).select("event_id", "ts", "event_type"), "dedup")
     return once.groupBy(_day().alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
