@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from modelvigil.llm import packing, token_file
+from modelvigil.llm import mixing, near_vectors, packing, secrets, simhash, token_file, topk
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
+    "op2_near_vectors": near_vectors.op2_near_vectors,
+    "op10_mixing": mixing.op10_mixing,
     "op4_packing": packing.op4_packing,
+    "op7_simhash": simhash.op7_simhash,
+    "op8_secrets": secrets.op8_secrets,
     "op9_token_file": token_file.op9_token_file,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_topk": topk.ORACLE,
+    "op10_mixing": mixing.ORACLE,
+    "op2_near_vectors": near_vectors.ORACLE,
+}
