@@ -187,7 +187,7 @@ totals AS (
     SELECT source, count(*) AS docs, CAST(sum(size) AS BIGINT) AS total FROM sized GROUP BY source),
 halvings AS (
     SELECT 0 AS i, CAST(0 AS DOUBLE) AS low,
-           CASE WHEN (SELECT exp(max(ln(total)) - min(ln(total))) FROM totals) <= {REPEAT} THEN 0.0 ELSE 1.0 END AS high
+           CASE WHEN (SELECT exp(max(ln(total)) - min(ln(total))) FROM totals) <= {REPEAT} THEN 0e0 ELSE 1e0 END AS high
     UNION ALL
     SELECT i + 1, CASE WHEN fits THEN low ELSE mid END, CASE WHEN fits THEN mid ELSE high END
     FROM (SELECT i, low, high, (low + high) / 2 AS mid,
