@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -60,28 +61,32 @@ KERNEL = (0.5, 0.25)
 
 
 @dataclass
-class Node:
-    """Text of one block: its element path, parent, text, characters inside links, and standing."""
+class _Open:
+    """An open element, with what holds for everything inside it. Paths are numbered, so depth costs nothing."""
 
-    path: tuple[str, ...]
+    name: str
+    path: int
+    parent: int
     dropped: bool
-    container: tuple[str, ...] | None
+    container: int | None
     content: bool
-    pieces: list[str] = field(default_factory=list)
-    linked: int = 0
-    text: str = ""
+    listed: bool
+
+
+_ROOT = _Open("", 0, -1, False, None, False, False)
 
 
 @dataclass
-class _Open:
-    name: str
-    label: str
-    dropped: bool
-    container: bool
-    content: bool
+class Node:
+    """Text of one block inside an element, and how many of its characters are in links."""
 
+    inside: _Open
+    pieces: list[str] = field(default_factory=list)
+    linked: int = 0
+    text: str = ""
 
-def _opened(name: str, rest: str, inside: bool) -> _Open:
+
+def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int]) -> _Open:
     words: set[str] = set()
     hidden = False
     if len(rest) > 1:
@@ -91,17 +96,25 @@ def _opened(name: str, rest: str, inside: bool) -> _Open:
                 words.update(_WORDS.findall(value))
             hidden |= key.lower() == "hidden" or (key.lower() == "aria-hidden" and value == "true")
     # The header of an article holds its title; the header of a page does not.
-    dropped = hidden or name in DROPPED or bool(words & BOILERPLATE) or ("header" in {name, *words} and not inside)
-    if name in ("html", "body"):
-        dropped = False
+    header = "header" in {name, *words} and outer.container is None
+    dropped = hidden or name in DROPPED or bool(words & BOILERPLATE) or header
     label = name if not words else f"{name}.{'.'.join(sorted(words))}"
-    return _Open(name, label, dropped, name in CONTAINERS or "main" in words, bool(words & CONTENT) or name in CONTAINERS)
+    path = paths.setdefault((outer.path, label), len(paths) + 1)
+    container = outer.container
+    if container is None and (name in CONTAINERS or "main" in words):
+        container = path
+    return _Open(
+        name, path, outer.path, outer.dropped or (dropped and name not in ("html", "body")), container,
+        outer.content or name in CONTAINERS or bool(words & CONTENT), outer.listed or name in ("li", "ul", "ol"),
+    )
 
 
 def blocks(page: str) -> list[Node]:
     """The text blocks of a page in page order, with their paths from the root; comments and raw elements are gone."""
     nodes: list[Node] = []
-    stack: list[_Open] = []
+    stack: list[_Open] = [_ROOT]
+    open_names: Counter[str] = Counter()
+    paths: dict[tuple[int, str], int] = {}
     links = 0
     node: Node | None = None
     at, end = 0, len(page)
@@ -111,16 +124,16 @@ def blocks(page: str) -> list[Node]:
         if node is None:
             if not text.strip():
                 return
-            inner = next((i for i, o in enumerate(stack) if o.container), None)
-            node = Node(
-                tuple(o.label for o in stack), any(o.dropped for o in stack),
-                None if inner is None else tuple(o.label for o in stack[: inner + 1]), any(o.content for o in stack),
-            )
+            node = Node(stack[-1])
             nodes.append(node)
         node.pieces.append(text)
         if links:
             node.linked += len(text)
 
+    def close(place: int) -> None:
+        open_names.subtract(o.name for o in stack[place:])
+        del stack[place:]
+
     while at < end:
         m = _TAG.search(page, at)
         if m is None:
@@ -141,29 +154,30 @@ def blocks(page: str) -> list[Node]:
             continue
         if name in RAW:
             if not m[1]:
-                close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else end
+                ended = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = ended.end() if ended else end
             continue
         node = None
         if name in VOID:
             continue
         if m[1]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
-            if place is not None:
-                del stack[place:]
+            if open_names[name] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name))
                 links = 0
             continue
         if name in CLOSES:
-            ended, kept = CLOSES[name]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name in kept:
-                    break
-                if stack[i].name in ended:
-                    del stack[i:]
-                    break
-        elif stack and stack[-1].name == "p":  # a paragraph holds no block
-            stack.pop()
-        stack.append(_opened(name, m[3], any(o.container for o in stack)))
+            ends, kept = CLOSES[name]
+            if any(open_names[other] > 0 for other in ends):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].name in kept:
+                        break
+                    if stack[i].name in ends:
+                        close(i)
+                        break
+        elif stack[-1].name == "p":  # a paragraph holds no block
+            close(len(stack) - 1)
+        stack.append(_opened(name, m[3], stack[-1], paths))
+        open_names[name] += 1
     for found in nodes:
         found.text = " ".join("".join(found.pieces).split())
     return [found for found in nodes if found.text]
@@ -179,14 +193,13 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
     """
     if not nodes:
         return []
-    paths = {path: i for i, path in enumerate(dict.fromkeys(n.path for n in nodes))}
-    own = np.array([paths[n.path] for n in nodes])
+    _, own = np.unique([n.inside.path for n in nodes], return_inverse=True)
     free = np.array([max(len(n.text) - n.linked, 0) for n in nodes], dtype=float)
     marks = np.array([len(_MARKS.findall(n.text)) for n in nodes], dtype=float)
     count = np.bincount(own)
     ratios = [(np.bincount(own, x) / count)[own] for x in (free, marks)]
-    parents = [n.path[:-1] for n in nodes]
-    beside = np.array([a == b for a, b in zip(parents, parents[1:])], dtype=float)
+    parents = np.array([n.inside.parent for n in nodes])
+    beside = (parents[1:] == parents[:-1]).astype(float)
     smooth = []
     for ratio in ratios:
         total, weight = KERNEL[0] * ratio, np.full(len(nodes), KERNEL[0])
@@ -194,22 +207,22 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
             total[mine] += KERNEL[1] * beside * ratio[other]
             weight[mine] += KERNEL[1] * beside
         smooth.append((np.bincount(own, total / weight) / count)[own])
-    standing = np.array([0.0 if n.dropped else 2.0 if n.content else 1.0 for n in nodes])
+    standing = np.array([0.0 if n.inside.dropped else 2.0 if n.inside.content else 1.0 for n in nodes])
     fused = smooth[0] * (1 + smooth[1]) * standing
     if not fused.any():
         return []
-    mass: dict[tuple[str, ...], float] = {}
+    mass: dict[int, float] = {}
     for n, value in zip(nodes, fused):
-        if n.container is not None:
-            mass[n.container] = mass.get(n.container, 0.0) + value
+        if n.inside.container is not None:
+            mass[n.inside.container] = mass.get(n.inside.container, 0.0) + value
     best = max(mass, key=mass.get, default=None)
     if best is not None and mass[best] >= MAJOR * fused.sum():
-        inside = np.array([n.container == best for n in nodes])
+        inside = np.array([n.inside.container == best for n in nodes])
         passed = inside & (fused >= INSIDE * fused[inside].max()) & (fused > 0)
     else:
         passed = (fused >= THRESHOLD * fused.max()) & (fused > 0)
-    lists = np.array([n.linked > LINKS * len(n.text) and bool({"li", "ul", "ol"} & {p.split(".")[0] for p in n.path}) for n in nodes])
-    return [n for n, keep in zip(nodes, passed & ~lists) if keep]
+    menus = np.array([n.inside.listed and n.linked > LINKS * len(n.text) for n in nodes])
+    return [n for n, keep in zip(nodes, passed & ~menus) if keep]
 
 
 def main_text(page: str | None) -> str:
