@@ -18,14 +18,14 @@ from modelvigil.session import materialise
 LONGEST, BITS = 3, 14
 #: Labelled documents of each language that the weights are fitted on; document frequencies come from all of them.
 PER_LANGUAGE = 500
-#: Follow-the-regularised-leader: learning rate, its smoothing, and the elastic net.
+#: Follow-the-regularised-leader: learning rate, its smoothing, and the elastic net; least steps, and rows of a step.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
-EPOCHS, STEP = 8, 32
+STEPS, STEP = 500, 32
 #: Every so many-th sample row is kept for the temperature.
 CALIBRATION = 5
 UNDETERMINED = "und"
 #: Documents whose language is less certain are rejected by :func:`identified`.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 @dataclass
@@ -71,7 +71,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, classes: int, seed: int = 5) -> tu
         return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((BETA + np.sqrt(n)) / ALPHA + l2))
 
     order = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS * STEP // len(rows))):
         turn = order.permutation(len(rows))
         for at in range(0, len(turn), STEP):
             some = turn[at : at + STEP]
