@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from modelvigil.functions.checks import Check
@@ -17,6 +18,11 @@ from modelvigil.functions.divergence import kl, psi
 from modelvigil.operators.quality import validate_records
 from modelvigil.presets import CLIP_EPSILON
 
+#: The state store that keeps its keys on disk instead of the executor's heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Event time of the row that closes a bounded stream; later than any window that holds data.
+END_OF_TIME = "2500-01-01T00:00:00Z"
+
 
 def day_of(ts: Column, origin: str) -> Column:
     """Whole UTC days since ``origin``, whatever the session time zone."""
@@ -111,6 +117,26 @@ def run_to_parquet(
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
+def with_closing_rows(stream: DataFrame, folder: str, ts: str = "ts") -> DataFrame:
+    """The stream together with a second source, a folder that stays empty until :func:`close_stream`."""
+    spark = stream.sparkSession
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    return stream.unionByName(spark.readStream.schema(schema).parquet(folder))
+
+
+def close_stream(spark: SparkSession, folder: str, schema: T.StructType, ts: str = "ts") -> None:
+    """Put one row, empty but for a far event time, behind a bounded stream.
+
+    The next run of its query moves the watermark past every window and session that holds data, so that all of
+    them come out; what follows is late.
+    """
+    end = spark.range(1).select(*[
+        (F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+    end.write.mode("append").parquet(folder)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the stateful operators of a query left out because the watermark had passed them."""
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

@@ -1,11 +1,12 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from modelvigil.functions.checks import check_null_text
 from modelvigil.operators import drift, incidents
-from modelvigil.plans.live import EVENT_SCHEMA
+from modelvigil.plans import live
 from modelvigil.sources import views
 from modelvigil.streaming import monitors
 
@@ -45,7 +46,7 @@ def test_quarantine_lands_once_over_restarts(spark, tmp_path):
 
 
 def test_sliding_windows_equal_the_batch_series(spark, tmp_path):
-    events = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(SF)
+    events = live.event_stream(spark, SF)
     log = views.predictions_of(events, monitors.day_of(F.col("ts"), ORIGIN))
     counts = monitors.sliding_label_counts(log, "predicted", views.EVENT_TYPES)
     run(monitors.window_drift(counts, [0.2] * 5), tmp_path)
@@ -112,3 +113,33 @@ def test_days_do_not_follow_the_session_time_zone(spark):
         assert [r[0] for r in df.select(monitors.day_of(F.col("ts"), ORIGIN)).collect()] == [3, 3]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    """The events as part files, each over all days, in shuffled order."""
+    folder = tmp_path_factory.mktemp("parts")
+    events = spark.read.schema(live.EVENT_SCHEMA).parquet(f"{SF}/events.parquet")
+    events.repartition(5, F.xxhash64("event_id")).sortWithinPartitions(F.md5("props")).write.parquet(f"{folder}/events.parquet")
+    assert len(list((folder / "events.parquet").glob("part-*"))) >= 4
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", sorted(live.QUERIES))
+def test_part_files_give_the_rows_of_one_file(spark, parts, name):
+    want = sorted(map(str, live.QUERIES[name](spark, SF).collect()))
+    assert sorted(map(str, live.QUERIES[name](spark, parts).collect())) == want and want
+
+
+def test_a_bounded_stream_gives_all_days_and_open_sessions(spark):
+    assert sorted(r.day for r in live.stream_sliding_psi(spark, SF).collect()) == list(range(7, 30))
+    assert sorted(r.day for r in live.stream_daily_rates(spark, SF).collect()) == list(range(7, 30))
+
+
+def test_rows_behind_the_watermark_fail_a_bounded_run(spark, tmp_path):
+    events = spark.read.schema(live.EVENT_SCHEMA).parquet(f"{SF}/events.parquet")
+    for part in (events.where("ts >= '2024-01-20'"), events.where("ts < '2024-01-05'")):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+        time.sleep(1.1)  # files are taken in order of modification
+    with pytest.raises(RuntimeError, match="behind the watermark"):
+        live.stream_daily_rates(spark, str(tmp_path), files_per_batch=1)
