@@ -138,7 +138,8 @@ def test_a_bounded_stream_gives_all_days_and_open_sessions(spark):
 
 def test_rows_behind_the_watermark_fail_a_bounded_run(spark, tmp_path):
     events = spark.read.schema(live.EVENT_SCHEMA).parquet(f"{SF}/events.parquet")
-    for part in (events.where("ts >= '2024-01-20'"), events.where("ts < '2024-01-05'")):
+    for days in ("ts >= '2024-01-20'", "ts < '2024-01-20' AND ts >= '2024-01-18'", "ts < '2024-01-05'"):
+        part = events.where(days)
         part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
         time.sleep(1.1)  # files are taken in order of modification
     with pytest.raises(RuntimeError, match="behind the watermark"):
