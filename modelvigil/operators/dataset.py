@@ -17,7 +17,6 @@ from modelvigil.presets import (
     MAX_TOKENS,
     NOISE_PREFIXES,
     NOISE_SUFFIXES,
-    ROWS_PER_LABEL,
     TRAIN_SHARE,
     TYPO_RATE,
     TYPO_SWAPS,
@@ -33,10 +32,10 @@ def dedup_ci(df: DataFrame, label: str = "label", text: str = "text", row_key: s
     """
     digests = df.select(label, F.sha2(F.lower(text), 256).alias("_digest"), row_key)
     first = digests.groupBy(label, "_digest").agg(F.min(row_key).alias(row_key)).select(row_key)
-    return df.join(first.hint("shuffle_hash"), row_key, "left_semi")
+    return df.join(first, row_key, "left_semi")
 
 
-def cap_per_label(df: DataFrame, n: int = ROWS_PER_LABEL, order: str = "ex_id", label: str = "label") -> DataFrame:
+def cap_per_label(df: DataFrame, n: int, order: str = "ex_id", label: str = "label") -> DataFrame:
     """At most the first ``n`` rows of each label; ``order`` is unique within a label.
 
     The n-th key of each label is found on two columns; the full rows are then only filtered by it.
@@ -149,14 +148,15 @@ def augment_noise(
 
 def resample_mix(
     df: DataFrame, weights: dict[str, float], label: str = "label", key: str = "ex_id", seed: int = 42,
-    day: str | None = None, start_day: int | None = None,
+    day: str | None = None, start_day: int | None = None, default_weight: float = 1.0,
 ) -> DataFrame:
-    """Thin each label to a target mix; with ``day``, only from ``start_day`` on.
+    """Thin each label to a target mix; with ``day``, only from ``start_day`` on. A label that ``weights`` does not
+    name has ``default_weight``.
 
     A row stays when its draw is below weight / largest weight, so no label needs a second pass.
     """
-    largest = max(weights.values())
-    share = F.lit(1.0)
+    largest = max([default_weight, *weights.values()])
+    share = F.lit(default_weight / largest)
     for name, weight in weights.items():
         share = F.when(F.col(label) == name, F.lit(weight / largest)).otherwise(share)
     kept = draw(F.col(key), seed) < share
@@ -174,6 +174,11 @@ def hashed_id(word: Column, vocabulary_size: int = 32_000) -> Column:
     return (F.conv(F.substring(F.md5(word), 1, 7), 16, 10).cast("int") % (vocabulary_size - 2)) + 2
 
 
+def token_ids(words: Column, token_id: Callable[[Column], Column]) -> Column:
+    """Ids of an array of words; none of a null."""
+    return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: token_id(w))
+
+
 def build_examples(
     df: DataFrame, prompt: str = "prompt", label: str = "label",
     words: Callable[[Column], Column] = split_words, token_id: Callable[[Column], Column] = hashed_id,
@@ -181,29 +186,41 @@ def build_examples(
 ) -> DataFrame:
     """Training arrays whose loss covers the label only: prompt ids are masked in ``labels``.
 
-    Prompt and label tokens are joined and then cut to ``max_len``, which is what the arrays hold. Ids
-    are looked up after the cut, so no id is computed only to be thrown away.
+    A prompt that does not fit ``max_len`` together with its answer is dealt to consecutive windows, a row each with
+    its number in ``window``: every prompt token is in exactly one array, and every array ends with the whole answer,
+    so each has a loss target. An answer of ``max_len`` tokens or more takes windows of one prompt token and is longer
+    than ``max_len``; it is never cut. A null prompt or label counts as empty.
     """
-    split = df.withColumn("_prompt", words(F.col(prompt))).withColumn("_answer", words(F.col(label)))
-    split = split.withColumn("_n_prompt", F.least(F.size("_prompt"), F.lit(max_len)))
-    split = split.withColumn("_ids", F.transform(F.slice("_prompt", 1, max_len), lambda w: token_id(w)))
-    answer = F.concat(F.transform("_answer", lambda w: token_id(w)), F.array(F.lit(eos_id)))
-    masked = F.array_repeat(F.lit(IGNORED_LABEL_ID), F.col("_n_prompt"))
-    arrays = split.withColumn("_answer", answer).withColumn(
-        "input_ids", F.slice(F.concat("_ids", "_answer"), 1, max_len)
-    ).withColumn("labels", F.slice(F.concat(masked, F.col("_answer")), 1, max_len))
+    split = df.withColumn("_prompt", token_ids(words(F.col(prompt)), token_id))
+    answer = token_ids(words(F.col(label)), token_id)
+    split = split.withColumn("_answer", F.concat(answer, F.array(F.lit(eos_id))))
+    split = split.withColumn("_room", F.greatest(F.lit(max_len) - F.size("_answer"), F.lit(1)))
+    last = F.greatest(F.ceil(F.size("_prompt") / F.col("_room")).cast("int") - 1, F.lit(0))
+    split = split.withColumn("window", F.explode(F.sequence(F.lit(0), last)))
+    own = F.slice("_prompt", F.col("window") * F.col("_room") + 1, F.col("_room"))
+    arrays = split.withColumn("_own", own).withColumn("input_ids", F.concat("_own", "_answer")).withColumn(
+        "labels", F.concat(F.array_repeat(F.lit(IGNORED_LABEL_ID), F.size("_own")), F.col("_answer"))
+    )
     arrays = arrays.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
-    return arrays.drop("_prompt", "_answer", "_n_prompt", "_ids")
+    return arrays.drop("_prompt", "_answer", "_own", "_room")
 
 
 def pad_batches(
-    df: DataFrame, key: str = "ex_id", seed: int = 42, batch_size: int = BATCH_SIZE, pad_id: int = 0
+    df: DataFrame, key: str = "ex_id", seed: int = 42, batch_size: int = BATCH_SIZE, pad_id: int = 0,
+    window: str = "window",
 ) -> DataFrame:
-    """Shuffle rows into batches and pad each batch to its longest member; labels pad with the ignored id."""
-    batched = with_shuffle_position(df, key, seed).withColumn("batch", F.floor(F.col("position") / batch_size))
-    longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch"))
-    missing = F.col("_longest") - F.size("input_ids")
-    padded = batched.withColumn("_longest", longest).withColumn("_missing", missing)
+    """Shuffle rows into batches and pad each batch to its longest member; labels pad with the ignored id.
+
+    A row is named by ``key`` and its ``window``, as :func:`build_examples` returns them. Place, batch and longest
+    member are found on the name and the length alone; the arrays then move once, to be joined with them.
+    """
+    name = F.concat_ws(":", F.col(key).cast("string"), F.col(window).cast("string"))
+    named = df.withColumn("_name", name)
+    narrow = named.select("_name", F.size("input_ids").alias("_size"))
+    placed = with_shuffle_position(narrow, "_name", seed).withColumn("batch", F.floor(F.col("position") / batch_size))
+    longest = F.max("_size").over(Window.partitionBy("batch"))
+    padded = named.join(placed.select("_name", "batch", longest.alias("_longest")), "_name")
+    padded = padded.withColumn("_missing", F.col("_longest") - F.size("input_ids"))
     for column, filler in (("input_ids", pad_id), ("labels", IGNORED_LABEL_ID), ("attention_mask", 0)):
         padded = padded.withColumn(column, F.concat(F.col(column), F.array_repeat(F.lit(filler), F.col("_missing"))))
-    return padded.drop("_longest", "_missing", "position")
+    return padded.drop("_longest", "_missing", "_name")

@@ -44,10 +44,10 @@ def label_distribution(df: DataFrame, label: str, vocabulary: Sequence[str], by:
 
 def rolling_distribution(
     df: DataFrame, label: str, vocabulary: Sequence[str], day: str = "day", by: Sequence[str] = (),
-    window: int = ROLLING_DAYS, warmup: int | None = None,
+    window: int = ROLLING_DAYS, warmup: int | None = None, days: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Label shares over the trailing window, one row per key, day and label."""
-    rolled = rolling_counts(df, _label_counts(label, vocabulary), day, by, window, warmup)
+    rolled = rolling_counts(df, _label_counts(label, vocabulary), day, by, window, warmup, days)
     shares = _shares(vocabulary, "n_in_window")
     entries = F.array(*[
         F.struct(F.lit(v).alias("label"), F.col(f"_c{i}").alias("n"), F.get(shares, F.lit(i)).alias("p"))
@@ -137,10 +137,10 @@ def drift_of_days(
 
 def rolling_accuracy(
     df: DataFrame, correct: str = "correct", day: str = "day", by: Sequence[str] = (),
-    window: int = ROLLING_DAYS, warmup: int | None = None,
+    window: int = ROLLING_DAYS, warmup: int | None = None, days: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Row-weighted accuracy over the trailing window; null when nothing was scored."""
-    rolled = rolling_counts(df, _accuracy_sums(correct), day, by, window, warmup)
+    rolled = rolling_counts(df, _accuracy_sums(correct), day, by, window, warmup, days)
     return rolled.select(*by, "day", F.col("_scored").alias("n_scored"), _accuracy().alias("accuracy"))
 
 

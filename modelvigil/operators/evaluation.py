@@ -101,9 +101,12 @@ def self_consistency(
 
 def compare_models(
     df: DataFrame, base: str, tuned: str, runs: DataFrame | None = None, model: str = "model",
-    latency: str = "latency_s", row_key: str = "ex_id",
+    latency: str = "latency_s", row_key: str = "ex_id", vocabulary: Sequence[str] = (),
 ) -> DataFrame:
-    """Metric table of two models judged by the same code: base, tuned and their difference."""
+    """Metric table of two models judged by the same code: base, tuned and their difference.
+
+    With a ``vocabulary`` the accuracy of each of its labels is a metric of its own, ``accuracy:label``.
+    """
     pair = df.where(F.col(model).isin(base, tuned))
     summary = accuracy_summary(pair, [model])
     names = ["accuracy", "invalid_rate"] + (["avg_output_tokens"] if "avg_output_tokens" in summary.columns else [])
@@ -115,6 +118,11 @@ def compare_models(
     rows = as_rows(summary, names).unionByName(
         as_rows(latency_percentiles(pair, latency, (0.5, 0.95), [model], row_key), ["p50", "p95"])
     )
+    if vocabulary:
+        labels = per_category(pair, vocabulary, [model])
+        rows = rows.unionByName(
+            labels.select(model, F.concat(F.lit("accuracy:"), F.col("label")).alias("metric"), F.col("accuracy").alias("value"))
+        )
     if runs is not None:
         stable = self_consistency(runs.where(F.col(model).isin(base, tuned)), [model], row_key)
         rows = rows.unionByName(as_rows(stable, ["self_consistency"]))

@@ -9,15 +9,11 @@ from pyspark.sql import functions as F
 
 from modelvigil.operators.quality import long_rates
 from modelvigil.operators.timeseries import key_window
-from modelvigil.presets import ISSUE_RATE_ALERT, NOISE_BAND_STDS, PSI_ALERT, ROLLING_DAYS
+from modelvigil.presets import (
+    ISSUE_RATE_ALERT, NOISE_BAND_STDS, PRIORITY_LADDER, PSI_ALERT, RATE_ALERTS, ROLLING_DAYS,
+)
 
 DRIFT, SKEW, QUALITY = "data_drift", "serving_skew", "data_quality"
-# alert type of each rate, and whether it keeps rows from the model
-RATE_ALERTS = {
-    "null_text_rate": ("null_or_empty_text", True),
-    "sentinel_rate": ("silent_default_priority", False),
-    "enum_rate": ("schema_violation_source_system", False),
-}
 INCIDENT_COLUMNS = [
     "source_stage", "alert_type", "start_day", "end_day", "peak_value", "impact_confirmed",
     "impact_description", "blocking",
@@ -111,15 +107,21 @@ def skew_incidents(gaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def quality_incidents(series: DataFrame, threshold: float = ISSUE_RATE_ALERT, by: Sequence[str] = ()) -> DataFrame:
-    """Spans in which an issue rate stays over the threshold, per rate."""
+def quality_incidents(
+    series: DataFrame, threshold: float = ISSUE_RATE_ALERT, by: Sequence[str] = (),
+    rates: dict[str, tuple[str, bool]] = RATE_ALERTS,
+) -> DataFrame:
+    """Spans in which an issue rate stays over the threshold, per rate.
+
+    ``rates`` names the rate columns with their alert type, and whether that issue keeps rows from the model.
+    """
     keys = [*by, "metric"]
-    alerts = long_rates(series, list(RATE_ALERTS), by).where(F.col("value") > threshold)
+    alerts = long_rates(series, list(rates), by).where(F.col("value") > threshold)
     spans = alerts.withColumn("_island", _island(keys)).groupBy(*keys, "_island").agg(
         F.min("day").alias("start_day"), F.max("day").alias("end_day"), F.max("value").alias("peak_value")
     )
-    types = F.create_map(*[F.lit(x) for m, (t, _) in RATE_ALERTS.items() for x in (m, t)])
-    blocking = F.col("metric").isin(*[m for m, (_, b) in RATE_ALERTS.items() if b])
+    types = F.create_map(*[F.lit(x) for m, (t, _) in rates.items() for x in (m, t)])
+    blocking = F.col("metric").isin(*[m for m, (_, b) in rates.items() if b])
     effect = F.when(blocking, F.lit(" of rows never reached the model")).otherwise(
         F.lit(" of rows were scored with a bad metadata field")
     )
@@ -136,19 +138,24 @@ def quality_incidents(series: DataFrame, threshold: float = ISSUE_RATE_ALERT, by
     )
 
 
-def score_priority(incidents: DataFrame) -> DataFrame:
+def score_priority(incidents: DataFrame, ladder: dict[str, float] = PRIORITY_LADDER) -> DataFrame:
     """Priority P1 to P4 and the reason. Unconfirmed impact never outranks confirmed impact."""
+    step = ladder.__getitem__
     days = F.col("end_day") - F.col("start_day") + 1
     peak, stage = F.col("peak_value"), F.col("source_stage")
     blocking = (
-        F.when((peak > 0.10) | (days > 14), "P1").when(peak > 0.03, "P2").otherwise("P3")
+        F.when((peak > step("blocking_high")) | (days > step("blocking_long")), "P1")
+        .when(peak > step("blocking_low"), "P2").otherwise("P3")
+    )
+    metadata = (
+        F.when((peak > step("metadata_high")) | (days > step("metadata_long")), "P2")
+        .when(peak > step("metadata_low"), "P3").otherwise("P4")
     )
-    metadata = F.when((peak > 0.25) | (days > 21), "P2").when(peak > 0.10, "P3").otherwise("P4")
     priority = (
         F.when(~F.col("impact_confirmed"), F.lit("P4"))
-        .when(stage == SKEW, F.when(peak < 0.15, "P2").otherwise("P1"))
+        .when(stage == SKEW, F.when(peak < step("skew_high"), "P2").otherwise("P1"))
         .when(stage == QUALITY, F.when(F.col("blocking"), blocking).otherwise(metadata))
-        .otherwise(F.when((days > 14) | (peak > 0.4), "P1").otherwise("P2"))
+        .otherwise(F.when((days > step("drift_long")) | (peak > step("drift_high")), "P1").otherwise("P2"))
     )
     span = F.concat(days.cast("string"), F.lit(" day(s)"))
     reasoning = (
@@ -166,14 +173,17 @@ def score_priority(incidents: DataFrame) -> DataFrame:
     return incidents.withColumn("priority", priority).withColumn("reasoning", reasoning)
 
 
-def alert_digest(*incidents: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """All incidents with their priority and their place in the digest."""
+def alert_digest(
+    *incidents: DataFrame, by: Sequence[str] = (), rates: dict[str, tuple[str, bool]] = RATE_ALERTS,
+    ladder: dict[str, float] = PRIORITY_LADDER,
+) -> DataFrame:
+    """All incidents with their priority and their place in the digest; quality alerts in the order of ``rates``."""
     merged = incidents[0]
     for more in incidents[1:]:
         merged = merged.unionByName(more)
-    scored = score_priority(merged)
+    scored = score_priority(merged, ladder)
     stages = F.array(F.lit(DRIFT), F.lit(SKEW), F.lit(QUALITY))
-    kinds = F.array(*[F.lit(t) for t, _ in RATE_ALERTS.values()])
+    kinds = F.array(*[F.lit(t) for t, _ in rates.values()])
     order = key_window(by).orderBy(
         "priority",
         F.array_position(stages, F.col("source_stage")),

@@ -56,6 +56,7 @@ def has_issue(issue: str, issues: str = "issues") -> Column:
 def rolling_issue_rates(
     df: DataFrame, rates: dict[str, str] | None = None, day: str = "day", by: Sequence[str] = (),
     window: int = ROLLING_DAYS, warmup: int | None = None, correct: str = "correct",
+    days: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Share of rows with each issue, share blocked, and accuracy on what reached the model."""
     rates = rates or RATE_OF_ISSUE
@@ -68,7 +69,7 @@ def rolling_issue_rates(
         "_correct": F.coalesce(F.sum(F.when(reached, F.col(correct).cast("bigint"))), F.lit(0)),
         "_scored": F.count(F.when(reached, F.col(correct))),
     }
-    rolled = rolling_counts(df, sums, day, by, window, warmup)
+    rolled = rolling_counts(df, sums, day, by, window, warmup, days)
 
     def share(part: str, whole: str = "_n") -> Column:
         return F.try_divide(F.col(part).cast("double"), F.col(whole))

@@ -15,6 +15,8 @@ PREFIX_DIGITS = 4
 # The default of spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_LIMIT = 1000
 SUBGROUPS = 256
+# Equal parts of a percentile bracket.
+BINS = 4_096
 
 
 def bucket_offsets(buckets: DataFrame) -> DataFrame:
@@ -86,8 +88,9 @@ def index_percentiles(
     """Exact ``sorted(values)[min(int(n * share), n - 1)]`` per group and share, in long form.
 
     A quantile sketch first brackets each wanted rank; its error is at most ``n / accuracy`` ranks. A
-    second pass counts the rows below the bracket and ranks only the distinct values inside it. Should a
-    bracket ever miss its rank the job fails instead of answering wrongly.
+    second pass counts the rows below the bracket and in ``BINS`` equal bins of it, and a third ranks only the
+    distinct values of the one bin that holds the rank. Should a bracket ever miss its rank the job fails
+    instead of answering wrongly.
     """
     shares = [float(p) for p in shares]
     margin = 3.0 / accuracy
@@ -115,27 +118,43 @@ def index_percentiles(
         marked = join_group_rows(narrow, brackets, by, row_key, **extra)
     else:
         marked = narrow.withColumn("_brackets", brackets.select("_brackets").scalar())
-    exploded = marked.select(*by, F.col(value).alias("_v"), F.explode("_brackets").alias("_b"))
-    kept = exploded.where(F.col("_v") <= F.col("_b.hi")).select(
-        *by,
-        F.col("_b.share").alias("share"),
-        F.col("_b.index").alias("index"),
-        F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v")).alias("_v"),
-    )
-    # All rows below a bracket fold into its null value already on the map side.
-    counts = kept.groupBy(*by, "share", "index", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ordered = Window.partitionBy(*by, "share").orderBy(F.asc_nulls_first("_v"))
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    answer = (
-        counts.withColumn("_through", F.sum("_c").over(running))
+    place = marked.select(*by, F.col(value).alias("_v"), F.explode("_brackets").alias("_b")).where(F.col("_v") <= F.col("_b.hi"))
+    # Rows below a bracket and rows of one bin fold together already on the map side.
+    bins = place.groupBy(*by, F.col("_b.share").alias("share"), "_b", _bin().alias("_bin")).agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*by, "share").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holds = F.col("_through") > F.col("_b.index")
+    chosen = (
+        bins.withColumn("_through", F.sum("_c").over(running))
         .groupBy(*by, "share")
         .agg(
-            F.min(F.when(F.col("_v").isNotNull() & (F.col("_through") > F.col("index")), F.col("_v"))).alias("value"),
-            F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
-            F.max("_through").alias("_seen"),
-            F.max("index").alias("_index"),
+            F.first("_b").alias("_b"),
+            F.min(F.when(holds, F.struct("_bin", (F.col("_through") - F.col("_c")).alias("before")))).alias("_at"),
         )
     )
-    missed = (F.col("_below") > F.col("_index")) | (F.col("_seen") <= F.col("_index"))
-    checked = F.when(missed, F.raise_error("percentile bracket missed its rank")).otherwise(F.col("value"))
-    return answer.select(*by, "share", checked.alias("value"))
+    missed = F.col("_at").isNull() | (F.col("_at._bin") < 0)
+    at = F.when(missed, F.raise_error("percentile bracket missed its rank").cast("int")).otherwise(F.col("_at._bin"))
+    cells = chosen.groupBy(*by).agg(
+        F.collect_list(F.struct("share", "_b.index", "_b.lo", "_b.hi", at.alias("bin"), F.col("_at.before").alias("before"))).alias("_brackets")
+    )
+    if by:
+        inside = join_group_rows(narrow, cells, by, row_key, **extra)
+    else:
+        inside = narrow.withColumn("_brackets", cells.select("_brackets").scalar())
+    inside = inside.select(*by, F.col(value).alias("_v"), F.explode("_brackets").alias("_b"))
+    inside = inside.where((F.col("_v") <= F.col("_b.hi")) & (_bin() == F.col("_b.bin")))
+    counts = inside.groupBy(*by, F.col("_b.share").alias("share"), "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*by, "share").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    through = F.sum("_c").over(running) + F.col("_b.before")
+    return (
+        counts.withColumn("_through", through)
+        .where(holds)
+        .groupBy(*by, "share")
+        .agg(F.min("_v").alias("value"))
+    )
+
+
+def _bin() -> Column:
+    """Bin of ``_v`` in its bracket ``_b``, from 0; -1 below it."""
+    share = F.try_divide(F.col("_v").cast("double") - F.col("_b.lo"), F.col("_b.hi").cast("double") - F.col("_b.lo"))
+    inside = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(BINS - 1)).cast("int")
+    return F.when(F.col("_v") < F.col("_b.lo"), F.lit(-1)).otherwise(inside)

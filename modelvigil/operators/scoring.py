@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from modelvigil.functions.probability import with_softmax_choice
 from modelvigil.functions.text import identity
@@ -17,15 +16,18 @@ from modelvigil.functions.text import identity
 Rule = Callable[[Column], Column]
 BatchScorer = Callable[[pd.Series], pd.DataFrame]
 
-_LOADED: dict[str, BatchScorer] = {}
+_LOADED: dict[str, tuple[str, BatchScorer]] = {}
 
 
-def load_once(name: str, load: Callable[[], BatchScorer]) -> BatchScorer:
-    """The scorer of this Python worker. A top-level function travels by reference, so its cache stays
-    with the worker process from task to task."""
-    if name not in _LOADED:
-        _LOADED[name] = load()
-    return _LOADED[name]
+def load_once(name: str, version: str, load: Callable[[], BatchScorer]) -> BatchScorer:
+    """The scorer of this Python worker, loaded anew when another ``version`` is asked for under its name.
+
+    A top-level function travels by reference, so its cache stays with the worker process from task to task. One
+    scorer is kept for each name.
+    """
+    if name not in _LOADED or _LOADED[name][0] != version:
+        _LOADED[name] = (version, load())
+    return _LOADED[name][1]
 
 
 def score_with_rule(df: DataFrame, rule: Rule, text: str = "text", preprocess: Rule = identity) -> DataFrame:
@@ -48,31 +50,24 @@ def score_with_model(df: DataFrame, model: PipelineModel, text: str = "text", pr
 
 
 def score_in_batches(
-    df: DataFrame, load: Callable[[], BatchScorer], name: str, text: str = "text", preprocess: Rule = identity
+    df: DataFrame, load: Callable[[], BatchScorer], name: str, version: str, text: str = "text",
+    preprocess: Rule = identity,
 ) -> DataFrame:
-    """Score Arrow batches with a Python model loaded once per worker process.
+    """Score Arrow batches with a Python model loaded once per worker process and version.
 
-    ``load`` returns a function from a text series to a frame with predicted, confidence and latency_ms.
-    Only the rows of ``df`` reach Python, so filter before.
+    ``load`` returns a function from a text series to a frame with predicted, confidence and latency_ms. Only the
+    prepared text of the rows of ``df`` goes to Python, and only the scores come back, so filter before.
     """
-    schema = T.StructType(
-        df.schema.fields
-        + [
-            T.StructField("predicted", T.StringType()),
-            T.StructField("confidence", T.DoubleType()),
-            T.StructField("latency_ms", T.DoubleType()),
-        ]
-    )
-    columns = df.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = load_once(name, load)
+    @F.pandas_udf("predicted string, confidence double, latency_ms double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = load_once(name, version, load)
         for batch in batches:
-            scored = scorer(batch["_input"])
-            scored.index = batch.index
-            yield pd.concat([batch[columns], scored[["predicted", "confidence", "latency_ms"]]], axis=1)
+            yield scorer(batch)[["predicted", "confidence", "latency_ms"]].reset_index(drop=True)
 
-    return df.withColumn("_input", preprocess(F.col(text))).mapInPandas(run, schema)
+    return df.withColumn("_scored", scores(preprocess(F.col(text)))).select(
+        *df.columns, *[F.col(f"_scored.{c}").alias(c) for c in ("predicted", "confidence", "latency_ms")]
+    )
 
 
 def softmax_confidence(df: DataFrame, scores: str, positions: Sequence[int], labels: Sequence[str]) -> DataFrame:

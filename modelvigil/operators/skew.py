@@ -39,16 +39,21 @@ def score_paths(
 def skew_sweep(
     scored: DataFrame, lengths: Sequence[int], alert: float = SKEW_GAP_ALERT, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Offline and serving accuracy, their gap and whether it is worth a flag, per serving length."""
+    """Offline and serving accuracy and mean confidence, the gap of the accuracies and whether it is worth a flag,
+    per serving length."""
+    offline = F.col("path") == "offline"
+    at = {n: (F.col("path") == "serving") & (F.col("max_chars") == n) for n in lengths}
     accuracies = scored.groupBy(*by).agg(
-        F.avg(F.when(F.col("path") == "offline", F.col("correct"))).alias("_offline"),
-        *[
-            F.avg(F.when((F.col("path") == "serving") & (F.col("max_chars") == n), F.col("correct"))).alias(f"_s{n}")
-            for n in lengths
-        ],
+        F.avg(F.when(offline, F.col("correct"))).alias("_offline"),
+        F.avg(F.when(offline, F.col("confidence"))).alias("_confidence"),
+        *[F.avg(F.when(own, F.col("correct"))).alias(f"_s{n}") for n, own in at.items()],
+        *[F.avg(F.when(own, F.col("confidence"))).alias(f"_c{n}") for n, own in at.items()],
     )
     rows = F.array(*[
-        F.struct(F.lit(n).alias("max_chars"), F.col("_offline").alias("offline_accuracy"), F.col(f"_s{n}").alias("serving_accuracy"))
+        F.struct(
+            F.lit(n).alias("max_chars"), F.col("_offline").alias("offline_accuracy"), F.col(f"_s{n}").alias("serving_accuracy"),
+            F.col("_confidence").alias("offline_confidence"), F.col(f"_c{n}").alias("serving_confidence"),
+        )
         for n in lengths
     ])
     swept = accuracies.select(*by, F.inline(rows))

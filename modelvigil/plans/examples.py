@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.text import format_chat
 from modelvigil.operators import dataset, ranking
+from modelvigil.presets import NOISE_PREFIXES, NOISE_SUFFIXES, ROWS_PER_LABEL, TYPO_SWAPS
 from modelvigil.sources import views
 
 SEED = 42
@@ -17,7 +18,7 @@ def dedup_ci(spark, folder):
 
 
 def cap_per_label(spark, folder):
-    return dataset.cap_per_label(views.labelled_docs(spark, folder)).select("ex_id", "label")
+    return dataset.cap_per_label(views.labelled_docs(spark, folder), ROWS_PER_LABEL).select("ex_id", "label")
 
 
 def group_split(spark, folder):
@@ -45,8 +46,7 @@ def augment_noise(spark, folder):
 
 def resample_mix(spark, folder):
     events = views.pred_log(spark, folder)
-    mix = {label: MIX.get(label, 1.0) for label in views.EVENT_TYPES}
-    kept = dataset.resample_mix(events, mix, key="event_id", seed=SEED, day="day", start_day=15)
+    kept = dataset.resample_mix(events, MIX, key="event_id", seed=SEED, day="day", start_day=15)
     return kept.select("event_id", "day", "label")
 
 
@@ -67,7 +67,7 @@ def sft_format(spark, folder):
 def _shown(arrays):
     joined = {c: F.md5(F.array_join(c, ",")) for c in ("input_ids", "labels", "attention_mask")}
     return arrays.select(
-        "ex_id", *[c for c in ("batch",) if c in arrays.columns],
+        "ex_id", "window", *[c for c in ("batch",) if c in arrays.columns],
         F.size("input_ids").alias("n_tokens"),
         F.size(F.filter("labels", lambda t: t == -100)).alias("n_masked"),
         *[v.alias(f"{c}_md5") for c, v in joined.items()],
@@ -141,34 +141,44 @@ ids AS (
            list_transform(p, lambda w: CAST(concat('0x', substring(md5(w), 1, 7)) AS BIGINT) % 31998 + 2) AS p,
            list_append(list_transform(a, lambda w: CAST(concat('0x', substring(md5(w), 1, 7)) AS BIGINT) % 31998 + 2), 1) AS a
     FROM words),
+windows AS (
+    SELECT *, 512 - len(a) AS room,
+           unnest(range(greatest(CAST(ceil(len(p) / CAST(512 - len(a) AS DOUBLE)) AS BIGINT), 1))) AS w FROM ids),
 arrays AS (
-    SELECT ex_id, list_concat(p, a)[1:512] AS input_ids,
-           list_concat(list_transform(p, lambda x: -100), a)[1:512] AS labels FROM ids)
+    SELECT ex_id, CAST(w AS INT) AS "window", list_concat(p[w * room + 1:(w + 1) * room], a) AS input_ids,
+           list_concat(list_transform(p[w * room + 1:(w + 1) * room], lambda x: -100), a) AS labels FROM windows)
 """
 
 _SHOWN = """
-    SELECT ex_id, {batch} CAST(len(input_ids) AS INT) AS n_tokens,
+    SELECT ex_id, "window", {batch} CAST(len(input_ids) AS INT) AS n_tokens,
            CAST(len(list_filter(labels, lambda t: t = -100)) AS INT) AS n_masked,
            md5(array_to_string(input_ids, ',')) AS input_ids_md5, md5(array_to_string(labels, ',')) AS labels_md5,
            md5(array_to_string(attention_mask, ',')) AS attention_mask_md5 FROM {table}"""
 
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _texts(values) -> str:
+    return "[" + ", ".join(map(_text, values)) + "]"
+
+
+_SWAPS = "\n".join(
+    f"                       WHEN contains(t, {_text(a)}) AND {_draw('ex_id', f'42:swap{i}:')} % 2 = 0 THEN {_texts((a, b))}"
+    for i, (a, b) in enumerate(TYPO_SWAPS)
+)
+
 _NOISE_SQL = f"""
     WITH framed AS (
         SELECT doc_id AS ex_id,
-               concat(['', '', '', 'Hi team, ', 'Hey, ', 'Urgent - ', 'Following up again - ',
-                       'Not sure who to ask, but ', 'Quick question, '][{_draw('doc_id', '42:prefix:')} % 9 + 1],
-                      text,
-                      ['', '', '', ' Please advise.', ' This is blocking my work.', ' Thanks in advance.',
-                       ' Let me know what you need from me.', ' This has been going on for a couple days now.']
-                      [{_draw('doc_id', '42:suffix:')} % 8 + 1]) AS t
+               concat({_texts(NOISE_PREFIXES)}[{_draw('doc_id', '42:prefix:')} % {len(NOISE_PREFIXES)} + 1], text,
+                      {_texts(NOISE_SUFFIXES)}[{_draw('doc_id', '42:suffix:')} % {len(NOISE_SUFFIXES)} + 1]) AS t
         FROM documents),
     picked AS (
         SELECT *, CASE WHEN {_share('ex_id', '42:typo:')} >= CAST(0.12 AS DOUBLE) THEN NULL
-                       WHEN contains(t, 'the') AND {_draw('ex_id', '42:swap0:')} % 2 = 0 THEN ['the', 'teh']
-                       WHEN contains(t, 'issue') AND {_draw('ex_id', '42:swap1:')} % 2 = 0 THEN ['issue', 'isue']
-                       WHEN contains(t, 'connect') AND {_draw('ex_id', '42:swap2:')} % 2 = 0 THEN ['connect', 'conect']
-                       WHEN contains(t, 'password') AND {_draw('ex_id', '42:swap3:')} % 2 = 0
-                       THEN ['password', 'passowrd'] END AS swap
+{_SWAPS} END AS swap
         FROM framed),
     noisy AS (
         SELECT ex_id, CASE WHEN swap IS NULL THEN t
@@ -200,10 +210,11 @@ ORACLES = {
         full_arrays AS (SELECT *, list_transform(input_ids, lambda x: 1) AS attention_mask FROM arrays)"""
     + _SHOWN.format(batch="", table="full_arrays"),
     "sft_pad": f"""WITH {_ARRAYS},
-        placed AS (SELECT *, (row_number() OVER (ORDER BY md5(concat('42', ex_id)), ex_id) - 1) // 8 AS batch FROM arrays),
+        placed AS (SELECT *, (row_number() OVER (ORDER BY md5(concat('42', ex_id, ':', "window")), concat(ex_id, ':', "window")) - 1) // 8 AS batch
+                   FROM arrays),
         sized AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch) AS longest FROM placed),
         padded AS (
-            SELECT ex_id, batch,
+            SELECT ex_id, "window", batch,
                    list_resize(input_ids, longest, 0) AS input_ids,
                    list_resize(labels, longest, -100) AS labels,
                    list_resize(list_transform(input_ids, lambda x: 1), longest, 0) AS attention_mask FROM sized)"""

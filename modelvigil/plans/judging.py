@@ -61,9 +61,11 @@ def self_consistency(spark, folder):
 def compare_models(spark, folder):
     """The judged rows are stored once; every metric reads them instead of scoring again."""
     judged = materialise(
-        views.model_runs(spark, folder).select("model", "ex_id", "predicted", "correct", "latency_s", "output_tokens")
+        views.model_runs(spark, folder).select(
+            "model", "ex_id", "label", "predicted", "correct", "latency_s", "output_tokens"
+        )
     )
-    table = evaluation.compare_models(judged, "base", "tuned", views.repeated_runs(spark, folder))
+    table = evaluation.compare_models(judged, "base", "tuned", views.repeated_runs(spark, folder), vocabulary=LANG_LABELS)
     return rounded(table, "base", "tuned", "delta")
 
 
@@ -92,12 +94,12 @@ def skew_truncate(spark, folder):
 
 def skew_gap(spark, folder):
     gap = skew.skew_gap(skew.score_paths(views.labelled_docs(spark, folder), views.language_rule, (60,)))
-    return rounded(gap, "offline_accuracy", "serving_accuracy", "gap")
+    return rounded(gap, "offline_accuracy", "serving_accuracy", "offline_confidence", "serving_confidence", "gap")
 
 
 def skew_sweep(spark, folder):
     swept = skew.skew_sweep(skew_scores(spark, folder), SERVING_LENGTHS)
-    return rounded(swept, "offline_accuracy", "serving_accuracy", "gap")
+    return rounded(swept, "offline_accuracy", "serving_accuracy", "offline_confidence", "serving_confidence", "gap")
 
 
 def skew_by_category(spark, folder):
@@ -132,7 +134,7 @@ def load_letter_scorer():
 
 def score_batched(spark, folder):
     docs = views.labelled_docs(spark, folder).select("ex_id", "label", "text")
-    scored = scoring.score_in_batches(docs, load_letter_scorer, "letters")
+    scored = scoring.score_in_batches(docs, load_letter_scorer, "letters", "1")
     scored = evaluation.with_correct(scored)
     return rounded(scored.select("ex_id", "predicted", "confidence", "correct"), "confidence")
 
@@ -210,7 +212,8 @@ ORACLES = {
             UNION ALL SELECT model, 'invalid_rate', invalid_rate FROM summary
             UNION ALL SELECT model, 'avg_output_tokens', avg_output_tokens FROM summary
             UNION ALL SELECT model, 'p50', p50 FROM latency UNION ALL SELECT model, 'p95', p95 FROM latency
-            UNION ALL SELECT model, 'self_consistency', v FROM stable)
+            UNION ALL SELECT model, 'self_consistency', v FROM stable
+            UNION ALL SELECT model, concat('accuracy:', label), avg(correct) FROM model_runs GROUP BY model, label)
         SELECT b.metric, round(b.v, 6) AS base, round(t.v, 6) AS tuned, round(t.v - b.v, 6) AS delta
         FROM long b JOIN long t ON t.metric = b.metric AND b.model = 'base' AND t.model = 'tuned'""",
     "error_groups": with_(MODEL_RUNS) + """
@@ -226,11 +229,13 @@ ORACLES = {
         FROM documents""",
     "skew_gap": with_(SKEW_EVAL) + """
         SELECT max_chars, round(offline_accuracy, 6) AS offline_accuracy,
-               round(serving_accuracy, 6) AS serving_accuracy, round(gap, 6) AS gap, gap > 0.05 AS flagged
+               round(serving_accuracy, 6) AS serving_accuracy, round(offline_confidence, 6) AS offline_confidence,
+               round(serving_confidence, 6) AS serving_confidence, round(gap, 6) AS gap, gap > 0.05 AS flagged
         FROM skew_gaps WHERE max_chars = 60""",
     "skew_sweep": with_(SKEW_EVAL) + """
         SELECT max_chars, round(offline_accuracy, 6) AS offline_accuracy,
-               round(serving_accuracy, 6) AS serving_accuracy, round(gap, 6) AS gap, gap > 0.05 AS flagged
+               round(serving_accuracy, 6) AS serving_accuracy, round(offline_confidence, 6) AS offline_confidence,
+               round(serving_confidence, 6) AS serving_confidence, round(gap, 6) AS gap, gap > 0.05 AS flagged
         FROM skew_gaps""",
     "skew_by_category": with_(SKEW_EVAL) + """,
         o AS (SELECT label, avg(correct) AS a FROM skew_eval WHERE path = 'offline' GROUP BY label)

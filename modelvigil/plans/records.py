@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from modelvigil.operators import incidents, quality, skew
 from modelvigil.plans.rolling import drift_frame, rounded
-from modelvigil.plans.sql import DAYS, DRIFT_SERIES, INGEST_LOG, PRED_LOG, PSI_ROWS, QUALITY_SERIES, SKEW_EVAL, with_
+from modelvigil.plans.sql import (
+    DAYS, DRIFT_SERIES, INGEST_LOG, PRED_LOG, PSI_ROWS, QUALITY_SERIES, SEGMENT_QUALITY, SKEW_EVAL, with_,
+)
 from modelvigil.sources import views
 
 RATES = ("null_text_rate", "sentinel_rate", "enum_rate", "blocked_rate", "accuracy_unblocked")
@@ -41,6 +43,11 @@ def rolling_dq(spark, folder):
     return rounded(quality_frame(spark, folder), *RATES)
 
 
+def rolling_dq_by_segment(spark, folder):
+    series = quality.rolling_issue_rates(views.ingest_log(spark, folder), by=["segment"])
+    return rounded(series, *RATES)
+
+
 def dq_first_alerts(spark, folder):
     return quality.first_rate_alerts(quality_frame(spark, folder))
 
@@ -92,7 +99,7 @@ def digest_summary(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
-        dq_validate, dq_route, daily_ingestion, rolling_dq, dq_first_alerts, dq_attribution, data_gate,
+        dq_validate, dq_route, daily_ingestion, rolling_dq, rolling_dq_by_segment, dq_first_alerts, dq_attribution, data_gate,
         dq_incidents, skew_incidents, alert_digest, digest_summary,
     )
 }
@@ -164,6 +171,11 @@ ORACLES = {
         SELECT day, round(null_text_rate, 6) AS null_text_rate, round(sentinel_rate, 6) AS sentinel_rate,
                round(enum_rate, 6) AS enum_rate, round(blocked_rate, 6) AS blocked_rate,
                round(accuracy_unblocked, 6) AS accuracy_unblocked FROM quality_series""",
+    "rolling_dq_by_segment": with_(INGEST_LOG, QUALITY_SERIES, SEGMENT_QUALITY) + """
+        SELECT segment, day, round(null_text_rate, 6) AS null_text_rate, round(sentinel_rate, 6) AS sentinel_rate,
+               round(enum_rate, 6) AS enum_rate, round(blocked_rate, 6) AS blocked_rate,
+               round(accuracy_unblocked, 6) AS accuracy_unblocked
+        FROM segment_quality""",
     "dq_first_alerts": with_(INGEST_LOG, QUALITY_SERIES) + """
         SELECT 'null_text_rate' AS metric, min(CASE WHEN null_text_rate > 0.05 THEN day END) AS first_day
         FROM quality_series

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from modelvigil.operators import drift, evaluation, incidents
 from modelvigil.plans.sql import DAYS, DRIFT_SERIES, NOISE_BAND, PRED_LOG, PSI_ROWS, with_
-from modelvigil.session import materialise
-from modelvigil.sources import views
+from modelvigil.session import materialise, scratch_path
+from modelvigil.sources import files, views
 from modelvigil.sources.views import EVENT_TYPES
 
 
@@ -25,6 +25,21 @@ def scan_scenario(spark, folder):
     return log.select("event_id", "day", "label", "predicted", "correct", F.round("confidence", 6).alias("confidence"))
 
 
+def append_round_trip(spark, folder):
+    """Telemetry written in two batches a day, one of them twice, and counted after it is read back."""
+    log = views.pred_log(spark, folder).withColumn("sim_date", F.to_date("ts")).withColumn("text", F.lit(None).cast("string"))
+    path = scratch_path(spark, "telemetry")
+    for batch_id, half in (("even", 0), ("odd", 1), ("even", 0)):
+        files.append_predictions(log.where(F.abs(F.col("event_id")) % 2 == half), path, batch_id)
+    back = files.read_predictions(spark, path)
+    return rounded(
+        back.groupBy("scenario", "day").agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_events"), F.sum("correct").alias("n_correct"),
+            F.avg("confidence").alias("avg_confidence"),
+        ), "avg_confidence",
+    )
+
+
 def label_distribution(spark, folder):
     return rounded(drift.label_distribution(views.baseline_log(spark, folder), "label", EVENT_TYPES), "p")
 
@@ -108,7 +123,7 @@ def drift_incidents(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
-        scan_scenario, label_distribution, rolling_distribution, rolling_psi, rolling_accuracy,
+        scan_scenario, append_round_trip, label_distribution, rolling_distribution, rolling_psi, rolling_accuracy,
         label_delayed_accuracy, drift_series, drift_series_by_segment, noise_band, first_alerts, lead_time,
         lead_time_by_segment, daily_telemetry, prediction_counts, confidence_histogram, incident_spans,
         drift_incidents,
@@ -119,6 +134,10 @@ ORACLES = {
     "scan_scenario": with_(PRED_LOG) + """
         SELECT event_id, day, label, predicted, correct, round(confidence, 6) AS confidence
         FROM pred_log WHERE scenario = 'drift'""",
+    "append_round_trip": with_(PRED_LOG) + """
+        SELECT scenario, day, count(*) AS n, count(DISTINCT event_id) AS n_events,
+               CAST(sum(correct) AS BIGINT) AS n_correct, round(avg(confidence), 6) AS avg_confidence
+        FROM pred_log GROUP BY scenario, day""",
     "label_distribution": with_(PRED_LOG) + """
         SELECT v.label, count(p.event_id) AS n,
                round(count(p.event_id) / CAST((SELECT count(*) FROM pred_log WHERE day < 7) AS DOUBLE), 6) AS p

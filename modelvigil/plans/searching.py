@@ -29,7 +29,8 @@ def patience_stop(spark, folder):
 
 
 def leaderboard(spark, folder):
-    board = search.leaderboard(views.trial_results(spark, folder))
+    """Only trials that early stopping let run are ranked."""
+    board = search.leaderboard(search.patience_stop(views.trial_results(spark, folder)).where("executed"))
     return rounded(board.select(*KEYS, "val_accuracy", "place"), "val_accuracy")
 
 
@@ -117,10 +118,10 @@ ORACLES = {
     "patience_stop": f"""WITH RECURSIVE {_REPLAY}
         SELECT search_id, trial_idx, round(val_accuracy, 6) AS val_accuracy, executed, improved,
                round(best_so_far, 6) AS best_so_far, CAST(stalls AS INT) AS stalls FROM replay""",
-    "leaderboard": f"""WITH {_TRIALS}
+    "leaderboard": f"""WITH RECURSIVE {_REPLAY}
         SELECT search_id, trial_idx, round(val_accuracy, 6) AS val_accuracy,
                CAST(row_number() OVER (PARTITION BY search_id ORDER BY val_accuracy DESC NULLS LAST, trial_idx) AS INT) AS place
-        FROM trials""",
+        FROM replay WHERE executed""",
     "search_untried": f"""WITH RECURSIVE {_REPLAY}
         SELECT t.search_id, t.trial_idx, t.min_hits, t.min_per_1000, t.first_class
         FROM trials t JOIN replay r USING (search_id, trial_idx) WHERE NOT r.executed""",

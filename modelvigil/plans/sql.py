@@ -18,7 +18,8 @@ said AS (
     FROM keyed),
 pred_log AS (
     SELECT event_id, ts, day, event_type AS label, predicted, CAST(predicted = event_type AS INT) AS correct,
-           (100 - k) / CAST(100 AS DOUBLE) AS confidence, value AS latency_ms, 'drift' AS scenario,
+           (100 - k) / CAST(100 AS DOUBLE) AS confidence, value AS latency_ms,
+           CASE WHEN user_id % 2 = 0 THEN 'drift' ELSE 'baseline' END AS scenario,
            concat('seg', user_id % 4) AS segment
     FROM said),
 both_levels AS (
@@ -28,8 +29,8 @@ both_levels AS (
 DAYS = """
 days AS (SELECT CAST(d AS INT) AS day FROM range(7, (SELECT max(day) + 1 FROM pred_log)) r(d)),
 segment_days AS (
-    SELECT segment, CAST(unnest(range(7, last + 1)) AS INT) AS day
-    FROM (SELECT segment, max(day) AS last FROM both_levels GROUP BY segment))
+    SELECT segment, CAST(unnest(range(7, (SELECT max(day) + 1 FROM both_levels))) AS INT) AS day
+    FROM (SELECT DISTINCT segment FROM both_levels))
 """
 
 PSI_ROWS = """
@@ -88,7 +89,8 @@ raw_tickets AS (
            CASE WHEN day >= 7 AND k < 15 THEN (CASE WHEN k % 2 = 1 THEN '' END)
                 ELSE concat(event_type, ' #', event_id) END AS ticket_text,
            CASE WHEN day >= 15 AND k BETWEEN 20 AND 49 THEN 'UNSET' ELSE concat('P', 1 + user_id % 5) END AS priority,
-           CASE WHEN day >= 21 AND k >= 80 THEN 'new_source' ELSE concat('src', user_id % 4) END AS source_system
+           CASE WHEN day >= 21 AND k >= 80 THEN 'new_source' ELSE concat('src', user_id % 4) END AS source_system,
+           concat('seg', user_id % 4) AS segment
     FROM tickets),
 flagged AS (
     SELECT *, ticket_text IS NULL OR length(trim(ticket_text)) < 5 AS bad_text,
@@ -116,6 +118,15 @@ quality_series AS (
     FROM quality_days d LEFT JOIN ingest_log i ON i.day > d.day - 7 AND i.day <= d.day GROUP BY d.day)
 """
 
+SEGMENT_QUALITY = """
+segment_quality AS (
+    SELECT s.segment, d.day, avg(CAST(bad_text AS INT)) AS null_text_rate, avg(CAST(bad_priority AS INT)) AS sentinel_rate,
+           avg(CAST(bad_source AS INT)) AS enum_rate, avg(blocked) AS blocked_rate,
+           avg(correct) FILTER (blocked = 0) AS accuracy_unblocked
+    FROM quality_days d CROSS JOIN (SELECT DISTINCT segment FROM ingest_log) s
+    LEFT JOIN ingest_log i ON i.segment = s.segment AND i.day > d.day - 7 AND i.day <= d.day GROUP BY ALL)
+"""
+
 # The language rule by counting letters with a regular expression instead of translate.
 LETTER_RULE = """
 seen_letters AS (
@@ -140,6 +151,8 @@ skew_eval AS (
 skew_gaps AS (
     SELECT s.max_chars, (SELECT avg(correct) FROM skew_eval WHERE path = 'offline') AS offline_accuracy,
            avg(s.correct) AS serving_accuracy,
+           (SELECT avg(confidence) FROM skew_eval WHERE path = 'offline') AS offline_confidence,
+           avg(s.confidence) AS serving_confidence,
            (SELECT avg(correct) FROM skew_eval WHERE path = 'offline') - avg(s.correct) AS gap
     FROM skew_eval s WHERE s.path = 'serving' GROUP BY s.max_chars)
 """

@@ -15,7 +15,6 @@ TICKET_CATEGORIES = (
 # Ingestion contract.
 MIN_TEXT_LENGTH = 5
 PRIORITY_SENTINEL = "UNSET"
-SOURCE_SYSTEMS = ("web_portal", "email_intake", "mobile_app", "phone_agent")
 
 # Monitor windows and thresholds.
 ROLLING_DAYS = 7
@@ -28,6 +27,20 @@ ISSUE_RATE_ALERT = 0.05
 SKEW_GAP_ALERT = 0.05
 SERVING_MAX_CHARS = 60
 
+# Alert type of each issue rate, and whether the issue keeps rows from the model.
+RATE_ALERTS = {
+    "null_text_rate": ("null_or_empty_text", True),
+    "sentinel_rate": ("silent_default_priority", False),
+    "enum_rate": ("schema_violation_source_system", False),
+}
+# What raises the priority of an incident.
+PRIORITY_LADDER = {
+    "skew_high": 0.15,
+    "blocking_high": 0.10, "blocking_long": 14, "blocking_low": 0.03,
+    "metadata_high": 0.25, "metadata_long": 21, "metadata_low": 0.10,
+    "drift_high": 0.4, "drift_long": 14,
+}
+
 # Text noise. A repeated empty string is a weight, not a slip.
 NOISE_PREFIXES = (
     "", "", "", "Hi team, ", "Hey, ", "Urgent - ", "Following up again - ",

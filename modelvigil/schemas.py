@@ -65,6 +65,8 @@ SKEW_SUMMARY = T.StructType([
     T.StructField("max_chars", T.IntegerType()),
     T.StructField("offline_accuracy", T.DoubleType()),
     T.StructField("serving_accuracy", T.DoubleType()),
+    T.StructField("offline_confidence", T.DoubleType()),
+    T.StructField("serving_confidence", T.DoubleType()),
     T.StructField("gap", T.DoubleType()),
     T.StructField("flagged", T.BooleanType()),
 ])

@@ -1,7 +1,8 @@
-"""Readers and writers. Missing input reads as an empty table with the declared schema."""
+"""Readers and writers. Missing input reads as an empty table with the declared schema, and says so."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,12 +13,17 @@ from pyspark.sql import types as T
 from modelvigil import schemas
 
 
+class MissingInput(UserWarning):
+    """An input path that does not exist."""
+
+
 def _or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        warnings.warn(f"no such input, reading an empty table instead: {error.getMessage()}", MissingInput, stacklevel=3)
         return schemas.empty(spark, schema)
 
 
@@ -34,28 +40,40 @@ def write_examples(df: DataFrame, path: str, text: str = "text", label: str = "l
     df.select(F.col(text).alias("text"), F.col(label).alias("label")).write.mode("overwrite").json(path)
 
 
-def _append_days(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Write the (scenario, date) partitions of ``df``; a repeated run replaces and never doubles them.
+def _write_partitions(df: DataFrame, path: str, fields: Sequence[T.StructField], by: Sequence[str]) -> None:
+    """Replace just the partitions that ``df`` has rows for.
 
     Rows gather by partition; the rebalance hint lets adaptive execution split a heavy day into files of
     the advisory size instead of writing it in one task.
     """
     (
-        df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        .hint("rebalance", "scenario", "sim_date")
+        df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+        .hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("scenario", "sim_date")
+        .partitionBy(*by)
         .parquet(path)
     )
 
 
-def append_predictions(df: DataFrame, path: str) -> None:
-    _append_days(df, path, schemas.PREDICTIONS)
+def _append_batch(df: DataFrame, path: str, schema: T.StructType, batch_id: str) -> None:
+    """Add one batch of rows; a day may come in many batches.
+
+    The batch is a partition of its own, so writing it again replaces it and no other batch of the day, and a
+    batch that fails half-way can be written again. Partitions: scenario, day, batch.
+    """
+    fields = [*schema, T.StructField("batch_id", T.StringType())]
+    _write_partitions(df.withColumn("batch_id", F.lit(str(batch_id))), path, fields, ["scenario", "sim_date", "batch_id"])
+
+
+def append_predictions(df: DataFrame, path: str, batch_id: str) -> None:
+    """Add a batch of prediction telemetry; ``batch_id`` names it for repeated runs."""
+    _append_batch(df, path, schemas.PREDICTIONS, batch_id)
 
 
-def append_ingestion(df: DataFrame, path: str) -> None:
-    _append_days(df, path, schemas.INGESTION)
+def append_ingestion(df: DataFrame, path: str, batch_id: str) -> None:
+    """Add a batch of ingestion records; ``batch_id`` names it for repeated runs."""
+    _append_batch(df, path, schemas.INGESTION, batch_id)
 
 
 def read_predictions(spark: SparkSession, path: str, scenario: str | None = None) -> DataFrame:

@@ -43,6 +43,11 @@ def _model_says(k: Column, day: Column) -> Column:
     return F.when(k < F.when(day >= 15, 30).otherwise(5), F.lit("error")).otherwise(F.col("event_type"))
 
 
+def scenario_of(user: Column) -> Column:
+    """Two scenarios of traffic; a filter on one reaches the scan as a test on the user."""
+    return F.when(user % 2 == 0, F.lit("drift")).otherwise(F.lit("baseline"))
+
+
 def predictions_of(events: DataFrame, day: Column) -> DataFrame:
     k = _k()
     return events.select(
@@ -54,7 +59,7 @@ def predictions_of(events: DataFrame, day: Column) -> DataFrame:
         (_model_says(k, day) == F.col("event_type")).cast("int").alias("correct"),
         ((100 - k) / F.lit(100.0)).alias("confidence"),
         F.col("value").alias("latency_ms"),
-        F.lit("drift").alias("scenario"),
+        scenario_of(F.col("user_id")).alias("scenario"),
         F.concat(F.lit("seg"), (F.col("user_id") % 4).cast("string")).alias("segment"),
     )
 
@@ -96,6 +101,7 @@ def tickets_of(events: DataFrame, day: Column) -> DataFrame:
         .alias("source_system"),
         F.col("event_type").alias("label"),
         k.alias("k"),
+        F.concat(F.lit("seg"), (F.col("user_id") % 4).cast("string")).alias("segment"),
     )
 
 

@@ -119,18 +119,44 @@ def test_resampling_to_a_mix(spark):
     kept = dataset.resample_mix(df, {"a": 4.0, "b": 1.0, "c": 4.0})
     n = {r.label: r["count"] for r in kept.groupBy("label").count().collect()}
     assert n["a"] == n["c"] == 10_000 and abs(n["b"] - 2500) < 200
+    unlisted = dataset.resample_mix(df, {"a": 4.0, "c": 4.0})
+    assert sorted(map(tuple, unlisted.collect())) == sorted(map(tuple, kept.collect()))
+    assert dataset.resample_mix(df, {"a": 4.0}, default_weight=0.0).select("label").distinct().count() == 1
     late = dataset.resample_mix(df, {"a": 4.0, "b": 1.0, "c": 4.0}, day="day", start_day=5)
     assert late.where("day < 5").count() == 15_000 and late.where("day >= 5 and label = 'b'").count() < 1500
 
 
 def test_masked_arrays(spark):
     df = spark.createDataFrame([(1, "one two  three", "la bel"), (2, "", "x"), (3, "w " * 40, "x")], "ex_id long, prompt string, label string")
-    got = {r.ex_id: r for r in dataset.build_examples(df, max_len=20).collect()}
+    rows = dataset.build_examples(df, max_len=20).collect()
+    got = {r.ex_id: r for r in rows}
     one = got[1]
     assert len(one.input_ids) == 3 + 2 + 1 and one.labels == [-100] * 3 + one.input_ids[3:]
     assert one.input_ids[-1] == 1 and min(one.input_ids[:-1]) >= 2 and one.attention_mask == [1] * 6
     assert got[2].labels == got[2].input_ids and len(got[2].input_ids) == 2
-    assert got[3].labels == [-100] * 20 and len(set(got[3].input_ids)) == 1
+    windows = sorted((r.window, r.input_ids, r.labels) for r in rows if r.ex_id == 3)
+    word, answer = windows[0][1][0], got[2].input_ids
+    assert [w for w, _, _ in windows] == [0, 1, 2]
+    assert [ids for _, ids, _ in windows] == [[word] * 18 + answer, [word] * 18 + answer, [word] * 4 + answer]
+    assert [labels for _, _, labels in windows] == [[-100] * 18 + answer, [-100] * 18 + answer, [-100] * 4 + answer]
+
+
+def test_every_prompt_token_is_in_one_window_and_answers_are_whole(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(n)), " ".join(f"a{j}" for j in range(m))) for i, (n, m) in enumerate(
+        [(0, 0), (1, 30), (3, 19), (97, 2), (98, 5), (10, 9), (11, 9), (12, 9)]
+    )] + [(90, None, "x"), (91, "w", None)]
+    df = spark.createDataFrame(rows, "ex_id long, prompt string, label string")
+    whole = {r.ex_id: r for r in dataset.build_examples(df, max_len=10_000).collect()}
+    parts = {}
+    for r in dataset.build_examples(df, max_len=20).collect():
+        parts.setdefault(r.ex_id, []).append(r)
+    for ex_id, own in parts.items():
+        answer = [t for t in whole[ex_id].labels if t != -100]
+        assert all([t for t in r.labels if t != -100] == answer and r.input_ids[-1] == 1 for r in own)
+        prompt = [t for r in sorted(own, key=lambda r: r.window) for t in r.input_ids[: -len(answer)]]
+        assert prompt == whole[ex_id].input_ids[: -len(answer)]
+        assert all(len(r.input_ids) <= 20 or len(answer) >= 20 for r in own)
+    assert set(parts) == set(whole) == {r[0] for r in rows}
 
 
 def test_padding_to_the_longest_of_each_batch(spark):

@@ -141,3 +141,23 @@ def test_raw_rows_shuffle_only_as_daily_partials(spark):
     )
     plan = timeseries.rolling_counts(df, {"n": F.count(F.lit(1))}, by=["key"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_count") == 1 and "Join" not in plan
+
+
+def test_a_silent_segment_keeps_its_rows_to_the_common_last_day(spark):
+    rows = [("loud", d) for d in range(30)] + [("silent", d) for d in range(12)]
+    df = spark.createDataFrame(rows, "key string, day int")
+    rolled = timeseries.rolling_counts(df, {"n": F.count(F.lit(1))}, by=["key"]).collect()
+    got = {(r.key, r.day): r.n for r in rolled}
+    assert sorted(d for k, d in got if k == "silent") == list(range(7, 30))
+    assert got["silent", 12] == 6 and all(got["silent", d] == 0 for d in range(18, 30))
+
+
+def test_a_stray_date_fails_or_is_reported(spark):
+    df = spark.createDataFrame([("a", d) for d in range(20)] + [("a", 2_932_896), ("b", -19_723)], "key string, day int")
+    n = {"n": F.count(F.lit(1))}
+    with pytest.raises(Exception, match="give a range of days"):
+        timeseries.rolling_counts(df, n, by=["key"]).collect()
+    inside = timeseries.rolling_counts(df, n, by=["key"], days=(0, 3_000)).collect()
+    assert sorted(r.day for r in inside) == list(range(7, 20))
+    outside = timeseries.rows_outside(df, (0, 3_000), by=["key"]).collect()
+    assert sorted((r.key, r.day, r.n) for r in outside) == [("a", 2_932_896, 1), ("b", -19_723, 1)]

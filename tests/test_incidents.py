@@ -133,3 +133,17 @@ def test_incidents_per_key(spark):
     )
     found = incidents.drift_incidents(both, by=["tenant"]).collect()
     assert [(r.tenant, r.start_day, r.end_day) for r in found] == [("a", 50, 89)]
+
+
+def test_a_fourth_issue_type_reaches_the_digest(spark):
+    rows = [(d, 0.0, 0.0, 0.0, 0.5 if d in (3, 4) else 0.0) for d in range(8)]
+    series = spark.createDataFrame(
+        rows, "day int, null_text_rate double, sentinel_rate double, enum_rate double, encoding_rate double"
+    )
+    rates = {**incidents.RATE_ALERTS, "encoding_rate": ("broken_encoding", True)}
+    digest = incidents.alert_digest(incidents.quality_incidents(series, rates=rates), rates=rates).collect()
+    assert [(r.alert_type, r.start_day, r.end_day, r.blocking, r.priority) for r in digest] == [("broken_encoding", 3, 4, True, "P1")]
+    calm = incidents.alert_digest(
+        incidents.quality_incidents(series, rates=rates), rates=rates, ladder={**incidents.PRIORITY_LADDER, "blocking_high": 0.6}
+    )
+    assert [r.priority for r in calm.collect()] == ["P2"]

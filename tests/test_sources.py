@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from modelvigil import schemas
@@ -29,26 +30,31 @@ def test_malformed_lines_are_kept_apart(spark, tmp_path):
     assert [(r.text, r._corrupt_record) for r in got] == [("fine", None), (None, "not json")]
 
 
-def test_appending_twice_does_not_double(spark, tmp_path):
+def test_batches_of_a_day_add_up_and_repeats_do_not_double(spark, tmp_path):
     path = f"{tmp_path}/predictions"
     log = telemetry(spark)
-    early, late = log.where("day < 20"), log.where("day >= 18")
-    files.append_predictions(early, path)
-    files.append_predictions(late, path)
-    files.append_predictions(late, path)
+    halves = {"even": log.where("event_id % 2 = 0"), "odd": log.where("event_id % 2 = 1")}
+    for batch_id in ("even", "odd", "odd", "even"):
+        files.append_predictions(halves[batch_id], path, batch_id)
     back = files.read_predictions(spark, path)
+    assert sorted(back.columns) == sorted(log.columns)
     assert back.count() == log.count() and back.select("event_id").distinct().count() == log.count()
     other = log.where("day = 1").withColumn("scenario", F.lit("baseline"))
-    files.append_predictions(other, path)
+    files.append_predictions(other, path, "even")
     pruned = files.read_predictions(spark, path, "baseline")
-    assert pruned.count() == other.count()
+    assert pruned.count() == other.count() and files.read_predictions(spark, path).count() == log.count() + other.count()
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(scenario" in plan
 
 
+def test_missing_input_is_empty_and_says_so(spark, tmp_path):
+    with pytest.warns(files.MissingInput, match="nowhere"):
+        assert files.read_predictions(spark, f"{tmp_path}/nowhere").count() == 0
+
+
 def test_ingestion_log_round_trip(spark, tmp_path):
     log = views.ingest_log(spark, SF).withColumn("sim_date", F.to_date("ts")).withColumn("scenario", F.lit("quality"))
-    files.append_ingestion(log, f"{tmp_path}/log")
+    files.append_ingestion(log, f"{tmp_path}/log", "all")
     back = files.read_ingestion(spark, f"{tmp_path}/log")
     rates = [tuple(r) for r in quality.rolling_issue_rates(back).orderBy("day").collect()]
     assert rates == [tuple(r) for r in quality.rolling_issue_rates(log).orderBy("day").collect()]
@@ -61,7 +67,7 @@ def test_series_and_summary_round_trip(spark, tmp_path):
         files.write_series(series, f"{tmp_path}/{fmt}", fmt)
         back = files.read_series(spark, f"{tmp_path}/{fmt}", schemas.DRIFT_SERIES, fmt)
         assert sorted(map(tuple, back.collect())) == rows
-    gap = spark.createDataFrame([(60, 0.9, 0.8, 0.1, True)], schemas.SKEW_SUMMARY)
+    gap = spark.createDataFrame([(60, 0.9, 0.8, 0.7, 0.6, 0.1, True)], schemas.SKEW_SUMMARY)
     files.write_summary(gap, f"{tmp_path}/summary")
     assert files.read_summary(spark, f"{tmp_path}/summary", schemas.SKEW_SUMMARY).collect() == gap.collect()
 
