@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelvigil.llm.common import held_out, map_columns, table
+from modelvigil.llm.common import held_out, map_columns, smallest_hashes, table
 from modelvigil.llm.ngrams import char_ngrams
 from modelvigil.session import materialise
 
@@ -137,9 +137,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             frequency[slot] = n
     idf = np.log((1 + found.get(-1, 0)) / (1 + frequency)) + 1
 
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= per_language)
-    chosen = materialise(chosen.select("doc_id").distinct())
+    chosen = materialise(smallest_hashes(known.select("doc_id", "lang"), per_language, by="lang").select("doc_id").distinct())
 
     def counts(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:

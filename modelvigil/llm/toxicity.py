@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelvigil.llm.common import held_out, map_columns, table
+from modelvigil.llm.common import held_out, map_columns, smallest_hashes, table
 from modelvigil.llm.ngrams import word_features
 
 #: Words, and beginnings of words of these lengths, hashed to ``2**BITS`` features.
@@ -113,9 +113,8 @@ def learn(
     if prior is None:
         prior = toxic / n if n and 0 < toxic < n else PRIOR
     known = docs.where(~held_out() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    one = marked.where(F.col("toxic") == 1).select("doc_id").orderBy(*order).limit(positives).select("doc_id", F.lit(1).alias("kind"))
-    other = known.select("doc_id").distinct().orderBy(*order).limit(unlabelled).select("doc_id", F.lit(0).alias("kind"))
+    one = smallest_hashes(marked.where(F.col("toxic") == 1).select("doc_id"), positives).select("doc_id", F.lit(1).alias("kind"))
+    other = smallest_hashes(known.select("doc_id"), unlabelled).select("doc_id", F.lit(0).alias("kind"))
     # Both samples are bounded by the parameters above.
     chosen = F.broadcast(one.union(other))
 
