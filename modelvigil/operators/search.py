@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelvigil.operators.timeseries import key_window
-from modelvigil.presets import MIN_DELTA, PATIENCE, SEARCH_AXES
+from modelvigil.presets import CLASSIFIER_AXES, MIN_DELTA, PATIENCE, SEARCH_AXES
 
 
 def grid_array(axes: dict[str, Sequence]) -> Column:
@@ -99,6 +99,37 @@ def ablation(results: DataFrame, axis: str) -> DataFrame:
     )
 
 
+def search_classifier(
+    train: DataFrame, val: DataFrame, axes: dict[str, Sequence] | None = None, patience: int = PATIENCE,
+    min_delta: float = MIN_DELTA, text: str = "text", label: str = "label", **fixed,
+) -> tuple[PipelineModel | None, DataFrame]:
+    """Fit the cells of a grid in order, score each on the validation rows, and stop after ``patience`` cells without
+    an improvement of more than ``min_delta``.
+
+    Every fit and every score is a distributed job over all rows; the loop only walks the grid. Returns the model of
+    the best cell and the leaderboard of the cells that ran, best first: ``trial_idx``, one column per axis,
+    ``val_accuracy``, ``place``. Without a validation row accuracies are null and no model wins.
+    """
+    axes = axes or CLASSIFIER_AXES
+    best, winner, stalls, ran = -1.0, None, 0, []
+    for number, cell in enumerate(itertools.product(*axes.values())):
+        if stalls >= patience:
+            break
+        model = train_classifier(train, text, label, **dict(zip(axes, cell)), **fixed)
+        names = F.array(*[F.lit(v) for v in model.stages[0].labels])
+        said = F.get(names, F.col("prediction").cast("int"))
+        accuracy = model.transform(val).agg(F.avg(F.coalesce(said == F.col(label), F.lit(False)).cast("int"))).first()[0]
+        ran.append((number, *cell, accuracy))
+        if accuracy is not None and accuracy > best + min_delta:
+            best, winner, stalls = accuracy, model, 0
+        else:
+            stalls += 1
+    names = ["trial_idx", *axes, "val_accuracy"]
+    kinds = ["int", *[{int: "int", float: "double"}.get(type(values[0]), "string") for values in axes.values()], "double"]
+    trials = train.sparkSession.createDataFrame(ran, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return winner, leaderboard(trials, by=())
+
+
 def train_classifier(
     train: DataFrame, text: str = "text", label: str = "label", n_features: int = 1 << 16,
     algorithm: str = "naive_bayes", pattern: str = r"\W+", **params,

@@ -56,6 +56,8 @@ TYPO_RATE = 0.12
 
 # Hyper-parameter grid and early stopping.
 SEARCH_AXES = {"rank": (8, 16, 32), "learning_rate": (1e-4, 2e-4, 3e-4), "epochs": (2, 3, 4)}
+# Grid of the bag-of-words classifier.
+CLASSIFIER_AXES = {"smoothing": (0.1, 1.0, 10.0), "n_features": (1 << 12, 1 << 16)}
 PATIENCE = 3
 MIN_DELTA = 0.005
 

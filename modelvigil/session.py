@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="modelvigil-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -78,3 +78,17 @@ def test_trained_classifier_beats_chance_and_scores_as_a_model(spark):
         accuracies[smoothing] = evaluation.accuracy_summary(judged).head().accuracy
         assert judged.where(~F.col("confidence").between(0, 1)).count() == 0
     assert max(accuracies.values()) > 0.9
+
+
+def test_a_search_trains_stops_and_ranks_what_ran(spark):
+    words = {"a": "apple pear plum", "b": "bolt nut screw"}
+    rows = [(f"{words[k]} {i}", k) for i in range(30) for k in words]
+    train = spark.createDataFrame(rows, "text string, label string")
+    val = spark.createDataFrame([("pear plum", "a"), ("screw", "b"), ("apple", "a"), ("unheard of", "c")], "text string, label string")
+    axes = {"smoothing": (1.0, 2.0, 3.0), "n_features": (256, 512)}
+    model, board = search.search_classifier(train, val, axes, patience=2)
+    ran = board.orderBy("place").collect()
+    assert [(r.trial_idx, r.smoothing, r.n_features, r.val_accuracy, r.place) for r in ran] == [
+        (0, 1.0, 256, 0.75, 1), (1, 1.0, 512, 0.75, 2), (2, 2.0, 256, 0.75, 3)
+    ]
+    assert model is not None and search.search_classifier(train, val.limit(0), axes, patience=1)[0] is None
