@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -132,12 +133,23 @@ class DatasetRejected(ValueError):
     """The dataset gate found problems."""
 
 
+def gate_splits(splits: dict[str, DataFrame], vocabulary: Sequence[str], **columns) -> DataFrame:
+    """The problems of several splits (say train and validation) with the name of the split in ``split``."""
+    named = [gate_problems(df, vocabulary, **columns).withColumn("split", F.lit(name)) for name, df in splits.items()]
+    return functools.reduce(DataFrame.unionByName, named)
+
+
 def assert_clean(
-    df: DataFrame, vocabulary: Sequence[str], key: str, text: str = "text", label: str = "label", shown: int = 5
+    df: DataFrame | dict[str, DataFrame], vocabulary: Sequence[str], key: str, text: str = "text", label: str = "label",
+    shown: int = 5,
 ) -> None:
-    """Raise with the number of problems and the first few of them; return nothing when clean."""
-    problems = gate_problems(df, vocabulary, text, label).select(key, "problem")
-    first = problems.orderBy(key, F.desc("problem")).limit(shown).collect()
+    """Raise with the number of problems and the first few of them; return nothing when clean.
+
+    Splits by name are looked at together, and the name stands with each problem.
+    """
+    splits = df if isinstance(df, dict) else {"": df}
+    problems = gate_splits(splits, vocabulary, text=text, label=label).select("split", key, "problem")
+    first = problems.orderBy("split", key, F.desc("problem")).limit(shown).collect()
     if first:
-        listing = ", ".join(f"{r[key]}: {r['problem']}" for r in first)
+        listing = ", ".join(f"{r.split} {r[key]}: {r['problem']}".lstrip() for r in first)
         raise DatasetRejected(f"{problems.count()} problem(s) in the dataset, first: {listing}")

@@ -91,12 +91,19 @@ def verify_winner(
 
 
 def ablation(results: DataFrame, axis: str) -> DataFrame:
-    """Accuracy by one axis of the grid, pooled over its trials by row counts."""
-    return results.groupBy(axis).agg(
+    """Accuracy by one axis of the grid, pooled over its trials by row counts.
+
+    Trials that also tell how many of their examples agree over repeated runs (``n_agree`` of ``n_examples``, as
+    self-consistency counts them) get their pooled consistency as well.
+    """
+    measures = [
         F.count(F.lit(1)).alias("n_trials"),
         F.try_divide(F.sum("n_correct").cast("double"), F.sum("n")).alias("accuracy"),
         F.max("accuracy").alias("best_accuracy"),
-    )
+    ]
+    if {"n_agree", "n_examples"} <= set(results.columns):
+        measures.append(F.try_divide(F.sum("n_agree").cast("double"), F.sum("n_examples")).alias("self_consistency"))
+    return results.groupBy(axis).agg(*measures)
 
 
 def search_classifier(

@@ -184,3 +184,7 @@ def test_gate(spark):
     with pytest.raises(quality.DatasetRejected, match="4 problem"):
         quality.assert_clean(df, ["a", "b"], "ex_id")
     assert quality.assert_clean(df.where("ex_id = 1"), ["a", "b"], "ex_id") is None
+    both = {"train": df.where("ex_id = 1"), "val": df.where("ex_id = 4")}
+    with pytest.raises(quality.DatasetRejected, match="1 problem.*val 4: invalid_label"):
+        quality.assert_clean(both, ["a", "b"], "ex_id")
+    assert [(r.split, r.ex_id) for r in quality.gate_splits(both, ["a", "b"]).collect()] == [("val", 4)]

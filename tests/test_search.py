@@ -92,3 +92,11 @@ def test_a_search_trains_stops_and_ranks_what_ran(spark):
         (0, 1.0, 256, 0.75, 1), (1, 1.0, 512, 0.75, 2), (2, 2.0, 256, 0.75, 3)
     ]
     assert model is not None and search.search_classifier(train, val.limit(0), axes, patience=1)[0] is None
+
+
+def test_ablation_pools_consistency_where_it_is_known(spark):
+    rows = [(8, 10, 9, 0.9, 3, 4), (8, 30, 20, 0.67, 5, 6), (16, 10, 8, 0.8, 0, 0)]
+    trials = spark.createDataFrame(rows, "rank int, n long, n_correct long, accuracy double, n_agree long, n_examples long")
+    got = {r.rank: r for r in search.ablation(trials, "rank").collect()}
+    assert got[8].accuracy == 29 / 40 and got[8].self_consistency == 0.8 and got[16].self_consistency is None
+    assert "self_consistency" not in search.ablation(trials.drop("n_agree"), "rank").columns
