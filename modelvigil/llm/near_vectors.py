@@ -25,7 +25,7 @@ REACH = 4.5
 #: Chance that a pair at exactly the wanted cosine falls short of the count, at each look.
 MISS = 2e-5
 #: Vectors of one block of the sorting projection.
-BLOCK = 8_192
+BLOCK = 4_096
 SEED = 20_250
 
 
