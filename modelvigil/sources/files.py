@@ -77,13 +77,16 @@ def append_ingestion(df: DataFrame, path: str, batch_id: str) -> None:
 
 
 def read_predictions(spark: SparkSession, path: str, scenario: str | None = None) -> DataFrame:
-    """Prediction telemetry; a scenario prunes partitions."""
+    """Prediction telemetry of all batches; a scenario prunes partitions."""
     table = _or_empty(spark, schemas.PREDICTIONS, lambda: spark.read.schema(schemas.PREDICTIONS).parquet(path))
+    table = table.select(*schemas.PREDICTIONS.fieldNames())
     return table if scenario is None else table.where(F.col("scenario") == scenario)
 
 
 def read_ingestion(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(spark, schemas.INGESTION, lambda: spark.read.schema(schemas.INGESTION).parquet(path))
+    """Ingestion records of all batches."""
+    table = _or_empty(spark, schemas.INGESTION, lambda: spark.read.schema(schemas.INGESTION).parquet(path))
+    return table.select(*schemas.INGESTION.fieldNames())
 
 
 def write_series(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -39,9 +39,9 @@ def test_batches_of_a_day_add_up_and_repeats_do_not_double(spark, tmp_path):
     back = files.read_predictions(spark, path)
     assert sorted(back.columns) == sorted(log.columns)
     assert back.count() == log.count() and back.select("event_id").distinct().count() == log.count()
-    other = log.where("day = 1").withColumn("scenario", F.lit("baseline"))
+    other = log.where("day = 1").withColumn("scenario", F.lit("replay"))
     files.append_predictions(other, path, "even")
-    pruned = files.read_predictions(spark, path, "baseline")
+    pruned = files.read_predictions(spark, path, "replay")
     assert pruned.count() == other.count() and files.read_predictions(spark, path).count() == log.count() + other.count()
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(scenario" in plan
