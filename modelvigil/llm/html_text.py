@@ -52,15 +52,19 @@ BOILERPLATE = frozenset(
 #: Elements, and words of a class, id or role, that hold an article.
 CONTAINERS = frozenset({"article", "main"})
 CONTENT = frozenset("article articlebody content entry main post story".split())
-#: Paths below this share of the best fused ratio are left out: anywhere, and inside a container.
-THRESHOLD, INSIDE = 0.2, 0.005
-#: Share of the fused mass that makes a container the page's article; link share that makes a list a menu.
-MAJOR, LINKS = 0.5, 0.8
+#: Elements that say nothing of their text, and with them those of layout tables: the article's subtree is one of these.
+BARE = frozenset("html body div section center article main".split())
+LAYOUT = BARE | frozenset("table tbody tr td".split())
+#: Share of the fused mass that makes a container the page's article; share that an element needs to be the article's
+#: subtree on a page without one; link share that makes a list a menu.
+MAJOR, SUBTREE, LINKS = 0.5, 0.9, 0.8
+#: A text with one mark in so many characters is taken for sentences throughout.
+SENTENCE = 60
 #: Weights of a node and of its neighbours below the same parent.
 KERNEL = (0.5, 0.25)
 
 
-@dataclass
+@dataclass(eq=False, repr=False)
 class _Open:
     """An open element, with what holds for everything inside it. Paths are numbered, so depth costs nothing."""
 
@@ -70,23 +74,26 @@ class _Open:
     dropped: bool
     container: int | None
     content: bool
-    listed: bool
+    list: int | None
+    number: int
+    above: _Open | None
 
 
-_ROOT = _Open("", 0, -1, False, None, False, False)
+_ROOT = _Open("", 0, -1, False, None, False, None, 0, None)
 
 
 @dataclass
 class Node:
-    """Text of one block inside an element, and how many of its characters are in links."""
+    """Text of one block inside an element, how many of its characters are in links, and the numbers of these links."""
 
     inside: _Open
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
+    links: set[int] = field(default_factory=set)
     text: str = ""
 
 
-def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int]) -> _Open:
+def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int], number: int) -> _Open:
     words: set[str] = set()
     hidden = False
     if len(rest) > 1:
@@ -105,7 +112,8 @@ def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int
         container = path
     return _Open(
         name, path, outer.path, outer.dropped or (dropped and name not in ("html", "body")), container,
-        outer.content or name in CONTAINERS or bool(words & CONTENT), outer.listed or name in ("li", "ul", "ol"),
+        outer.content or name in CONTAINERS or bool(words & CONTENT),
+        number if name in ("ul", "ol") or (name == "li" and outer.list is None) else outer.list, number, outer,
     )
 
 
@@ -115,7 +123,7 @@ def blocks(page: str) -> list[Node]:
     stack: list[_Open] = [_ROOT]
     open_names: Counter[str] = Counter()
     paths: dict[tuple[int, str], int] = {}
-    links = 0
+    links = opened = anchors = 0
     node: Node | None = None
     at, end = 0, len(page)
 
@@ -129,6 +137,7 @@ def blocks(page: str) -> list[Node]:
         node.pieces.append(text)
         if links:
             node.linked += len(text)
+            node.links.add(links)
 
     def close(place: int) -> None:
         open_names.subtract(o.name for o in stack[place:])
@@ -149,7 +158,8 @@ def blocks(page: str) -> list[Node]:
             say(" ")
             continue
         if name == "a":
-            links = 0 if m[1] else 1
+            anchors += 1
+            links = 0 if m[1] else anchors
         if name in INLINE:
             continue
         if name in RAW:
@@ -176,28 +186,94 @@ def blocks(page: str) -> list[Node]:
                         break
         elif stack[-1].name == "p":  # a paragraph holds no block
             close(len(stack) - 1)
-        stack.append(_opened(name, m[3], stack[-1], paths))
+        opened += 1
+        stack.append(_opened(name, m[3], stack[-1], paths, opened))
         open_names[name] += 1
     for found in nodes:
         found.text = " ".join("".join(found.pieces).split())
     return [found for found in nodes if found.text]
 
 
+def _elements(nodes: list[Node]) -> list[_Open]:
+    """The elements with text somewhere inside, in the order they were opened."""
+    found: dict[int, _Open] = {}
+    for n in nodes:
+        element = n.inside
+        while element is not None and element.number not in found:
+            found[element.number] = element
+            element = element.above
+    return [found[number] for number in sorted(found)]
+
+
+def _masses(nodes: list[Node], elements: list[_Open], fused: np.ndarray) -> dict[int, float]:
+    """The sum of ``fused`` inside each element, by its number."""
+    mass = {e.number: 0.0 for e in elements}
+    for n, value in zip(nodes, fused.tolist()):
+        mass[n.inside.number] += value
+    for e in reversed(elements):
+        if e.above is not None:
+            mass[e.above.number] += mass[e.number]
+    return mass
+
+
+def _subtree(nodes: list[Node], elements: list[_Open], fused: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Which nodes are in the innermost element that has nearly all of the fused mass.
+
+    What stands beside it or beside an element around it comes along if it is an element of text (a heading, a list,
+    a table) or has the same path; of the latter not what is bare text without a mark.
+    """
+    mass = _masses(nodes, elements, fused)
+    chosen = elements[0]
+    steps, around = {chosen.number}, set()
+    for e in elements:
+        if e.above is chosen and e.name in LAYOUT and mass[e.number] >= SUBTREE * mass[elements[0].number]:
+            around.add(chosen.number)
+            chosen = e
+            steps.add(e.number)
+    paths = {e.path for e in elements if e.number in steps}
+    inside: dict[int, bool] = {}
+    beside: dict[int, bool] = {}
+    for e in elements:
+        above = None if e.above is None else e.above.number
+        inside[e.number] = e is chosen or inside.get(above, False)
+        alike = above in around and e.number not in steps and (e.name not in BARE or e.path in paths)
+        beside[e.number] = alike or beside.get(above, False)
+    return np.array([
+        inside[n.inside.number] or (beside[n.inside.number] and (n.inside.name not in BARE or m > 0))
+        for n, m in zip(nodes, marks)
+    ])
+
+
+def _menus(nodes: list[Node], own: np.ndarray) -> np.ndarray:
+    """Which nodes are menus: lists that are links as a whole, and blocks of several links on paths of nothing else."""
+    sizes: Counter[tuple[str, int]] = Counter()
+    linked: Counter[tuple[str, int]] = Counter()
+    keys = [("path", p) if n.inside.list is None else ("list", n.inside.list) for n, p in zip(nodes, own.tolist())]
+    for n, key in zip(nodes, keys):
+        sizes[key] += len(n.text)
+        linked[key] += min(n.linked, len(n.text))
+    return np.array([
+        linked[key] > LINKS * sizes[key] and (key[0] == "list" or len(n.links) > 1) for n, key in zip(nodes, keys)
+    ])
+
+
 def content_nodes(nodes: list[Node]) -> list[Node]:
     """The nodes of the article.
 
-    For each path, the characters outside links and the punctuation marks are averaged over its nodes. Both ratios
-    are smoothed over neighbours below one parent, fused, and set to zero on paths of boilerplate. An article or main
-    element with most of the fused mass is the article, and the threshold there only removes what has next to no
-    text; otherwise paths pass at a share of the best one.
+    For each path, the characters outside links and the share of sentences by punctuation marks are averaged over its
+    nodes. Both ratios are smoothed over neighbours below one parent, fused, and set to zero on paths of boilerplate;
+    the fused ratio grows in line with the characters. An article or main element with most of the fused mass is the
+    article, otherwise the innermost element with nearly all of it. Every block in there is kept, however short,
+    but boilerplate and menus.
     """
     if not nodes:
         return []
     _, own = np.unique([n.inside.path for n in nodes], return_inverse=True)
     free = np.array([max(len(n.text) - n.linked, 0) for n in nodes], dtype=float)
     marks = np.array([len(_MARKS.findall(n.text)) for n in nodes], dtype=float)
+    sentences = np.minimum(1.0, SENTENCE * marks / [len(n.text) for n in nodes])
     count = np.bincount(own)
-    ratios = [(np.bincount(own, x) / count)[own] for x in (free, marks)]
+    ratios = [(np.bincount(own, x) / count)[own] for x in (free, sentences)]
     parents = np.array([n.inside.parent for n in nodes])
     beside = (parents[1:] == parents[:-1]).astype(float)
     smooth = []
@@ -207,8 +283,10 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
             total[mine] += KERNEL[1] * beside * ratio[other]
             weight[mine] += KERNEL[1] * beside
         smooth.append((np.bincount(own, total / weight) / count)[own])
-    standing = np.array([0.0 if n.inside.dropped else 2.0 if n.inside.content else 1.0 for n in nodes])
-    fused = smooth[0] * (1 + smooth[1]) * standing
+    elements = _elements(nodes)
+    dropped = np.array([n.inside.dropped for n in nodes])
+    standing = np.array([2.0 if n.inside.content else 1.0 for n in nodes])
+    fused = smooth[0] * (1 + smooth[1]) * standing * ~dropped
     if not fused.any():
         return []
     mass: dict[int, float] = {}
@@ -217,12 +295,10 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
             mass[n.inside.container] = mass.get(n.inside.container, 0.0) + value
     best = max(mass, key=mass.get, default=None)
     if best is not None and mass[best] >= MAJOR * fused.sum():
-        inside = np.array([n.inside.container == best for n in nodes])
-        passed = inside & (fused >= INSIDE * fused[inside].max()) & (fused > 0)
+        passed = np.array([n.inside.container == best for n in nodes])
     else:
-        passed = (fused >= THRESHOLD * fused.max()) & (fused > 0)
-    menus = np.array([n.inside.listed and n.linked > LINKS * len(n.text) for n in nodes])
-    return [n for n, keep in zip(nodes, passed & ~menus) if keep]
+        passed = _subtree(nodes, elements, fused, marks)
+    return [n for n, keep in zip(nodes, passed & ~dropped & ~_menus(nodes, own)) if keep]
 
 
 def main_text(page: str | None) -> str:

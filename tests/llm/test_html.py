@@ -37,6 +37,39 @@ def test_without_a_container_long_paths_win():
     assert html_text.main_text(page) == ("Long text, with marks. " * 20).strip()
 
 
+LONG = "<p>" + "Some words of a sentence with a length like many others, up to its end. " * 70 + "</p>"
+SHORT = (
+    "<h2>Part</h2><table><tr><td>12 beads<td>8 seeds</table><ul><li>An entry of a list with hardly more than some words"
+    "<li><a href=/x>Linked entry</a></ul><div><blockquote><p>It was said, by one.</p></blockquote></div><h3><a href=/y>Next part</a></h3>"
+)
+SHORT_TEXTS = ["Part", "12 beads", "8 seeds", "An entry of a list with hardly more than some words", "Linked entry", "It was said, by one.", "Next part"]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<article>", "</article>"), ("<body><div class=top>Home</div><div class=text>", "</div>"), ("<body>", ""),
+    ("<div>", "</div><div class=end>All of it by us</div>"), ("<article><div><div>", "</div></div></article>"),
+])
+@pytest.mark.parametrize("long", [LONG, LONG.replace(", up", " up")[:1500] + "</p>", "<p>word</p>" + LONG])
+def test_short_blocks_beside_long_paragraphs_stay(before, after, long):
+    got = html_text.main_text(f"{before}{long * 3}{SHORT}{long}{after}").split("\n")
+    assert [t for t in got if len(t) < 100 and t != "word"] == SHORT_TEXTS
+    assert len([t for t in got if len(t) > 1000]) == 4
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div>{LONG}</div><div>{SHORT}</div></body>", f"<body>{SHORT}<div>{LONG}</div></body>",
+    f"<body><div><div>{LONG}</div></div><div>{SHORT}</div><div class=top>Home</div><div>x</div></body>",
+])
+def test_short_blocks_in_an_element_of_their_own_stay(page):
+    assert [t for t in html_text.main_text(page).split("\n") if len(t) < 1000] == SHORT_TEXTS
+
+
+def test_menus_go_and_lists_with_links_stay():
+    menu = "<ul><li><a href=/1>One page</a><li><a href=/2>Another page</a></ul><p class=tags><a href=/3>cats</a> <a href=/4>dogs</a></p>"
+    assert html_text.main_text(f"<article>{P}{menu}{P}</article>") == f"{T}\n{T}"
+    assert html_text.main_text(f"<article>{P}<ol><li><a href=/1>Beads</a><li>of glass or of seeds</ol></article>") == f"{T}\nBeads\nof glass or of seeds"
+
+
 def test_long_and_odd_pages_end_quickly():
     assert html_text.main_text("<" * 100_000 + "a" * 200_000) is not None
     assert html_text.main_text("<div>" * 100_000 + "deep text." + "</b></div>" * 100_000) == "deep text."
