@@ -21,6 +21,7 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+_JOINT = re.compile(r"[-_]+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
 
 #: Elements whose content is not markup.
@@ -41,7 +42,7 @@ CLOSES = {
 DROPPED = frozenset(
     "head nav footer aside form button select dialog noscript template svg math object audio video canvas".split()
 )
-#: Words of a class, id or role that mark what is not the article.
+#: Classes, ids and roles that mark what is not the article, alone or joined to each other.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion menu nav navbar navigation breadcrumb "
     "breadcrumbs masthead banner footer sidebar widget related recommended share sharing social cookie cookies consent "
@@ -75,11 +76,13 @@ class _Open:
     container: int | None
     content: bool
     list: int | None
+    marked: bool
+    article: bool
     number: int
     above: _Open | None
 
 
-_ROOT = _Open("", 0, -1, False, None, False, None, 0, None)
+_ROOT = _Open("", 0, -1, False, None, False, None, False, False, 0, None)
 
 
 @dataclass
@@ -93,27 +96,41 @@ class Node:
     text: str = ""
 
 
+def _only(token: str, words: frozenset[str]) -> bool:
+    """True if a class, id or role is one of the words, or some of them and numbers joined by - or _."""
+    if token in words:
+        return True
+    parts = [part for part in _JOINT.split(token) if not part.isdigit()]
+    return bool(parts) and words.issuperset(parts)
+
+
 def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int], number: int) -> _Open:
     words: set[str] = set()
+    tokens: set[str] = set()
     hidden = False
     if len(rest) > 1:
         for key, *values in _ATTRIBUTE.findall(rest):
             value = next((v for v in values if v), "").lower()
             if key.lower() in ("class", "id", "role"):
                 words.update(_WORDS.findall(value))
+                tokens.update(value.split())
             hidden |= key.lower() == "hidden" or (key.lower() == "aria-hidden" and value == "true")
+    page = name in ("html", "body")
     # The header of an article holds its title; the header of a page does not.
-    header = "header" in {name, *words} and outer.container is None
-    dropped = hidden or name in DROPPED or bool(words & BOILERPLATE) or header
+    dropped = hidden or name in DROPPED or (name == "header" and outer.container is None)
+    marked = any(_only(t, BOILERPLATE) or (t == "header" and outer.container is None) for t in tokens)
     label = name if not words else f"{name}.{'.'.join(sorted(words))}"
     path = paths.setdefault((outer.path, label), len(paths) + 1)
+    main = name == "main" or any("main" in _JOINT.split(t) and _only(t, CONTENT) for t in tokens)
     container = outer.container
-    if container is None and (name in CONTAINERS or "main" in words):
+    if container is None and (name in CONTAINERS or main):
         container = path
+    content = any(not BOILERPLATE.intersection(w) and CONTENT.intersection(w) for w in map(_WORDS.findall, tokens))
     return _Open(
-        name, path, outer.path, outer.dropped or (dropped and name not in ("html", "body")), container,
-        outer.content or name in CONTAINERS or bool(words & CONTENT),
-        number if name in ("ul", "ol") or (name == "li" and outer.list is None) else outer.list, number, outer,
+        name, path, outer.path, outer.dropped or (dropped and not page), container,
+        outer.content or name in CONTAINERS or content,
+        number if name in ("ul", "ol") or (name == "li" and outer.list is None) else outer.list,
+        marked and not page, name in CONTAINERS or main, number, outer,
     )
 
 
@@ -216,6 +233,37 @@ def _masses(nodes: list[Node], elements: list[_Open], fused: np.ndarray) -> dict
     return mass
 
 
+def _boilerplate(nodes: list[Node], elements: list[_Open], fused: np.ndarray) -> dict[int, bool]:
+    """Which elements, by number, are dropped, themselves or with one around them.
+
+    A class, id or role alone does not drop the element that is or holds the heaviest article or any main, nor one
+    with most of the fused mass, unless articles have more than a remainder of it outside all marked elements.
+    """
+    mass = _masses(nodes, elements, fused)
+    every = mass[elements[0].number]
+    free: dict[int, bool] = {}
+    holds: set[int] = set()
+    articles = [e for e in elements if e.article and mass[e.number] > 0]
+    heaviest = max(articles, key=lambda e: mass[e.number], default=None)
+    for e in elements:
+        free[e.number] = not e.marked and (e.above is None or free[e.above.number])
+    for e in articles:
+        if e is heaviest or e.name == "main":
+            while e is not None and e.number not in holds:
+                holds.add(e.number)
+                e = e.above
+    outside = sum(v for n, v in zip(nodes, fused) if n.inside.container is not None and free[n.inside.number])
+    alone = outside < (1 - SUBTREE) * every
+    dropped: dict[int, bool] = {}
+    for e in elements:
+        most = alone and mass[e.number] >= MAJOR * every
+        dropped[e.number] = (
+            e.dropped or (e.above is not None and dropped[e.above.number])
+            or (e.marked and e.number not in holds and not most)
+        )
+    return dropped
+
+
 def _subtree(nodes: list[Node], elements: list[_Open], fused: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Which nodes are in the innermost element that has nearly all of the fused mass.
 
@@ -261,8 +309,7 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
     """The nodes of the article.
 
     For each path, the characters outside links and the share of sentences by punctuation marks are averaged over its
-    nodes. Both ratios are smoothed over neighbours below one parent, fused, and set to zero on paths of boilerplate;
-    the fused ratio grows in line with the characters. An article or main element with most of the fused mass is the
+    nodes. Both ratios are smoothed over neighbours below one parent, fused, and set to zero in boilerplate; the fused ratio grows in line with the characters. An article or main element with most of the fused mass is the
     article, otherwise the innermost element with nearly all of it. Every block in there is kept, however short,
     but boilerplate and menus.
     """
@@ -284,9 +331,11 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
             weight[mine] += KERNEL[1] * beside
         smooth.append((np.bincount(own, total / weight) / count)[own])
     elements = _elements(nodes)
-    dropped = np.array([n.inside.dropped for n in nodes])
-    standing = np.array([2.0 if n.inside.content else 1.0 for n in nodes])
-    fused = smooth[0] * (1 + smooth[1]) * standing * ~dropped
+    standing = np.array([0.0 if n.inside.dropped else 2.0 if n.inside.content else 1.0 for n in nodes])
+    fused = smooth[0] * (1 + smooth[1]) * standing
+    boilerplate = _boilerplate(nodes, elements, fused)
+    dropped = np.array([boilerplate[n.inside.number] for n in nodes])
+    fused[dropped] = 0
     if not fused.any():
         return []
     mass: dict[int, float] = {}

@@ -70,6 +70,25 @@ def test_menus_go_and_lists_with_links_stay():
     assert html_text.main_text(f"<article>{P}<ol><li><a href=/1>Beads</a><li>of glass or of seeds</ol></article>") == f"{T}\nBeads\nof glass or of seeds"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='layout has-sidebar'", "div class='content no-comments'", "div class='page header-fixed'", "div id=search",
+    "article class='post category-search'", "div class='widget'", "div class='page header'", "main class=comments",
+    "section role=search class='menu-open nav-closed'", "article class=widget",
+])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<div class=widget><div class=text>{}</div></div>", "<div class='no-ad'><p class=notice-bar>{}</p></div>"])
+def test_a_class_word_does_not_drop_the_article(wrapper, inner):
+    page = f"<body><div class='nav'>A menu.</div><{wrapper}>{inner.format(P + P)}</{wrapper.split()[0]}><div class=footer>The end.</div>"
+    assert html_text.main_text(page) == f"{T}\n{T}"
+
+
+@pytest.mark.parametrize("word", ["comments", "sidebar", "cookie-notice", "sidebar-1", "x related y", "ad", "share_menu"])
+def test_class_words_drop_what_is_not_the_article(word):
+    box = f"<div class='{word}'><article><p>I see. And this, too.</p></article></div>"
+    assert html_text.main_text(f"<div class=text>{P}{P}<article>{P}{P}</article>{box}</div>{box}").count(T) >= 2
+    assert "I see" not in html_text.main_text(f"<div class=text>{P}{P}<article>{P}{P}</article>{box}</div>{box}")
+    assert html_text.main_text(f"<article>{P}</article><div class='{word}'>{P * 9}</div>") == T
+
+
 def test_long_and_odd_pages_end_quickly():
     assert html_text.main_text("<" * 100_000 + "a" * 200_000) is not None
     assert html_text.main_text("<div>" * 100_000 + "deep text." + "</b></div>" * 100_000) == "deep text."
