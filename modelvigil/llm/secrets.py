@@ -30,8 +30,10 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 #: A text without one of these words has no assignment; most texts have none.
 _ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 
-#: A run of at least so many characters with a digit is tested; fewer characters a token than this is random.
+#: A run of at least so many characters is tested; fewer characters a token than this is random.
 RANDOM_LEAST, RANDOM_RATIO = 16, 2.2
+#: Letters of words and identifiers have at least so many characters a token; fewer letters than this do not tell.
+WORD_RATIO, WORD_LEAST = 1.9, 8
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}+")
 #: Lengths of md5, sha1, sha224, sha256, sha384 and sha512 digests in hexadecimal digits.
 DIGESTS = (32, 40, 56, 64, 96, 128)
@@ -58,11 +60,21 @@ def vocabulary(path: str) -> tiktoken.Encoding:
     return _VOCABULARIES[key]
 
 
-def is_known(run: str) -> bool:
-    """A digest, a UUID, a number, or an identifier: words and numbers joined by marks, none of them mixed."""
+def is_known(run: str, encoding: tiktoken.Encoding) -> bool:
+    """A digest, a UUID, a number, or an identifier: words and numbers joined by marks, none of them mixed.
+
+    Letters are words by their own cost, taken together over the run; capitals of joined words count as small letters.
+    """
     if _HEX_ONLY.fullmatch(run) and len(run) in DIGESTS or _UUID.fullmatch(run) or run.isdigit():
         return True
-    return all(_LETTERS_THEN_DIGITS.fullmatch(part) for part in _JOINT.split(run))
+    parts = _JOINT.split(run)
+    if not all(_LETTERS_THEN_DIGITS.fullmatch(part) for part in parts):
+        return False
+    words = [word for part in parts if (word := part.strip("0123456789"))]
+    if len(words) > 1:
+        words = [word.lower() if word.isupper() else word for word in words]
+    size = sum(map(len, words))
+    return size < WORD_LEAST or size >= WORD_RATIO * sum(len(encoding.encode_ordinary(word)) for word in words)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -80,13 +92,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def random_spans(text: str, encoding: tiktoken.Encoding, least: int = RANDOM_LEAST, ratio: float = RANDOM_RATIO) -> list:
-    """Runs with a digit and a letter that take more than one token for ``ratio`` characters and are not known."""
+    """Runs that take more than one token for ``ratio`` characters and are not known."""
     found = []
     for m in _RUN.finditer(text):
         run = m[0]
-        if len(run) < least or run.isalpha() or not any(map(str.isdigit, run)) or is_known(run):
+        if len(run) < least:
             continue
-        if len(run) < ratio * len(encoding.encode_ordinary(run)):
+        if len(run) < ratio * len(encoding.encode_ordinary(run)) and not is_known(run, encoding):
             found.append((m.start(), m.end(), "random"))
     return found
 

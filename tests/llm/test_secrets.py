@@ -1,5 +1,9 @@
 import hashlib
+import random
 import re
+import string
+
+import pytest
 
 from modelvigil.llm import secrets
 from modelvigil.llm.tokens import default_path
@@ -60,6 +64,37 @@ def test_random_strings_and_known_ones():
         assert len(secrets.random_spans(text, encoding)) == n, text
 
 
+def test_random_letters_are_found():
+    encoding = secrets.vocabulary(RANKS)
+    draw = random.Random(5)
+    for letters, least in [(string.ascii_lowercase, 80), (string.ascii_uppercase, 95), (string.ascii_letters, 97), (string.ascii_letters + string.digits, 97)]:
+        for size in (16, 20, 24, 32, 40):
+            runs = ["".join(draw.choices(letters, k=size)) for _ in range(100)]
+            assert sum(secrets.random_spans(f"key {r}.", encoding) == [(4, 4 + size, "random")] for r in runs) >= least, (letters, size)
+    for text in ("QXKD-WZPV-LHRJ-TBNG", "qZxLVtKdRwYbNzKw7", "7qZxLVtKdRwYbNzKw", "qZxLVtKd_RwYbNzKw"):
+        assert len(secrets.random_spans(text, encoding)) == 1, text
+
+
+@pytest.mark.parametrize("text", [
+    "Geschwindigkeitsbegrenzung Krankenversicherung Bundesverfassungsgericht Rechtsschutzversicherungsgesellschaften",
+    "anticonstitutionnellement professionnellement gouvernementalisme internationalisation",
+    "electroencefalografista desafortunadamente responsabilidades otorrinolaringologo independientemente",
+    "verantwoordelijkheid pertanggungjawaban yhteiskuntatieteellinen internationalisation2 uncharacteristically",
+    "getElementsByTagName HAVE_SYS_MKDEV_H test_random_letters_are_found org/path/to/page1 en/de/fr/es/it/pt/nl",
+    "================ -------------------- 2024-11-05_2024-12-06 4158-0490-7809-5612 ++++++++++++++++++ a1-b2-c3-d4-e5-f6",
+])
+def test_words_and_identifiers_are_not_found(text):
+    assert secrets.random_spans(text, secrets.vocabulary(RANKS)) == []
+
+
+def test_words_of_the_documents_are_not_found(spark):
+    encoding = secrets.vocabulary(RANKS)
+    for lang in ("en", "de", "fr", "es"):
+        rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(f"lang = '{lang}'").collect()
+        runs = {w for r in rows for w in re.findall(r"(?<![\w+/=-])[A-Za-z]{16,}(?![\w+/=-])", r.text or "")}
+        assert sum(bool(secrets.random_spans(w, encoding)) for w in runs) <= 0.02 * len(runs), lang
+
+
 def test_masking(spark):
     docs = clashing(documents(spark, CASES))
     masked = secrets.mask_secrets(docs, RANKS)
