@@ -54,14 +54,14 @@ def crc(data: bytes | memoryview) -> int:
 def smallest_hashes(ids: DataFrame, n: int, key: str = "doc_id", by: str | None = None) -> DataFrame:
     """At most ``n`` ids, of each ``by`` if given: those with the smallest hashes. A bounded, repeatable sample.
 
-    Rows are counted first and cut at the hash that about ``2 n`` of them stay below, so that no task ranks more,
+    Repeated rows are one. The ids are counted first and cut at the hash that about ``2 n`` of them stay below, so that no task ranks more,
     however many tasks or rows there are.
     """
+    ids = ids.distinct()
     hashed = ids.withColumn("_hash", F.pmod(F.xxhash64(key), F.lit(1 << 40)) / F.lit(float(1 << 40)))
     if by is None:
         few = hashed.where(F.col("_hash") * max(ids.count(), 1) < 2 * n + 100)
     else:
         counts = ids.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
         few = join_group_rows(hashed, counts, [by], key).where(F.col("_hash") * F.col("_n") < 2 * n + 100).drop("_n")
-    few = few.distinct()
     return first_per_group(few, n, ["_hash", key], [by] if by else []).drop("_hash", "place")

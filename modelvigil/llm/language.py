@@ -112,7 +112,8 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     Document frequencies are counted over every such document, ``2**BITS`` sums that are combined before they leave
     a task. The weights are fitted on at most ``per_language`` documents a language, those with the smallest hash of
-    their id; only their feature counts come to the driver.
+    their id; only their feature counts come to the driver. Rows that repeat an id and a language are one there, with
+    the smallest of their texts.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
@@ -137,7 +138,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             frequency[slot] = n
     idf = np.log((1 + found.get(-1, 0)) / (1 + frequency)) + 1
 
-    chosen = materialise(smallest_hashes(known.select("doc_id", "lang"), per_language, by="lang").select("doc_id").distinct())
+    chosen = materialise(smallest_hashes(known.select("doc_id", "lang"), per_language, by="lang").select("doc_id", "lang"))
 
     def counts(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -149,8 +150,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             }
 
     out = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("slots", pa.binary()), ("counts", pa.binary())])
+    once = known.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     sample = map_columns(
-        known.join(chosen, "doc_id", "left_semi"), ["doc_id", "lang", "text"],
+        once, ["doc_id", "lang", "text"],
         "doc_id long, lang string, slots binary, counts binary", counts, out,
     ).collect()
     sample.sort(key=lambda r: (r.doc_id, r.lang, r.slots, r.counts))

@@ -103,7 +103,8 @@ def learn(
 ) -> Model:
     """Model from documents that are not held out: those confirmed toxic, and any others as unlabelled.
 
-    The samples are the rows with the smallest hashes of their ids; only their features come to the driver.
+    The samples are the ids with the smallest hashes, each with the smallest of its texts; only their features come to
+    the driver.
     Without ``prior`` the share of toxic ones among all learnable labels is taken, or ``PRIOR`` if they are of one kind.
     Labels with a null id or a null ``toxic`` say nothing; an id with several labels is toxic if one says so.
     """
@@ -125,8 +126,9 @@ def learn(
                 "slots": [word_features(text, PREFIXES, BITS).astype("<i4").tobytes() for text in batch["text"]],
             }
 
+    once = known.join(chosen, "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text"))
     sample = map_columns(
-        known.join(chosen, "doc_id"), ["doc_id", "kind", "text"], "doc_id long, kind int, slots binary", features,
+        once, ["doc_id", "kind", "text"], "doc_id long, kind int, slots binary", features,
         pa.schema([("doc_id", pa.int64()), ("kind", pa.int32()), ("slots", pa.binary())]),
     ).collect()
     sample.sort(key=lambda r: (r.doc_id, r.kind, r.slots))

@@ -115,6 +115,31 @@ def test_language_learns_from_labels_of_the_other_folds_only(spark):
     assert one.languages == other.languages == ["aa", "bb"] and (one.weights == other.weights).all()
 
 
+def test_repeated_ids_neither_fill_nor_shrink_the_samples(spark, monkeypatch):
+    seen = {}
+
+    def spy(module):
+        plain = module.fit
+
+        def fit(first, *rest):
+            seen[module] = (first, *rest)
+            return plain(first, *rest)
+
+        monkeypatch.setattr(module, "fit", fit)
+
+    spy(language)
+    spy(toxicity)
+    ids = [i for i in range(3_000) if not held(i)]
+    rows = [(i, f"some words {i} of text {k}", "en") for i in ids for k in range(6)]
+    rows += [(ids[0], f"quelques mots {k}", "fr") for k in range(3_000)]
+    docs = documents(spark, rows)
+    language.learn(docs, per_language=300)
+    assert len(seen[language][0]) == 301 - 301 // language.CALIBRATION
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 1), (ids[2], 0)], "doc_id long, toxic int")
+    toxicity.learn(docs, labels, unlabelled=300)
+    assert [len(part) for part in seen[toxicity][:2]] == [2, 300]
+
+
 def test_rejected_languages_go(spark, tables):
     docs = clashing(tables[0].limit(1500).unionByName(documents(spark, ODD)))
     kept = language.identified(docs)
