@@ -195,13 +195,21 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined with at least this score."""
+    """The rows of ``docs``, all columns, whose language is determined with at least this score.
+
+    If nothing could be learnt, no language can be determined, and all texts with a letter stay.
+    """
     model = learn(docs)
 
+    def stays(text: str | None) -> bool:
+        if not model.languages:
+            return any(map(str.isalpha, text or ""))
+        lang, score = model.predict(text)
+        return lang != UNDETERMINED and score >= least
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(text) for text in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
+            yield batch.filter(pa.array([stays(text) for text in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from modelvigil.llm.common import map_columns, table
 from modelvigil.llm.components import connected_components
@@ -184,6 +185,20 @@ def near_links(prints: DataFrame, piece: int = PIECE) -> DataFrame:
     return map_columns(dealt, ["key", "pair", "print"], "u long, v long", work, out)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``print``, ``lowest`` (smallest id of the component) and ``root`` (its print) of every row."""
+    found = materialise(fingerprints(docs))
+    distinct = found.where(F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("first"))
+    components = connected_components(near_links(distinct.select("print")))
+    placed = distinct.join(components, distinct["print"] == components["node"], "left")
+    # Fingerprints with links get the smallest document of their component.
+    tied = placed.where(F.col("component").isNotNull())
+    lowest = tied.groupBy("component").agg(F.min("first").alias("lowest"))
+    reached = tied.select("print", "component").join(lowest, "component").select("print", "lowest", F.col("component").alias("root"))
+    alone = placed.where(F.col("component").isNull()).select("print", F.col("first").alias("lowest"), F.col("print").alias("root"))
+    return found.join(reached.union(alone), "print", "left").select("doc_id", "print", "lowest", "root")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` (the smallest ``doc_id`` reachable by links
     of at most three differing bits, itself included) for every row.
@@ -192,17 +207,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fingerprint, takes no part in links and has a null component. Repeated ids are one node. Other columns are
     not read. Equal fingerprints are one row before any bucket is built, so copies cost nothing there.
     """
-    found = materialise(fingerprints(docs))
-    distinct = found.where(F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("first"))
-    components = connected_components(near_links(distinct.select("print")))
-    placed = distinct.join(components, distinct["print"] == components["node"], "left")
-    # Fingerprints with links get the smallest document of their component.
-    tied = placed.where(F.col("component").isNotNull())
-    lowest = tied.groupBy("component").agg(F.min("first").alias("lowest"))
-    reached = tied.select("print", "component").join(lowest, "component").select("print", "lowest")
-    alone = placed.where(F.col("component").isNull()).select("print", F.col("first").alias("lowest"))
-    labels = reached.union(alone)
-    return found.join(labels, "print", "left").select(
+    return _placed(docs).select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("lowest")).alias("component_id"),
@@ -210,20 +215,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents of ``docs`` whose id is the smallest of its group, each once, with all their columns.
+    """The first document of each group of linked fingerprints, with all its columns.
 
-    Rows without an id are kept. Rows that share an id are one document: the first by all columns stays.
+    Rows without an id are kept. The smallest id of a group is its first; of the rows of a group that share this id,
+    the smallest by all columns in their order. Rows that share an id but are not linked are documents of their own.
     """
-    groups = materialise(near_duplicates(docs).groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")
+    placed = _placed(docs)
+    groups = materialise(placed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("lowest").alias("lowest"), F.count(F.lit(1)).alias("n")
     ))
-    dropped = groups.where((F.col("component_id") != F.col("doc_id"))).select("doc_id")
+    repeated = groups.where(F.col("n") > 1).select("doc_id")
+    dropped = groups.where((F.col("n") > 1) | (F.col("lowest") != F.col("doc_id"))).select("doc_id")
     kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where(F.col("doc_id").isNotNull() & (F.col("n") > 1)).select("doc_id")
     if repeated.isEmpty():
         return kept
-    twice = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(twice.dropDuplicates(["doc_id"]))
+    twice = docs.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"))
+    rows = twice.select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    schema = StructType([*rows.schema.fields[:2], StructField("print", LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = pa.array([_signed(fingerprint(text)) for text in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), prints], ["row", "doc_id", "print"])
+
+    firsts = placed.join(repeated, "doc_id", "left_semi").where(F.col("lowest") == F.col("doc_id")).distinct()
+    first = rows.mapInArrow(work, schema).join(firsts, ["doc_id", "print"]).groupBy("doc_id", "root")
+    return kept.union(first.agg(F.min("row").alias("row")).select("row.*"))
 
 
 def op7_simhash(spark, folder: str) -> DataFrame:

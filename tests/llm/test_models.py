@@ -148,6 +148,11 @@ def test_rejected_languages_go(spark, tables):
     assert len(ids) > 1450
 
 
+def test_documents_stay_when_no_language_can_be_learnt(spark):
+    docs = documents(spark, [(1, "some text", None), (2, "12 34", None), (3, None, None), (None, "other text", "en")])
+    assert {r.text for r in language.identified(docs).collect()} == {"some text", "other text"}
+
+
 def test_toxicity_on_held_out_documents(spark, tables):
     rows = toxicity.op5_toxicity(spark, SF).collect()
     assert len(rows) == tables[0].count()

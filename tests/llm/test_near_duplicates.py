@@ -123,6 +123,14 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_first(documents(spark, [])).count() == 0
 
 
+def test_clashing_ids_are_documents_of_their_own(spark):
+    one, other, third = (" ".join(np.random.default_rng(s).choice(WORDS, 200)) for s in (1, 2, 3))
+    rows = [(5, one, "en"), (5, one, "de"), (5, other), (5, other + " end"), (7, one), (7, third), (8, third), (None, one), (9, other)]
+    docs = clashing(documents(spark, rows))
+    got = sorted(((r.doc_id, r.text, r.lang) for r in simhash.keep_first(docs.repartition(5)).collect()), key=str)
+    assert got == sorted([(5, one, "de"), (5, other, None), (7, third, None), (None, one, None)], key=str)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, plain_print(r.text)) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
