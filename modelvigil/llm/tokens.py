@@ -55,7 +55,7 @@ class PieceEncoder:
     def __init__(self, path: str, remembered: int = 400_000, longest: int = 14):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.remembered, self.longest = remembered, longest
         self.known: dict[str, bytes] = {}
         self.words = self.tokenizer.normalizer is not None  # lower case, blanks dropped
@@ -96,7 +96,11 @@ class PieceEncoder:
         cut: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
             if text:
-                parts = self.cut(text.lower() if self.words else text)
+                lower = text.lower()
+                if any(token in lower for token in self.added):  # the library knows them as one token
+                    out[i] = self.whole([text])[0]
+                    continue
+                parts = self.cut(lower if self.words else text)
                 if sum(map(len, parts)) == len(text) and _latin(text):
                     cut[i] = parts
                 else:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from modelvigil.llm import packing, token_file, tokens
 from tests.llm.frames import clashing, documents
@@ -26,6 +27,14 @@ def test_ids_are_the_librarys(path, parts):
     assert encode.encode(texts) == encode.whole(texts)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_special_tokens_are_the_librarys(path):
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>é", "漢 <|endoftext|>", "<|ENDOFTEXT|> x", "<|startoftext|> a", "plain"]
+    fresh = Tokenizer.from_file(path)
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in tokens.PieceEncoder(path).encode(texts)]
+    assert got == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_ids_with_a_small_memory(spark, path):
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
