@@ -59,6 +59,8 @@ def linked_pairs(
     For a strip of queries, the collisions of each pair are counted over the first projections; pairs short of the
     calibrated count are given up, and only the rest is counted on. What passes the last count is verified.
     """
+    if not len(left):  # tied places leave blocks empty
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     distance = math.sqrt(2 - 2 * cosine)
     half, axes = WINDOW * distance, directions(left.shape[1])
     own = (left @ axes).astype(np.float32)

@@ -107,6 +107,13 @@ def test_near_vectors_in_many_blocks(spark):
     assert got == want
 
 
+def test_an_empty_side_has_no_pairs():
+    some, none = np.eye(3), np.zeros((0, 3))
+    for left, right in [(none, some), (some, none), (none, None)]:
+        a, b = near_vectors.linked_pairs(left, right)
+        assert len(a) == len(b) == 0
+
+
 def test_count_is_calibrated_to_the_wanted_recall():
     rng = np.random.default_rng(3)
     base = rng.normal(size=(4_000, 64))
