@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from modelvigil.llm import (
-    html_text, language, mixing, near_vectors, packing, secrets, simhash, token_file, topk, toxicity,
+    clustering, html_text, language, mixing, near_vectors, packing, secrets, simhash, token_file, topk, toxicity,
 )
 
 QUERIES = {
@@ -18,10 +18,12 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_token_file": token_file.op9_token_file,
     "op10_mixing": mixing.op10_mixing,
+    "op11_clustering": clustering.op11_clustering,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_topk": topk.ORACLE,
     "op2_near_vectors": near_vectors.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_clustering": clustering.ORACLE,
 }
