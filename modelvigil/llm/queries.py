@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from modelvigil.llm import (
-    clustering, html_text, language, mixing, near_vectors, packing, secrets, simhash, spelling, token_file, topk,
+    clustering, html_text, language, mixing, near_vectors, packing, pii, secrets, simhash, spelling, token_file, topk,
     toxicity,
 )
 
@@ -20,6 +20,7 @@ QUERIES = {
     "op9_token_file": token_file.op9_token_file,
     "op10_mixing": mixing.op10_mixing,
     "op11_clustering": clustering.op11_clustering,
+    "op12_pii": pii.op12_pii,
     "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
