@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,28 @@ from modelvigil.operators.ranking import first_per_group
 FOLDS, HELD_OUT = 3, 1
 
 
+_STATE: dict[tuple, Any] = {}
+
+
+def worker_state(path: str, make: Callable[[str], Any]) -> Any:
+    """``make(path)``, kept by the worker process until another file or form of state is asked for.
+
+    Workers live as long as the session and serve every query. There is one place for all files, and the tasks of
+    other operators empty it, so a session that runs many queries needs no more memory than its largest one.
+    """
+    key = (make, path, os.stat(path).st_mtime_ns)
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make(path)
+    return _STATE[key]
+
+
+def release_worker_memory() -> None:
+    """Drop what earlier tasks of this worker process have left."""
+    _STATE.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -27,15 +51,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def map_columns(
     df: DataFrame, columns: list[str | Column], schema: str, work: Callable[[Iterator[dict]], Iterator[dict]],
-    out: pa.Schema,
+    out: pa.Schema, stateful: bool = False,
 ) -> DataFrame:
     """Run ``work`` over the batches of the named columns as lists of Python values.
 
     Other columns of ``df`` are neither read nor sent. ``work`` gets an iterator of dicts column -> list and
-    yields such dicts; at most a batch at a time is in memory.
+    yields such dicts; at most a batch at a time is in memory. ``stateful``: it uses :func:`worker_state`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not stateful:
+            release_worker_memory()
+
         def lists() -> Iterator[dict]:
             for batch in batches:
                 if batch.num_rows:
@@ -47,6 +74,28 @@ def map_columns(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def quoted(name: str) -> str:
+    """A column name as it stands, whatever marks it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def map_batches(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], stateful: bool = False
+) -> DataFrame:
+    """``df`` with its batches changed by ``work``, which keeps columns and types; column names may hold any mark."""
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not stateful:
+            release_worker_memory()
+        for batch in work(batch.rename_columns(names) for batch in batches):
+            yield batch.rename_columns(plain)
+
+    plain = [f"c{i}" for i in range(len(names))]
+    numbered = df.toDF(*plain)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+
+
 def crc(data: bytes | memoryview) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

@@ -145,7 +145,6 @@ def pack_documents(
     """
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        encode = tokens.encoder(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         first = TaskContext.get().partitionId() << 33
         sequence, group = first, first
@@ -173,6 +172,7 @@ def pack_documents(
             group += max(steps, default=-1) + 1
             return rows
 
+        encode = tokens.encoder(tokenizer)
         for batch in batches:
             for doc_id, code in zip(batch["doc_id"], encode.stream(t or "" for t in batch["text"])):
                 ids.append(code + end)
@@ -185,7 +185,7 @@ def pack_documents(
             yield closed()
 
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]
-    return map_columns(docs, columns, SCHEMA, work, _OUT)
+    return map_columns(docs, columns, SCHEMA, work, _OUT, stateful=True)
 
 
 def op4_packing(spark, folder: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 
@@ -13,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelvigil.llm.common import map_columns, table
+from modelvigil.llm.common import map_batches, map_columns, table, worker_state
 from modelvigil.llm.tokens import default_path
 
 #: Order of the kinds: base patterns, then the token-efficiency test.
@@ -42,22 +41,17 @@ _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 _JOINT = re.compile(r"[-_/+=]+")
 _LETTERS_THEN_DIGITS = re.compile(r"[A-Za-z]*[0-9]*|[0-9]+[A-Za-z]+")
 
-_VOCABULARIES: dict[tuple[str, int], tiktoken.Encoding] = {}
+def _loaded(path: str) -> tiktoken.Encoding:
+    import public_tokenizers
 
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-def vocabulary(path: str) -> tiktoken.Encoding:
-    """The vocabulary of a rank file, loaded once for each worker process and file version."""
-    key = (path, os.stat(path).st_mtime_ns)
-    if key not in _VOCABULARIES:
-        import public_tokenizers
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _VOCABULARIES.clear()
-        _VOCABULARIES[key] = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-    return _VOCABULARIES[key]
+def vocabulary(path: str) -> tiktoken.Encoding:
+    """The vocabulary of a rank file."""
+    return worker_state(path, _loaded)
 
 
 def is_known(run: str, encoding: tiktoken.Encoding) -> bool:
@@ -136,7 +130,7 @@ def secret_spans(docs: DataFrame, ranks: str, least: int = RANDOM_LEAST, ratio:
                 rows["spans"].append(joined(every))
             yield rows
 
-    return map_columns(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")], schema, work, out)
+    return map_columns(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")], schema, work, out, stateful=True)
 
 
 def masked(text: str, encoding: tiktoken.Encoding) -> str:
@@ -171,7 +165,7 @@ def mask_secrets(docs: DataFrame, ranks: str) -> DataFrame:
                 )
             yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_batches(docs, work, stateful=True)
 
 
 def op8_secrets(spark, folder: str) -> DataFrame:

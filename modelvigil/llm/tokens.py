@@ -16,6 +16,8 @@ from itertools import chain
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
+from modelvigil.llm.common import worker_state
+
 _LETTERS, _MARKS, _BLANKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~", r" \t\n\r\f\v"
 #: Byte-level pattern: a word may carry the blank before it.
 _BYTE_PARTS = re.compile(
@@ -25,7 +27,8 @@ _BYTE_PARTS = re.compile(
 _WORD_PARTS = re.compile(rf" ?'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]| ?[{_MARKS}]+|[{_BLANKS}]+")
 #: Parts in one call of the library; longer inputs cost it more a part.
 GROUP = 250
-_LOADED: dict[tuple[str, int], "PieceEncoder"] = {}
+#: Bytes of a remembered word beside its letters and ids: two object heads and a place in the table.
+_ENTRY = 180
 
 
 def default_path(name: str) -> str:
@@ -48,19 +51,21 @@ _ALPHABET = _byte_letters()
 class PieceEncoder:
     """Little-endian unsigned 32-bit ids of texts.
 
-    ``remembered`` bounds the words kept; beyond it the memory starts anew. Words above ``longest``
-    characters seldom repeat and are not kept.
+    ``memory`` bounds the bytes of the words kept; beyond it the memory starts anew. Words above ``longest``
+    characters seldom repeat and are not kept. The tokenizer for whole texts is loaded when
+    a text needs it.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000, longest: int = 14):
+    def __init__(self, path: str, memory: int = 48_000_000, longest: int = 14):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered, self.longest = remembered, longest
+        self.path, self.tokenizer = path, None
+        self.merger = Tokenizer.from_file(path)  # the merges alone
+        self.added = [token.content.lower() for token in self.merger.get_added_tokens_decoder().values()]
+        self.memory, self.longest = memory, longest
         self.known: dict[str, bytes] = {}
-        self.words = self.tokenizer.normalizer is not None  # lower case, blanks dropped
+        self.held = 0
+        self.words = self.merger.normalizer is not None  # lower case, blanks dropped
         self.cut = (_WORD_PARTS if self.words else _BYTE_PARTS).findall
-        self.merger = Tokenizer.from_file(path)  # the merges alone
         self.merger.normalizer = None
         self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.merger.encode_special_tokens = True
@@ -71,6 +76,8 @@ class PieceEncoder:
             self.widths[number] = len(token.removesuffix(suffix)) if suffix else len(token)
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        if self.tokenizer is None:
+            self.tokenizer = Tokenizer.from_file(self.path)
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
@@ -107,8 +114,8 @@ class PieceEncoder:
                     out[i] = self.whole([text])[0]
         needed = set(chain.from_iterable(cut.values()))
         fresh = needed.difference(self.known)
-        if len(self.known) + len(fresh) > self.remembered:
-            self.known = {}
+        if self.held > self.memory:
+            self.known, self.held = {}, 0
             fresh = needed
         blank = [part for part in fresh if not part.strip()] if self.words else []
         self.known.update(dict.fromkeys(blank, b""))
@@ -119,6 +126,8 @@ class PieceEncoder:
         for part in fresh:
             if len(part) > self.longest:
                 del self.known[part]
+            else:  # a word, its ids, and a place in the table
+                self.held += _ENTRY + len(part) + len(self.known[part])
         return out
 
     def stream(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[bytes]:
@@ -149,9 +158,5 @@ def _letters(text: str) -> str:
 
 
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process and file version."""
-    key = (path, os.stat(path).st_mtime_ns)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = PieceEncoder(path)
-    return _LOADED[key]
+    """The encoder of a worker process, its words still warm for the next task of the same query."""
+    return worker_state(path, PieceEncoder)

@@ -38,13 +38,30 @@ def test_special_tokens_are_the_librarys(path):
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_ids_with_a_small_memory(spark, path):
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    small = tokens.PieceEncoder(path, remembered=300, longest=6)
-    assert list(small.stream(docs, chars=5_000)) == small.whole(docs)
-    assert len(small.known) <= 300 + max(len(set(d.split())) for d in docs) * 8
+    small = tokens.PieceEncoder(path, memory=60_000, longest=6)
+    sizes = []
+    ids = [code for doc in docs for code in (small.encode([doc])[0], sizes.append(small.held))[:1]]
+    assert ids == small.whole(docs)
+    largest = max(len(set(d.split())) for d in docs)
+    assert max(sizes) <= 60_000 + 2 * largest * 210 and len(small.known) <= max(sizes) / 180
 
 
 def reference(text, path, end):
-    return np.append(np.frombuffer(tokens.encoder(path).whole([text or ""])[0], dtype="<u4"), end).astype("<u4")
+    encode = tokens.encoder(path)
+    return np.append(np.frombuffer(encode.whole([text or ""])[0], dtype="<u4"), end).astype("<u4")
+
+
+def test_worker_keeps_one_state():
+    from modelvigil.llm import common, secrets
+
+    first = tokens.encoder(BYTE)
+    first.encode(["some words here"])
+    assert tokens.encoder(BYTE) is first and first.known
+    secrets.vocabulary(tokens.default_path("byte_bpe_50k.tiktoken"))
+    assert len(common._STATE) == 1
+    assert tokens.encoder(WORD) is not first and len(common._STATE) == 1
+    common.release_worker_memory()
+    assert not common._STATE
 
 
 CASES = [
@@ -170,6 +187,8 @@ def test_token_files_of_documents(spark, tmp_path):
         at += len(ids)
     assert sorted(map(tuple, rows), key=lambda r: r[1]) == want
     assert spark.read.parquet(f"{folder}/manifest").count() > 5
+    files = spark.read.parquet(f"{folder}/manifest").count()
+    assert files > 1 and token_file.read_token_files(spark, folder).rdd.getNumPartitions() == min(files, token_file.READ_TASKS)
     none = str(tmp_path / "none")
     token_file.write_token_files(documents(spark, []), none, WORD)
     assert token_file.read_token_files(spark, none).count() == 0
