@@ -24,6 +24,8 @@ CHUNK = 8
 RANK_BITS = 512
 #: Tokens after which a task starts another file; a longer single document is one file.
 FILE_TOKENS = 4_000_000
+#: Tasks that read files back, at most.
+READ_TASKS = 4_096
 _HEAD = struct.Struct("<8sIIQQ")
 _LEVEL = struct.Struct("<QQQQ")
 
@@ -144,7 +146,6 @@ def write_token_files(
     store.create_dir(f"{inner}/ids", recursive=True)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        encode = tokens.encoder(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         context = TaskContext.get()
         target, base = fs.FileSystem.from_uri(folder)
@@ -165,6 +166,7 @@ def write_token_files(
                 "first_doc": [names[0]], "n_docs": [len(names)], "n_tokens": [held],
             }
 
+        encode = tokens.encoder(tokenizer)
         for batch in batches:
             for doc_id, code in zip(batch["doc_id"], encode.stream(t or "" for t in batch["text"])):
                 parts.append(code + end)
@@ -179,7 +181,7 @@ def write_token_files(
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     dealt = wanted.repartitionByRange(partitions, "doc_id") if partitions else wanted.repartitionByRange("doc_id")
     ordered = dealt.sortWithinPartitions("doc_id", "text")
-    map_columns(ordered, ["doc_id", "text"], _MANIFEST, work, _MANIFEST_OUT).write.parquet(f"{folder}/manifest")
+    map_columns(ordered, ["doc_id", "text"], _MANIFEST, work, _MANIFEST_OUT, stateful=True).write.parquet(f"{folder}/manifest")
 
 
 _DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -191,9 +193,12 @@ _DIGEST_OUT = pa.schema([
 def read_token_files(spark, folder: str) -> DataFrame:
     """A row for each document, from the files: its place in the whole, its number of tokens, the crc32 of its ids.
 
-    The manifest has one row for some millions of tokens, so one task may sum what lies before each file.
+    The manifest has one row for some millions of tokens, so one task may sum what lies before each file. The files
+    themselves are dealt to as many tasks as there are files, at most ``READ_TASKS``; as the number is given,
+    adaptive execution does not join these tiny partitions into one.
     """
     manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
+    tasks = max(1, min(manifest.count(), READ_TASKS))
     before = Window.orderBy("part", "place").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -210,7 +215,7 @@ def read_token_files(spark, folder: str) -> DataFrame:
                     "ids_crc32": [crc(code[4 * a : 4 * (a + n)]) for a, n in zip(starts[:-1].tolist(), lengths.tolist())],
                 }
 
-    return map_columns(placed.repartition("part", "place"), ["path", "base"], _DIGEST, work, _DIGEST_OUT)
+    return map_columns(placed.repartition(tasks, "part", "place"), ["path", "base"], _DIGEST, work, _DIGEST_OUT)
 
 
 def op9_token_file(spark, folder: str) -> DataFrame:
