@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelvigil.llm.common import held_out, map_columns, smallest_hashes, table
+from modelvigil.llm.common import held_out, map_batches, map_columns, smallest_hashes, table
 from modelvigil.llm.ngrams import char_ngrams
 from modelvigil.session import materialise
 
@@ -197,7 +197,9 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
 def identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is determined with at least this score.
 
-    If nothing could be learnt, no language can be determined, and all texts with a letter stay.
+    If nothing could be learnt, no language can be determined, and all texts with a letter stay. Null and empty
+    texts, and texts without a letter, go. Repeated rows are judged alike; a null id changes nothing. No rows give
+    no rows. Columns of any name and type are kept as they are.
     """
     model = learn(docs)
 
@@ -211,7 +213,7 @@ def identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([stays(text) for text in batch.column("text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_batches(docs, work)
 
 
 def op6_language(spark, folder: str) -> DataFrame:

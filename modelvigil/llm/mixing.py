@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelvigil.llm.common import table
+from modelvigil.llm.common import quoted, table
 from modelvigil.operators.joins import join_group_rows
 from modelvigil.session import materialise
 
@@ -103,7 +103,7 @@ def mix(
     """
     size = words("text") + 1 if size is None else size
     sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*map(quoted, docs.columns)).alias("row"),
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("source_key"),
         F.coalesce(F.col("doc_id").cast("string"), F.col("text") if "text" in docs.columns else F.lit(""), F.lit("")).alias("id"),
         size.cast("long").alias("size"),
@@ -162,13 +162,18 @@ def mix(
 
 
 def op10_mixing(spark, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "source", (words("text") + 1).alias("size"))
+    # The text itself goes only so far as a row without an id needs it to be told from others.
+    unnamed = F.when(F.col("doc_id").isNull(), F.md5("text"))
+    docs = table(spark, folder, "documents").select("doc_id", "source", (words("text") + 1).alias("size"), unnamed.alias("text"))
     mixed = mix(docs, size=F.col("size"))
     return mixed.select("row.doc_id", "row.source", "row.size", "copy", "block", "place")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with rows repeated as the mix asks, in its order, and no other columns."""
+    """``docs`` with rows repeated as the mix asks, in its order, and no other columns.
+
+    Null sources, ids and texts, repeated rows and empty tables are handled as :func:`mix` says.
+    """
     mixed = mix(docs)
     return mixed.repartitionByRange("block", "place").sortWithinPartitions("block", "place").select("row.*")
 
@@ -181,7 +186,7 @@ def _draw_sql(label: str, *parts: str) -> str:
 ORACLE = f"""
 WITH RECURSIVE sized AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) + 1 AS BIGINT) AS size,
-           md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS id_hash
+           md5(coalesce(CAST(doc_id AS VARCHAR), md5(text), '')) AS id_hash
     FROM documents),
 totals AS (
     SELECT source, count(*) AS docs, CAST(sum(size) AS BIGINT) AS total FROM sized GROUP BY source),

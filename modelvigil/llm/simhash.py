@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from modelvigil.llm.common import map_columns, table
+from modelvigil.llm.common import map_columns, quoted, table
 from modelvigil.llm.components import connected_components
 from modelvigil.session import materialise
 
@@ -218,7 +218,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The first document of each group of linked fingerprints, with all its columns.
 
     Rows without an id are kept. The smallest id of a group is its first; of the rows of a group that share this id,
-    the smallest by all columns in their order. Rows that share an id but are not linked are documents of their own.
+    the smallest by all columns in their order, maps last and as JSON. Rows that share an id but are not linked are documents of their own.
     """
     placed = _placed(docs)
     groups = materialise(placed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
@@ -226,10 +226,11 @@ def keep_first(docs: DataFrame) -> DataFrame:
     ))
     repeated = groups.where(F.col("n") > 1).select("doc_id")
     dropped = groups.where((F.col("n") > 1) | (F.col("lowest") != F.col("doc_id"))).select("doc_id")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    names = [quoted(name) for name in docs.columns]
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*names)
     if repeated.isEmpty():
         return kept
-    twice = docs.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"))
+    twice = docs.join(repeated, "doc_id", "left_semi").select(F.struct(*names).alias("row"))
     rows = twice.select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
     schema = StructType([*rows.schema.fields[:2], StructField("print", LongType())])
 
@@ -240,7 +241,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     firsts = placed.join(repeated, "doc_id", "left_semi").where(F.col("lowest") == F.col("doc_id")).distinct()
     first = rows.mapInArrow(work, schema).join(firsts, ["doc_id", "print"]).groupBy("doc_id", "root")
-    return kept.union(first.agg(F.min("row").alias("row")).select("row.*"))
+    ordered = [F.col(f"row.{quoted(f.name)}") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    lowest = F.min_by("row", F.struct(*ordered, F.to_json("row")))
+    return kept.union(first.agg(lowest.alias("row")).select("row.*"))
 
 
 def op7_simhash(spark, folder: str) -> DataFrame:
