@@ -11,6 +11,7 @@ from modelvigil.functions.draws import draw, draw_int, pick, shuffle_hash
 from modelvigil.functions.text import replace_first
 from modelvigil.operators.joins import join_group_rows
 from modelvigil.operators.ranking import PREFIX_DIGITS, bucket_offsets, first_per_group, with_shuffle_position
+from modelvigil.operators.vocabulary import encode_words
 from modelvigil.presets import (
     BATCH_SIZE,
     IGNORED_LABEL_ID,
@@ -179,9 +180,34 @@ def token_ids(words: Column, token_id: Callable[[Column], Column]) -> Column:
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: token_id(w))
 
 
+def _windows(split: DataFrame, answer_size: Column, max_len: int) -> DataFrame:
+    """A row for each window of ``_prompt`` that leaves room for the answer, its part in ``_own``."""
+    split = split.withColumn("_room", F.greatest(F.lit(max_len) - answer_size, F.lit(1)))
+    last = F.greatest(F.ceil(F.size("_prompt") / F.col("_room")).cast("int") - 1, F.lit(0))
+    split = split.withColumn("window", F.explode(F.sequence(F.lit(0), last)))
+    return split.withColumn("_own", F.slice("_prompt", F.col("window") * F.col("_room") + 1, F.col("_room")))
+
+
+def _examples_of_vocabulary(
+    df: DataFrame, prompt: str, label: str, words: Callable[[Column], Column], vocabulary: DataFrame, eos_id: int,
+    max_len: int,
+) -> DataFrame:
+    """Windows are cut in words; each then meets the vocabulary, prompt part and answer together."""
+    none = F.array().cast("array<string>")
+    split = df.withColumns({"_prompt": F.coalesce(words(F.col(prompt)), none), "_answer": F.coalesce(words(F.col(label)), none)})
+    own = _windows(split, F.size("_answer") + 1, max_len)
+    own = own.withColumns({"_all": F.concat("_own", "_answer"), "_masked": F.size("_own")})
+    coded = encode_words(own.drop("_prompt", "_answer", "_own", "_room"), "_all", vocabulary, "_ids")
+    ids = F.concat("_ids", F.array(F.lit(eos_id).cast("bigint")))
+    hidden = F.array_repeat(F.lit(IGNORED_LABEL_ID).cast("bigint"), F.col("_masked"))
+    answer = F.slice("input_ids", F.col("_masked") + 1, F.size("input_ids"))
+    arrays = coded.withColumn("input_ids", ids).withColumn("labels", F.concat(hidden, answer))
+    return arrays.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids"))).drop("_all", "_ids", "_masked")
+
+
 def build_examples(
     df: DataFrame, prompt: str = "prompt", label: str = "label",
-    words: Callable[[Column], Column] = split_words, token_id: Callable[[Column], Column] = hashed_id,
+    words: Callable[[Column], Column] = split_words, token_id: Callable[[Column], Column] | DataFrame = hashed_id,
     eos_id: int = 1, max_len: int = MAX_TOKENS,
 ) -> DataFrame:
     """Training arrays whose loss covers the label only: prompt ids are masked in ``labels``.
@@ -190,15 +216,16 @@ def build_examples(
     its number in ``window``: every prompt token is in exactly one array, and every array ends with the whole answer,
     so each has a loss target. An answer of ``max_len`` tokens or more takes windows of one prompt token and is longer
     than ``max_len``; it is never cut. A null prompt or label counts as empty.
+
+    ``token_id`` makes an id of a word, or is a table of a learnt vocabulary, which keeps different words apart.
     """
+    if isinstance(token_id, DataFrame):
+        return _examples_of_vocabulary(df, prompt, label, words, token_id, eos_id, max_len)
     split = df.withColumn("_prompt", token_ids(words(F.col(prompt)), token_id))
     answer = token_ids(words(F.col(label)), token_id)
     split = split.withColumn("_answer", F.concat(answer, F.array(F.lit(eos_id))))
-    split = split.withColumn("_room", F.greatest(F.lit(max_len) - F.size("_answer"), F.lit(1)))
-    last = F.greatest(F.ceil(F.size("_prompt") / F.col("_room")).cast("int") - 1, F.lit(0))
-    split = split.withColumn("window", F.explode(F.sequence(F.lit(0), last)))
-    own = F.slice("_prompt", F.col("window") * F.col("_room") + 1, F.col("_room"))
-    arrays = split.withColumn("_own", own).withColumn("input_ids", F.concat("_own", "_answer")).withColumn(
+    own = _windows(split, F.size("_answer"), max_len)
+    arrays = own.withColumn("input_ids", F.concat("_own", "_answer")).withColumn(
         "labels", F.concat(F.array_repeat(F.lit(IGNORED_LABEL_ID), F.size("_own")), F.col("_answer"))
     )
     arrays = arrays.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.draws import shuffle_hash
 from modelvigil.operators.joins import join_group_rows
+from modelvigil.session import materialise
 
 # Hash prefixes split any key evenly; 16**4 of them is also the bound on the offset table.
 PREFIX_DIGITS = 4
@@ -50,6 +51,21 @@ def with_shuffle_position(
     )
 
 
+def with_order_position(df: DataFrame, order: Sequence[Column | str], position: str = "position") -> DataFrame:
+    """Zero-based position of every row in any order that no two rows share.
+
+    Rows are dealt by ranges of the order, ranked inside their range and shifted by the counts of the ranges before;
+    the one window over all of them sees a row a range. The dealt rows are computed once.
+    """
+    dealt = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(everything), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = dealt.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
+    return placed.withColumn(position, F.col("_before") + F.col("_rank") - 1).drop("_range", "_rank", "_before")
+
+
 def first_per_group(
     df: DataFrame, n: int, order: Column | str | Sequence[Column | str], by: Sequence[str] = (),
     spread: str | None = None, place: str = "place",

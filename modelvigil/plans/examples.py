@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelvigil.functions.text import format_chat
-from modelvigil.operators import dataset, ranking
+from modelvigil.operators import conversations, dataset, ranking, vocabulary
 from modelvigil.presets import NOISE_PREFIXES, NOISE_SUFFIXES, ROWS_PER_LABEL, TYPO_SWAPS
 from modelvigil.sources import views
 
@@ -74,19 +74,39 @@ def _shown(arrays):
     )
 
 
+def sft_vocabulary(spark, folder):
+    """Every word of prompts and answers with its own id, frequent ones first."""
+    split = prompts(spark, folder).select(*[dataset.split_words(F.col(c)).alias(c) for c in ("prompt", "label")])
+    return vocabulary.learn_vocabulary(split, "prompt", "label")
+
+
+def _coded(spark, folder):
+    return dataset.build_examples(prompts(spark, folder).drop("text"), token_id=sft_vocabulary(spark, folder))
+
+
 def sft_mask(spark, folder):
-    return _shown(dataset.build_examples(prompts(spark, folder)))
+    return _shown(_coded(spark, folder))
 
 
 def sft_pad(spark, folder):
-    return _shown(dataset.pad_batches(dataset.build_examples(prompts(spark, folder)), seed=SEED))
+    return _shown(dataset.pad_batches(_coded(spark, folder), seed=SEED))
+
+
+def sft_chat(spark, folder):
+    """All turns of all conversations in windows, the loss on what assistants say."""
+    arrays = conversations.chat_examples(views.read_table(spark, folder, "conversations"))
+    joined = {c: F.md5(F.array_join(c, ",")) for c in ("input_ids", "labels")}
+    return arrays.select(
+        "conv_id", "window", "n_turns", F.size("input_ids").alias("n_tokens"),
+        F.size(F.filter("labels", lambda t: t != -100)).alias("n_learnt"), *[v.alias(f"{c}_md5") for c, v in joined.items()],
+    )
 
 
 QUERIES = {
     q.__name__: q
     for q in (
         dedup_ci, cap_per_label, group_split, group_split_hashed, leakage_audit, leakage_row_split, augment_noise,
-        resample_mix, hash_shuffle, sft_format, sft_mask, sft_pad,
+        resample_mix, hash_shuffle, sft_format, sft_vocabulary, sft_mask, sft_pad, sft_chat,
     )
 }
 
@@ -136,11 +156,15 @@ prompts AS (
 words AS (
     SELECT ex_id, list_filter(regexp_split_to_array(prompt, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS p, [label] AS a
     FROM prompts),
+vocabulary AS MATERIALIZED (
+    SELECT word, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, word) + 2 AS id
+    FROM (SELECT unnest(list_concat(p, a)) AS word FROM words) GROUP BY word),
+placed_words AS (
+    SELECT ex_id, unnest(list_concat(p, a)) AS word, unnest(range(len(p) + len(a))) AS i, len(p) AS answer_at FROM words),
 ids AS (
-    SELECT ex_id,
-           list_transform(p, lambda w: CAST(concat('0x', substring(md5(w), 1, 7)) AS BIGINT) % 31998 + 2) AS p,
-           list_append(list_transform(a, lambda w: CAST(concat('0x', substring(md5(w), 1, 7)) AS BIGINT) % 31998 + 2), 1) AS a
-    FROM words),
+    SELECT ex_id, coalesce(list(id ORDER BY i) FILTER (i < answer_at), []) AS p,
+           list_append(coalesce(list(id ORDER BY i) FILTER (i >= answer_at), []), 1) AS a
+    FROM placed_words JOIN vocabulary USING (word) GROUP BY ex_id),
 windows AS (
     SELECT *, 512 - len(a) AS room,
            unnest(range(greatest(CAST(ceil(len(p) / CAST(512 - len(a) AS DOUBLE)) AS BIGINT), 1))) AS w FROM ids),
@@ -157,6 +181,35 @@ _SHOWN = """
 
 
 
+_CHAT = """
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations
+        WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY coalesce(role, 'user'), coalesce(text, '')) = 1),
+    spoken AS (
+        SELECT conv_id, turn, role,
+               list_concat([concat('<|im_start|>', regexp_replace(role, '[ \t\n\x0B\f\r]+', '_', 'g'))],
+                           list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> ''),
+                           ['<|im_end|>']) AS words
+        FROM said),
+    begun AS (
+        SELECT *, coalesce(sum(len(words)) OVER (PARTITION BY conv_id ORDER BY turn
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM spoken),
+    tokens AS (
+        SELECT conv_id, turn, start + i AS place, word, role = 'assistant' AND i > 0 AS learnt
+        FROM (SELECT conv_id, turn, role, start, unnest(words) AS word, unnest(range(len(words))) AS i FROM begun)),
+    vocabulary AS MATERIALIZED (
+        SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) + 2 AS id FROM tokens GROUP BY word),
+    arrays AS (
+        SELECT conv_id, CAST(place // 512 AS INT) AS "window", CAST(count(DISTINCT turn) AS INT) AS n_turns,
+               list(id ORDER BY place) AS input_ids, list(CASE WHEN learnt THEN id ELSE -100 END ORDER BY place) AS labels
+        FROM tokens JOIN vocabulary USING (word) GROUP BY ALL)
+    SELECT conv_id, "window", n_turns, CAST(len(input_ids) AS INT) AS n_tokens,
+           CAST(len(list_filter(labels, lambda t: t <> -100)) AS INT) AS n_learnt,
+           md5(array_to_string(input_ids, ',')) AS input_ids_md5, md5(array_to_string(labels, ',')) AS labels_md5
+    FROM arrays"""
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -206,6 +259,8 @@ ORACLES = {
         SELECT ex_id, label, row_number() OVER (ORDER BY md5(concat('42', ex_id)), ex_id) - 1 AS position FROM docs""",
     "sft_format": f"""WITH {_ARRAYS}
         SELECT ex_id, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INT) AS n_chars FROM prompts""",
+    "sft_vocabulary": f"WITH {_ARRAYS} SELECT word, n, id FROM vocabulary",
+    "sft_chat": _CHAT,
     "sft_mask": f"""WITH {_ARRAYS},
         full_arrays AS (SELECT *, list_transform(input_ids, lambda x: 1) AS attention_mask FROM arrays)"""
     + _SHOWN.format(batch="", table="full_arrays"),
