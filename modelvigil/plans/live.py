@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelvigil.functions.divergence import psi_band
+from modelvigil.functions.divergence import kl, psi, psi_band
 from modelvigil.operators import drift, quality
 from modelvigil.operators.timeseries import fill_days, rolling_sums
 from modelvigil.plans.sql import DAYS, INGEST_LOG, PRED_LOG, PSI_ROWS, QUALITY_SERIES, with_
+from modelvigil.presets import CLIP_EPSILON
 from modelvigil.session import scratch_path
 from modelvigil.sources import views
-from modelvigil.streaming import monitors
+from modelvigil.streaming import monitors, rolling
 
 # Event time is declared as timestamp: a watermark refuses timestamps without a zone.
 EVENT_SCHEMA = T.StructType([
@@ -65,9 +66,9 @@ def landed(spark, build, name, stream, partition_by=(), ts="ts"):
     for closing in (False, True):
         if closing:
             monitors.close_stream(spark, f"{path}/closing", schema, ts)
+        ledger = monitors.LateRows(spark, f"{path}/late")
         query = monitors.run_to_parquet(result, f"{path}/table", f"{path}/checkpoint", partition_by)
-        query.awaitTermination()
-        if late := monitors.late_rows(query):
+        if late := ledger.watch(query):
             raise RuntimeError(f"{late} rows of stream {name} came behind the watermark")
     fields = [T.StructField(f.name, f.dataType) for f in result.schema if f.name not in partition_by]
     kept = T.StructType(fields + [T.StructField(c, T.IntegerType()) for c in partition_by])
@@ -143,30 +144,43 @@ def stream_label_join(spark, folder, files_per_batch=None):
     return known.withColumn("accuracy", F.round("accuracy", 6))
 
 
-def label_surges(spark, folder):
-    """Days on which a label is predicted more often than in the baseline week."""
-    daily = drift.rolling_distribution(
-        views.pred_log(spark, folder), "predicted", views.EVENT_TYPES, window=1, warmup=0
-    )
+def stream_alert_sessions(spark, folder, files_per_batch=None):
+    """Incident spans straight from the events, in one stream: label counts a day, those above the baseline week,
+    and sessions of the days on which they are."""
     base = drift.label_distribution(views.baseline_log(spark, folder), "label", views.EVENT_TYPES)
-    base = base.select("label", F.col("p").alias("base_p"))
-    return daily.join(base, "label").where(F.col("p") > F.col("base_p")).select(F.col("label").alias("metric"), "day")
+    shares = {r.label: r.p for r in base.collect()}  # a row a label of the vocabulary
 
+    def build(rows):
+        log = views.predictions_of(rows, _day())
+        return monitors.alert_sessions(monitors.label_surges(log, "predicted", shares), delay=None)
 
-def stream_alert_sessions(spark, folder):
-    """Incident spans as session windows over a stream of alert days."""
-    since = F.datediff(F.lit(views.ORIGIN).cast("date"), F.lit("1970-01-01").cast("date"))
-    alerts = label_surges(spark, folder).select(
-        "metric", F.timestamp_seconds((F.col("day") + since) * 86_400).alias("day_ts")
-    )
-    path = scratch_path(spark, "alerts")
-    alerts.write.parquet(path)
-    stream = stream_session(spark).readStream.schema(alerts.schema).parquet(path)
-    sessions = landed(spark, monitors.alert_sessions, "sessions", stream, ts="day_ts")
+    sessions = landed(spark, build, "sessions", event_stream(stream_session(spark), folder, files_per_batch))
     first, last = (monitors.day_of(F.col(c), views.ORIGIN) for c in ("first_ts", "last_ts"))
     return sessions.select("metric", first.alias("start_day"), last.alias("end_day"))
 
 
+def stream_rolling_psi(spark, folder, files_per_batch=None):
+    """PSI of each day's trailing seven days by segment, from rolling state instead of seven windows a row."""
+    baseline = drift.label_vector(views.baseline_log(spark, folder), "label", views.EVENT_TYPES, ["segment"])
+    events = event_stream(stream_session(spark), folder, files_per_batch)
+
+    def build(rows):
+        log = views.predictions_of(rows, _day())
+        return rolling.trailing_label_counts(log, "predicted", views.EVENT_TYPES, views.ORIGIN, "segment")
+
+    counts = landed(spark, build, "rolling", events)
+    newest = views.pred_log(spark, folder).agg(F.max("day").alias("day")).select("day").scalar()
+    shares = F.array(*[
+        F.coalesce(F.try_divide(F.col(f"c{i}").cast("double"), F.col("n_in_window")), F.lit(0.0))
+        for i in range(len(views.EVENT_TYPES))
+    ])
+    series = counts.where(F.col("day").between(7, newest)).join(baseline, "segment")
+    return series.select(
+        "segment", "day", "n_in_window", F.round(psi("baseline", shares, CLIP_EPSILON), 6).alias("psi"),
+        F.round(kl("baseline", shares, CLIP_EPSILON), 6).alias("kl"),
+    )
+
+
 def stream_dedup(spark, folder, files_per_batch=None):
     """Every event delivered twice is counted once."""
     def build(rows):
@@ -180,8 +194,8 @@ def stream_dedup(spark, folder, files_per_batch=None):
 QUERIES = {
     q.__name__: q
     for q in (
-        stream_quarantine, stream_sliding_psi, stream_daily_rates, stream_label_join, stream_alert_sessions,
-        stream_dedup,
+        stream_quarantine, stream_sliding_psi, stream_rolling_psi, stream_daily_rates, stream_label_join,
+        stream_alert_sessions, stream_dedup,
     )
 }
 
@@ -191,6 +205,8 @@ ORACLES = {
         SELECT day, n_in_window, round(psi, 6) AS psi, round(kl, 6) AS kl,
                CASE WHEN psi > 0.25 THEN 'significant' WHEN psi >= 0.10 THEN 'moderate' ELSE 'none' END AS psi_band
         FROM psi_rows WHERE segment = 'all'""",
+    "stream_rolling_psi": with_(PRED_LOG, DAYS, PSI_ROWS) + """
+        SELECT segment, day, n_in_window, round(psi, 6) AS psi, round(kl, 6) AS kl FROM psi_rows WHERE segment <> 'all'""",
     "stream_daily_rates": with_(INGEST_LOG, QUALITY_SERIES) + """
         SELECT day, round(null_text_rate, 6) AS null_text_rate, round(sentinel_rate, 6) AS sentinel_rate,
                round(enum_rate, 6) AS enum_rate, round(blocked_rate, 6) AS blocked_rate

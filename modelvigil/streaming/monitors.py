@@ -93,10 +93,31 @@ def join_delayed_labels(
     ).drop("_label_key")
 
 
-def alert_sessions(alerts: DataFrame, ts: str = "day_ts", keys: Sequence[str] = ("metric",), delay: str = "0 days") -> DataFrame:
-    """Consecutive alert days as sessions: neighbours 24 hours apart merge, 48 hours apart do not."""
+def label_surges(
+    stream: DataFrame, label: str, shares: dict[str, float], ts: str = "ts", delay: str = "1 day"
+) -> DataFrame:
+    """``metric`` and ``day_ts`` of each day on which a label comes oftener than its share: the counts of a day in one
+    stateful aggregation, put out when it is over. ``day_ts`` is an event time, so sessions may follow in one query."""
+    sums = {"_n": F.count(F.lit(1)), **{f"_c{i}": F.count_if(F.col(label) == v) for i, v in enumerate(shares)}}
+    daily = daily_partials(stream, sums, ts, delay)
+    entries = F.array(*[
+        F.struct(F.lit(v).alias("metric"), F.col(f"_c{i}").alias("n"), F.lit(float(p)).alias("share"))
+        for i, (v, p) in enumerate(shares.items())
+    ])
+    labels = daily.select(F.window_time("window").alias("day_ts"), "_n", F.explode(entries).alias("_e"))
+    above = (F.col("_e.n") > 0) & (F.col("_e.n").cast("double") / F.col("_n") > F.col("_e.share"))
+    return labels.where(above).select("_e.metric", "day_ts")
+
+
+def alert_sessions(
+    alerts: DataFrame, ts: str = "day_ts", keys: Sequence[str] = ("metric",), delay: str | None = "0 days"
+) -> DataFrame:
+    """Consecutive alert days as sessions: neighbours 24 hours apart merge, 48 hours apart do not.
+
+    Without ``delay`` the watermark is that of an aggregation before, which the sessions follow.
+    """
     return (
-        alerts.withWatermark(ts, delay)
+        (alerts if delay is None else alerts.withWatermark(ts, delay))
         .groupBy(*keys, F.session_window(ts, "36 hours").alias("session"))
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     )
@@ -137,6 +158,57 @@ def close_stream(spark: SparkSession, folder: str, schema: T.StructType, ts: str
     end.write.mode("append").parquet(folder)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators of a query left out because the watermark had passed them."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+class UnseenBatches(RuntimeError):
+    """Batches whose late rows nobody has counted."""
+
+
+class LateRows:
+    """Counts the rows that the stateful operators of a query leave out, over all its batches and restarts.
+
+    A query remembers the progress of its last hundred batches only, so :meth:`watch` reads it while the query runs
+    and adds each batch to a ledger in ``folder`` (one that lives as long as the checkpoint). Batches follow each
+    other, so one that was missed, by a driver that died for instance, is a gap in the ledger: the count is then
+    refused instead of being too small.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, every: float = 0.2, unwritten: int = 500):
+        self.spark, self.folder, self.every, self.unwritten = spark, folder, every, unwritten
+        self.dropped: dict[int, int] = {}
+        self.fresh: dict[int, int] = {}
+        spark.createDataFrame([], _LEDGER).write.mode("append").parquet(folder)
+        for r in spark.read.schema(_LEDGER).parquet(folder).collect():  # a row a batch
+            self.dropped[r.batch_id] = max(r.dropped, self.dropped.get(r.batch_id, 0))
+
+    def _take(self, query: StreamingQuery) -> None:
+        for p in query.recentProgress:
+            n = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+            # A trigger without new data repeats the number of the batch to come.
+            if n > self.dropped.get(p["batchId"], -1):
+                self.dropped[p["batchId"]] = self.fresh[p["batchId"]] = n
+        if len(self.fresh) >= self.unwritten:
+            self._write()
+
+    def _write(self) -> None:
+        if self.fresh:
+            self.spark.createDataFrame(list(self.fresh.items()), _LEDGER).coalesce(1).write.mode("append").parquet(self.folder)
+            self.fresh = {}
+
+    def watch(self, query: StreamingQuery) -> int:
+        """Wait for the end of a run and return all rows dropped so far."""
+        try:
+            while not query.awaitTermination(self.every):
+                self._take(query)
+        finally:
+            self._take(query)
+            self._write()
+        return self.total()
+
+    def total(self) -> int:
+        seen = sorted(self.dropped)
+        if seen and seen[-1] != len(seen) - 1:
+            missing = sorted(set(range(seen[-1])) - set(seen))
+            raise UnseenBatches(f"late rows of {len(missing)} batches are unknown, the first is batch {missing[0]}")
+        return sum(self.dropped.values())
+
+
+_LEDGER = "batch_id long, dropped long"

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from modelvigil.functions.checks import check_null_text
 from modelvigil.operators import drift, incidents
 from modelvigil.plans import live
 from modelvigil.sources import views
-from modelvigil.streaming import monitors
+from modelvigil.streaming import monitors, rolling
 
 SF = "/root/testdata/sf0.001"
 ORIGIN = views.ORIGIN
@@ -65,12 +66,70 @@ def test_late_rows_are_left_out(spark, tmp_path):
     for batch in ([(1, at(0), "a"), (2, at(5), "a")], [(3, at(0, 2), "a"), (4, at(5, 3), "a"), (5, at(9), "a")]):
         drop(spark, inbox, batch, SCHEMA)
         stream = spark.readStream.schema(SCHEMA).parquet(str(inbox))
-        query = run(monitors.daily_partials(stream, {"n": F.count(F.lit(1))}), tmp_path)
-    assert monitors.late_rows(query) == 1
+        ledger = monitors.LateRows(spark, f"{tmp_path}/late")
+        late = ledger.watch(monitors.run_to_parquet(
+            monitors.daily_partials(stream, {"n": F.count(F.lit(1))}), f"{tmp_path}/out", f"{tmp_path}/ckpt"
+        ))
+    assert late == 1
     days = spark.read.parquet(f"{tmp_path}/out").select(monitors.day_of(F.col("window.start"), ORIGIN).alias("day"), "n")
     assert {r.day: r.n for r in days.collect()} == {0: 1, 5: 2}
 
 
+def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
+    """More batches than a query remembers, two late rows in the second one, and a restart."""
+    inbox = tmp_path / "in"
+    drop(spark, inbox, [(1, at(20), "a")], SCHEMA)
+    for i, rows in enumerate([[(2, at(30), "a")], [(3, at(1), "a"), (4, at(2), "a")]] + [[(n, at(30), "a")] for n in range(105)]):
+        drop(spark, tmp_path / f"part{i}", rows, SCHEMA)
+        [part] = (tmp_path / f"part{i}").glob("part-*.parquet")
+        target = inbox / f"part-{i:05d}.parquet"
+        target.write_bytes(part.read_bytes())
+        os.utime(target, (time.time() + i, time.time() + i))
+    session = live.stream_session(spark, 1)
+    for more in (False, True):
+        if more:
+            drop(spark, inbox, [(999, at(3), "a")], SCHEMA)
+        stream = session.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(inbox))
+        ledger = monitors.LateRows(spark, f"{tmp_path}/late")
+        query = monitors.run_to_parquet(monitors.without_repeats(stream), f"{tmp_path}/out", f"{tmp_path}/ckpt")
+        assert ledger.watch(query) == (3 if more else 2)
+    assert len(ledger.dropped) > 108 and len(query.recentProgress) < 100
+    monitors.LateRows(spark, f"{tmp_path}/late").total()
+    gap = monitors.LateRows(spark, f"{tmp_path}/late")
+    del gap.dropped[50]
+    with pytest.raises(monitors.UnseenBatches, match="1 batches are unknown, the first is batch 50"):
+        gap.total()
+
+
+def trailing(spark, inbox, tmp_path):
+    stream = live.stream_session(spark, 2).readStream.schema("ts timestamp, seg string, label string").parquet(str(inbox))
+    counts = rolling.trailing_label_counts(stream, "label", ["a", "b"], ORIGIN, "seg", window=3)
+    run(counts, tmp_path)
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    return sorted((r.seg, r.day, r.n_in_window, r.c0, r.c1) for r in rows)
+
+
+def test_rolling_state_over_silent_days_and_restarts(spark, tmp_path):
+    inbox = tmp_path / "in"
+    schema = "ts timestamp, seg string, label string"
+    drop(spark, inbox, [(at(0), "x", "a"), (at(0, 5), "x", "b"), (at(1), "x", "a"), (at(0), "y", "b"), (at(3), "x", "z")], schema)
+    first = trailing(spark, inbox, tmp_path)
+    want_x = [("x", 0, 2, 1, 1), ("x", 1, 3, 2, 1)]
+    assert [r for r in first if r[0] == "x"] == want_x and ("y", 0, 1, 0, 1) in first
+    # Key x falls silent after day 3 and comes back on day 12; y only ever had day 0.
+    drop(spark, inbox, [(at(12), "x", "a"), (at(14), "w", "a")], schema)
+    drop(spark, inbox, [(at(40), "w", "b")], schema)
+    trailing(spark, inbox, tmp_path)
+    drop(spark, inbox, [(at(80), "w", "b")], schema)
+    got = trailing(spark, inbox, tmp_path)
+    assert len(got) == len(set(r[:2] for r in got))
+    x = {r[1]: r[2:] for r in got if r[0] == "x"}
+    assert sorted(x) == list(range(0, 16))  # on to the day on which its window is empty again
+    assert x[2] == (3, 2, 1) and x[3] == (2, 1, 0) and x[4] == (1, 0, 0) and x[6] == x[11] == (0, 0, 0)
+    assert x[12] == x[14] == (1, 1, 0) and x[15] == (0, 0, 0)
+    assert [r[1:] for r in got if r[0] == "y"] == [(0, 1, 0, 1), (1, 1, 0, 1), (2, 1, 0, 1), (3, 0, 0, 0)]
+
+
 def test_delayed_labels_join_within_the_interval(spark, tmp_path):
     predictions, labels = tmp_path / "p", tmp_path / "l"
     drop(spark, predictions, [(i, at(0), "a") for i in range(4)], "event_id long, ts timestamp, predicted string")
