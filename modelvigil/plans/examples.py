@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from modelvigil.functions.text import format_chat
 from modelvigil.operators import conversations, dataset, ranking, vocabulary
 from modelvigil.presets import NOISE_PREFIXES, NOISE_SUFFIXES, ROWS_PER_LABEL, TYPO_SWAPS
-from modelvigil.sources import views
+from modelvigil.session import scratch_path
+from modelvigil.sources import files, views
 
 SEED = 42
 MIX = {"click": 4.0, "signup": 4.0}
@@ -102,11 +103,26 @@ def sft_chat(spark, folder):
     )
 
 
+def example_lines(spark, folder):
+    """Documents as JSON lines, some of them cut off or without a field, read back: what is sound, and what is not."""
+    docs = views.read_table(spark, folder, "documents")
+    whole = F.to_json(F.struct("text", F.col("lang").alias("label")))
+    kind = F.pmod(F.col("doc_id"), F.lit(10))
+    line = F.when(kind == 3, F.substring(whole, 1, 9)).when(kind == 5, F.to_json(F.struct("text"))).otherwise(whole)
+    path = scratch_path(spark, "examples")
+    docs.select(line.alias("value")).write.text(f"{path}/lines")
+    landed = files.land_examples(files.read_examples(spark, f"{path}/lines"), f"{path}/landed")
+    sound = landed.rows.select(F.lit("sound").alias("status"), "label", F.length("text").cast("long").alias("n_chars"))
+    rejected = landed.rejected.select(F.col("reason").alias("status"), F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("n_chars"))
+    return sound.union(rejected).groupBy("status", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         dedup_ci, cap_per_label, group_split, group_split_hashed, leakage_audit, leakage_row_split, augment_noise,
         resample_mix, hash_shuffle, sft_format, sft_vocabulary, sft_mask, sft_pad, sft_chat,
+        example_lines,
     )
 }
 
@@ -261,6 +277,14 @@ ORACLES = {
         SELECT ex_id, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INT) AS n_chars FROM prompts""",
     "sft_vocabulary": f"WITH {_ARRAYS} SELECT word, n, id FROM vocabulary",
     "sft_chat": _CHAT,
+    "example_lines": """
+        WITH lines AS (
+            SELECT *, CASE WHEN doc_id % 10 = 3 THEN 'malformed' WHEN text IS NULL THEN 'no text'
+                           WHEN doc_id % 10 = 5 OR lang IS NULL THEN 'no label' ELSE 'sound' END AS status
+            FROM documents)
+        SELECT status, CASE WHEN status = 'sound' THEN lang END AS label, count(*) AS n,
+               CAST(sum(CASE WHEN status = 'sound' THEN length(text) ELSE 0 END) AS BIGINT) AS n_chars
+        FROM lines GROUP BY ALL""",
     "sft_mask": f"""WITH {_ARRAYS},
         full_arrays AS (SELECT *, list_transform(input_ids, lambda x: 1) AS attention_mask FROM arrays)"""
     + _SHOWN.format(batch="", table="full_arrays"),

@@ -19,15 +19,43 @@ def test_examples_round_trip_without_the_group(spark, tmp_path):
     rows = [(1, 'quoted "text"\nnext line', "a", "g1"), (2, "äöß 🙂", "b", "g2")]
     df = spark.createDataFrame(rows, "ex_id long, text string, label string, group_id string")
     files.write_examples(df, f"{tmp_path}/x")
-    back = files.read_examples(spark, f"{tmp_path}/x")
+    back = files.read_examples(spark, f"{tmp_path}/x").rows
     assert back.columns == ["text", "label"]
     assert sorted(map(tuple, back.collect())) == sorted((r[1], r[2]) for r in rows)
 
 
-def test_malformed_lines_are_kept_apart(spark, tmp_path):
-    (tmp_path / "e.jsonl").write_text('{"text": "fine", "label": "a"}\nnot json\n')
-    got = files.read_examples(spark, f"{tmp_path}/e.jsonl", keep_corrupt=True).collect()
-    assert [(r.text, r._corrupt_record) for r in got] == [("fine", None), (None, "not json")]
+LINES = [
+    '{"text": "fine", "label": "a"}', "not json", '{"text": "half', '{"text": null, "label": "a"}', '{"label": "a"}',
+    '{"text": "t"}', "", "   ", "[]", "7", '"text"', "null", '{"text": "", "label": "", "more": 1}', '{"text": 5, "label": "b"}', "{}",
+]
+
+
+def test_every_line_is_read_or_rejected(spark, tmp_path):
+    (tmp_path / "e.jsonl").write_text("\n".join(LINES[:8]) + "\n")
+    (tmp_path / "f.jsonl").write_text("\n".join(LINES[8:]))
+    read = files.read_examples(spark, f"{tmp_path}/*.jsonl")
+    for examples in (read, files.land_examples(read, f"{tmp_path}/landed")):
+        assert sorted(map(tuple, examples.rows.collect())) == [("", ""), ("5", "b"), ("fine", "a")]
+        rejected = {r.line: (r.reason, r.file.split("/")[-1]) for r in examples.rejected.collect()}
+        assert len(rejected) + 3 == sum(bool(line.strip()) for line in LINES) == examples.lines.count()
+        assert rejected['{"text": "t"}'] == ("no label", "e.jsonl") and rejected["{}"] == ("no text", "f.jsonl")
+        assert {line for line, r in rejected.items() if r[0] == "malformed"} == {"not json", '{"text": "half', "[]", "7", '"text"', "null"}
+
+
+def test_a_repeated_batch_replaces_itself_as_a_whole(spark, tmp_path):
+    path, log = f"{tmp_path}/p", telemetry(spark)
+    files.append_predictions(log, path, "b")
+    fewer = log.where("day < 4")
+    files.append_predictions(fewer, path, "b")
+    assert files.read_predictions(spark, path).count() == fewer.count() < log.count()
+    # A version without its commit, as a run that died leaves it, is not seen.
+    later = log.where("day = 9").selectExpr("*", "'c' AS batch_id", "'dead' AS version")
+    later.write.mode("append").partitionBy("scenario", "sim_date", "batch_id", "version").parquet(path)
+    assert files.read_predictions(spark, path).count() == fewer.count()
+    files.append_predictions(log.where("day = 9"), path, "c")
+    assert files.read_predictions(spark, path).count() == log.where("day < 4 OR day = 9").count()
+    files.append_predictions(log.limit(0), path, "d")
+    assert files.read_predictions(spark, path).count() == log.where("day < 4 OR day = 9").count()
 
 
 def test_batches_of_a_day_add_up_and_repeats_do_not_double(spark, tmp_path):
@@ -74,7 +102,7 @@ def test_series_and_summary_round_trip(spark, tmp_path):
 
 def test_missing_input_gives_empty_results(spark, tmp_path):
     gone = f"{tmp_path}/none"
-    assert files.read_examples(spark, gone).count() == 0
+    assert files.read_examples(spark, gone).rows.count() == 0
     log = files.read_predictions(spark, gone, "drift")
     series = drift.drift_series(log, [0.5, 0.5], ["a", "b"])
     assert series.count() == 0 and drift.noise_band(log).head().threshold is None
