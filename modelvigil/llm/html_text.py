@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from modelvigil.llm.common import map_columns, table
 
+#: A comment may be empty in short form. A value is quoted only right behind its equals sign; quotes elsewhere are letters.
 _TAG = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+>|[^>]*>|[^>]*\Z)|<[!?/][^>]*(?:>|\Z)""",
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))"""
+    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^=>]|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)*+>|[^>]*>|[^>]*\Z)"""
+    r"""|<[!?/][^>]*(?:>|\Z)""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
 _JOINT = re.compile(r"[-_]+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
@@ -40,7 +43,7 @@ CLOSES = {
 }
 #: Never part of an article.
 DROPPED = frozenset(
-    "head nav footer aside form button select dialog noscript template svg math object audio video canvas".split()
+    "head nav footer aside button select dialog noscript template svg math object audio video canvas".split()
 )
 #: Classes, ids and roles that mark what is not the article, alone or joined to each other.
 BOILERPLATE = frozenset(
@@ -118,7 +121,8 @@ def _opened(name: str, rest: str, outer: _Open, paths: dict[tuple[int, str], int
     page = name in ("html", "body")
     # The header of an article holds its title; the header of a page does not.
     dropped = hidden or name in DROPPED or (name == "header" and outer.container is None)
-    marked = any(_only(t, BOILERPLATE) or (t == "header" and outer.container is None) for t in tokens)
+    # Some servers wrap the whole page in a form, so a form is weighed like a class word.
+    marked = name == "form" or any(_only(t, BOILERPLATE) or (t == "header" and outer.container is None) for t in tokens)
     label = name if not words else f"{name}.{'.'.join(sorted(words))}"
     path = paths.setdefault((outer.path, label), len(paths) + 1)
     main = name == "main" or any("main" in _JOINT.split(t) and _only(t, CONTENT) for t in tokens)
@@ -268,7 +272,7 @@ def _subtree(nodes: list[Node], elements: list[_Open], fused: np.ndarray, marks:
     """Which nodes are in the innermost element that has nearly all of the fused mass.
 
     What stands beside it or beside an element around it comes along if it is an element of text (a heading, a list,
-    a table) or has the same path; of the latter not what is bare text without a mark.
+    a table) or has the same path; of the latter not what is bare text without a mark, nor a layout cell of links.
     """
     mass = _masses(nodes, elements, fused)
     chosen = elements[0]
@@ -287,7 +291,9 @@ def _subtree(nodes: list[Node], elements: list[_Open], fused: np.ndarray, marks:
         alike = above in around and e.number not in steps and (e.name not in BARE or e.path in paths)
         beside[e.number] = alike or beside.get(above, False)
     return np.array([
-        inside[n.inside.number] or (beside[n.inside.number] and (n.inside.name not in BARE or m > 0))
+        inside[n.inside.number]
+        or beside[n.inside.number] and (n.inside.name not in BARE or m > 0)
+        and not (n.inside.name in LAYOUT and 2 * n.linked > len(n.text))
         for n, m in zip(nodes, marks)
     ])
 

@@ -120,3 +120,65 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, html_text.extract(df).collect()), key=str)
     assert got == sorted([(None, None, "", 0), (1, "u", T, len(T)), (1, "u", T, len(T)), (2, None, "", 0)], key=str)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+RIVER = "The river rose again in the night, and the people of the town moved what they could to the upper floors."
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f"<body><article><p>{RIVER}</p><!--><p>Two {RIVER}</p><!---><p>Three {RIVER}</p><!----><!-- > --!></article></body>", [RIVER, f"Two {RIVER}", f"Three {RIVER}"]),
+    (f"<article><p title=it's>Hello {RIVER}</p><p title=a=b\"c>They don't {RIVER}</p></article>", [f"Hello {RIVER}", f"They don't {RIVER}"]),
+    (f"<article><p title='a > b' data-x=\"c > d\">{RIVER}</p><p title=\"open>{RIVER}</p></article>", [RIVER, RIVER]),
+    (f"<body><form id=page><nav><a href=1>Home</a></nav><article><h1>T</h1><p>{RIVER}</p></article><footer>f</footer></form></body>", ["T", RIVER]),
+    (
+        f"<body><form id=page><div id=nav><a href=1>Home</a><a href=2>About</a></div><div><h1>T</h1><p>{RIVER}</p><p>{RIVER}</p></div>"
+        "<div class=x><form class=y>Search the site now.</form></div></form></body>", ["T", RIVER, RIVER],
+    ),
+])
+def test_markup_that_once_lost_the_article(page, blocks):
+    assert html_text.main_text(page) == "\n".join(blocks)
+
+
+LAYOUTS = {
+    "forum": (
+        "<body><div class=topnav><a href=1>Forums</a> <a href=2>Login</a></div><div class=thread><h1>Pump fails</h1>"
+        + "".join(f"<div class=message><div class=msg-body><p>{RIVER}</p><p>Thanks, {i}.</p></div></div>" for i in range(4))
+        + "</div><div class=footer>Powered by a board. All rights reserved.</div></body>",
+        ["Pump fails", *[t for i in range(4) for t in (RIVER, f"Thanks, {i}.")]],
+    ),
+    "layout table": (
+        "<html><body><table><tr><td colspan=2><a href=1>Home</a> | <a href=2>Mail</a></td></tr><tr><td width=120>"
+        f"<a href=a>News</a><br><a href=b>Sport</a></td><td><h2>Flood</h2><p>{RIVER}</p><p>{RIVER} {RIVER}</p><ul><li>first item</li>"
+        "<li>second item</li></ul></td></tr><tr><td colspan=2><a href=c>Copyright 2004</a> <a href=d>Imprint</a></td></tr></table></body></html>",
+        ["Flood", RIVER, f"{RIVER} {RIVER}", "first item", "second item"],
+    ),
+    "wiki": (
+        "<body><div id=mw-navigation><ul><li><a href=1>Main page</a></li></ul></div><div id=content role=main><h1>River</h1>"
+        f"<div id=toc><ul><li><a href=#1>History</a></li><li><a href=#2>Course</a></li></ul></div><p>{RIVER}</p><h2>History</h2>"
+        f"<p>{RIVER}<sup><a href=#r>[1]</a></sup></p><table class=infobox><tr><th>Length</th><td>120 km</td></tr></table></div></body>",
+        ["River", RIVER, "History", f"{RIVER}[1]", "Length", "120 km"],
+    ),
+    "docs": (
+        "<body><aside class=toc><a href=1>Install</a><a href=2>Usage</a></aside><main><h1>Usage</h1>"
+        f"<p>{RIVER}</p><pre><code>run --fast\n  now</code></pre><dl><dt>--fast</dt><dd>Be quick about it.</dd></dl></main>"
+        "<div class=pagination><a href=p>Prev</a><a href=n>Next</a></div></body>",
+        ["Usage", RIVER, "run --fast now", "--fast", "Be quick about it."],
+    ),
+    "listing": (
+        "<body><header><a href=1>Shop</a></header><ul class=results>"
+        + "".join(f"<li><h3><a href=p{i}>Pump {i}</a></h3><p>{RIVER}</p></li>" for i in range(4))
+        + "</ul><div class=sidebar><p>Buy now, save more, pay less.</p></div></body>",
+        [t for i in range(4) for t in (f"Pump {i}", RIVER)],
+    ),
+    "many comments": (
+        f"<body><article><h1>T</h1><p>{RIVER}</p><p>{RIVER}</p></article><section id=comments><h2>Comments</h2>"
+        + "".join(f"<div class=comment><p>I agree, {RIVER}</p></div>" for _ in range(9)) + "</section></body>",
+        ["T", RIVER, RIVER],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(LAYOUTS))
+def test_unlike_layouts(name):
+    page, blocks = LAYOUTS[name]
+    assert html_text.main_text(page) == "\n".join(blocks)
