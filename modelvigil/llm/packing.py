@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 from modelvigil.llm import tokens
 from modelvigil.llm.common import crc, map_columns, table
 
-#: Context sizes, long to short. A sequence as long as one of them needs no padding.
-TIERS = tuple(2048 >> i for i in range(12))
+#: Context sizes, long to short. Each has windows of its own; a sequence as long as one of them needs no padding.
+TIERS = (2048, 1024, 512, 256)
 #: Documents and tokens that are packed together; both bound a task's memory.
 BATCH_DOCS, BATCH_TOKENS = 20_000, 4_000_000
-#: Sequences of one training step.
+#: Tokens of one training step, in longest windows: so many of them, twice as many of half their length, or a mix.
 STEP = 16
 #: Padding tokens that a window may keep before a shorter document is cut to fill it.
 SLACK = 0
@@ -60,11 +61,12 @@ class _Pool:
 def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS, slack: int = SLACK) -> list[list[tuple[int, int, int]]]:
     """Sequences as lists of pieces (document, start, length), none longer than the first tier.
 
-    Whole windows are cut off long documents first. What is left is routed by length to the smallest tier that
-    holds it, and the tiers are packed from long to short: the longest open end starts a window, the longest ones
-    of this and the shorter tiers that still fit fill it. Only if none fits and more than ``slack`` tokens are
-    free is the shortest longer end cut. The tokens of the last, unfilled window are cut into shorter tiers, so
-    that it needs no padding either.
+    Whole windows of the first tier are cut off long documents first. What is left of each is routed by its length to
+    the smallest tier that holds it, and the tiers are packed from long to short, in windows of their own: the longest
+    end of the tier starts one, the longest ends that fit, of this and then of the shorter tiers, fill it. Only if none
+    fits and more than ``slack`` tokens are free is the shortest longer end cut; its rest is routed anew. So a long
+    context holds long documents, short ones share short contexts, and windows are full. The tokens of the last,
+    unfilled window are cut into exact smaller sizes, which need no padding either.
     """
     window = tiers[0]
     sequences: list[list[tuple[int, int, int]]] = []
@@ -74,10 +76,10 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS, slack: int = SLACK)
         sequences += [[(doc, k * window, window)] for k in range(full)]
         if length > full * window:
             pool.add(doc, full * window, length - full * window)
-    for upper, lower in zip(tiers, [*tiers[1:], 0]):
-        while pool.mask and (length := pool.longest(upper)) > lower:
+    for size, below in zip(tiers, [*tiers[1:], 0]):
+        while pool.mask and (length := pool.longest(size)) > below:
             doc, start = pool.take(length)
-            pieces, free = [(doc, start, length)], window - length
+            pieces, free = [(doc, start, length)], size - length
             while free > 0 and pool.mask:
                 if (length := pool.longest(free)) > 0:
                     doc, start = pool.take(length)
@@ -90,17 +92,16 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS, slack: int = SLACK)
                     break
                 pieces.append((doc, start, length))
                 free -= length
-            sequences += [pieces] if free <= slack else _by_tiers(pieces, tiers)
+            sequences += [pieces] if free <= slack else _exact(pieces, tiers)
     return sequences
 
 
-def _by_tiers(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]) -> list[list[tuple[int, int, int]]]:
-    """The pieces of an unfilled window dealt to sequences of exact tier sizes, long ones first."""
+def _exact(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]) -> list[list[tuple[int, int, int]]]:
+    """The pieces of an unfilled window dealt to sequences of tier sizes and halves of the last one, long ones first."""
     total, sizes = sum(p[2] for p in pieces), []
-    for tier in tiers:
-        sizes += [tier] * (total // tier)
-        total %= tier
-    sizes += [total] * (total > 0)
+    for size in (*tiers, *(tiers[-1] >> i for i in range(1, tiers[-1].bit_length()))):
+        sizes += [size] * (total // size)
+        total %= size
     out, queue = [], list(reversed(pieces))
     for size in sizes:
         own = []
@@ -115,17 +116,25 @@ def _by_tiers(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]) -> lis
     return out
 
 
-def step_groups(sequences: list[list[tuple[int, int, int]]], size: int = STEP) -> list[int]:
-    """A step for each sequence, about ``size`` sequences a step with like attention costs.
+def step_groups(
+    sequences: list[list[tuple[int, int, int]]], tiers: tuple[int, ...] = TIERS, size: int = STEP
+) -> list[int]:
+    """A step for each sequence: steps of about ``size`` longest windows of tokens, with like numbers of tokens and like
+    attention costs, whatever tiers their sequences are of.
 
-    The cost of a sequence is the sum of the squares of its pieces. Sequences in order of cost are dealt to and fro.
+    The cost of a sequence is the sum of the squares of its pieces. Long sequences come first, costly before cheap
+    ones; each goes to the step with the fewest tokens so far, of these to the one with the least cost.
     """
-    steps = max(1, -(-len(sequences) // size))
-    costs = np.array([sum(p[2] ** 2 for p in s) for s in sequences])
-    place = np.empty(len(sequences), dtype=np.int64)
-    place[np.argsort(-costs, kind="stable")] = np.arange(len(sequences))
-    turn, at = place // steps, place % steps
-    return np.where(turn % 2 == 0, at, steps - 1 - at).tolist()
+    totals = [sum(p[2] for p in s) for s in sequences]
+    steps = max(1, -(-sum(totals) // (size * tiers[0])))
+    costs = [sum(p[2] ** 2 for p in s) for s in sequences]
+    loads = [(0, 0, step) for step in range(steps)]
+    out = [0] * len(sequences)
+    for i in sorted(range(len(sequences)), key=lambda i: (-totals[i], -costs[i], i)):
+        tokens_, cost, step = loads[0]
+        out[i] = step
+        heapq.heapreplace(loads, (tokens_ + totals[i], cost + costs[i], step))
+    return out
 
 
 def pack_documents(
@@ -155,11 +164,11 @@ def pack_documents(
         def closed() -> dict:
             nonlocal sequence, group
             found = pack([len(x) // 4 for x in ids], tiers, slack)
-            steps = step_groups(found, step)
+            steps = step_groups(found, tiers, step)
             rows: dict[str, list] = {name: [] for name in _OUT.names}
             for pieces, own in zip(found, steps):
                 offset, total = 0, sum(p[2] for p in pieces)
-                tier = min((t for t in tiers if t >= total), default=total)
+                tier = min((t for t in tiers if t >= total), default=tiers[0])
                 for doc, start, length in pieces:
                     code = ids[doc][4 * start : 4 * (start + length)]
                     for name, value in zip(_OUT.names, (

@@ -1,6 +1,6 @@
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -89,18 +89,41 @@ def test_pack_covers_every_token_once(lengths, slack, tiers):
             assert start == at
             at += size
         assert at == length
-    if slack == 0 and tiers[-1] == 1:  # no padding at all
+    if slack == 0:  # no padding at all
         assert all((total := sum(p[2] for p in s)) & (total - 1) == 0 for s in found)
-    groups = packing.step_groups(found, 4)
-    assert len(groups) == len(found) and max(map(groups.count, groups), default=0) <= 4
+    groups = packing.step_groups(found, tiers, 4)
+    loads = Counter()
+    for group, sequence in zip(groups, found):
+        loads[group] += sum(p[2] for p in sequence)
+    # A step is full but for one sequence at most.
+    assert len(groups) == len(found) and max(loads.values(), default=0) <= 5 * tiers[0]
+    assert len(loads) <= max(1, -(-sum(loads.values()) // (4 * tiers[0])))
+
+
+def test_tiers_have_windows_of_their_own():
+    rng = np.random.default_rng(7)
+    lengths = np.minimum(rng.geometric(1 / 300, 3_000), 9_000).tolist()
+    found = packing.pack(lengths)
+    sizes = Counter(sum(p[2] for p in s) for s in found)
+    assert all(sizes[t] > 20 for t in packing.TIERS) and sum(sizes[t] for t in packing.TIERS) > len(found) - 12
+    cut = Counter(doc for s in found for doc, _, _ in s)
+    assert sum(n > 1 for doc, n in cut.items() if lengths[doc] <= 2048) < 0.1 * len(lengths)
+    # Ends are in the tier that their length routes them to, unless they fill a longer window or are cut.
+    for s in found:
+        longest = max(p[2] for p in s)
+        assert longest > sum(p[2] for p in s) // 4 or len(s) > 1
 
 
 def test_step_groups_have_like_costs():
     rng = np.random.default_rng(2)
-    sequences = [[(0, 0, int(n))] for n in rng.integers(1, 2048, 640)]
-    groups = np.array(packing.step_groups(sequences, 16))
-    costs = np.bincount(groups, [s[0][2] ** 2 for s in sequences])
-    assert np.bincount(groups).max() == 16 and costs.max() < 1.1 * costs.min()
+    sequences = packing.pack(np.minimum(rng.geometric(1 / 500, 4_000), 9_000).tolist())
+    groups = np.array(packing.step_groups(sequences))
+    tokens_ = np.bincount(groups, [sum(p[2] for p in s) for s in sequences])
+    costs = np.bincount(groups, [sum(p[2] ** 2 for p in s) for s in sequences])
+    assert len(tokens_) > 40 and tokens_.max() <= 16 * 2048 + 2048 and tokens_.max() - tokens_.min() <= 2048
+    assert costs.max() < 1.25 * costs.min()
+    tiers = [Counter(sum(p[2] for p in s) for s, g in zip(sequences, groups) if g == step) for step in range(len(tokens_))]
+    assert all(len(t) >= 3 for t in tiers)  # every step mixes tiers
 
 
 def check_pieces(rows, texts):
