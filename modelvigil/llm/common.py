@@ -16,6 +16,8 @@ from modelvigil.operators.ranking import first_per_group
 
 #: Learned models never see the rows whose ``crc32(doc_id as text) % FOLDS`` is ``HELD_OUT``.
 FOLDS, HELD_OUT = 3, 1
+#: Bytes of a batch that become Python values at a time; Spark's own batches may be several times as large.
+SLICE_BYTES = 8_000_000
 
 
 _STATE: dict[tuple, Any] = {}
@@ -49,6 +51,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(True))
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, some ``size`` bytes at a time, so that their Python values take little memory."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for a in range(0, batch.num_rows, step):
+            yield batch.slice(a, step)
+
+
 def map_columns(
     df: DataFrame, columns: list[str | Column], schema: str, work: Callable[[Iterator[dict]], Iterator[dict]],
     out: pa.Schema, stateful: bool = False,
@@ -64,9 +74,8 @@ def map_columns(
             release_worker_memory()
 
         def lists() -> Iterator[dict]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+            for batch in slices(batches):
+                yield {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
 
         for rows in work(lists()):
             yield pa.RecordBatch.from_pydict(rows, schema=out)
@@ -88,7 +97,7 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not stateful:
             release_worker_memory()
-        for batch in work(batch.rename_columns(names) for batch in batches):
+        for batch in work(batch.rename_columns(names) for batch in slices(batches)):
             yield batch.rename_columns(plain)
 
     plain = [f"c{i}" for i in range(len(names))]
