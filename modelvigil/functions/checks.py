@@ -50,6 +50,12 @@ def check_enum(
     return Check(issue_type, NON_BLOCKING, field, lambda c: c.isNotNull() & ~c.isin(*allowed))
 
 
+def check_reference(field: str, known: str, issue_type: str = "unknown_reference_value") -> Check:
+    """A value that its reference table lacks; ``known`` is the column in which
+    :func:`modelvigil.operators.quality.with_reference` says whether the table has it. A null value is no violation."""
+    return Check(issue_type, NON_BLOCKING, field, lambda c: c.isNotNull() & ~F.col(known))
+
+
 def validate(checks: Sequence[Check]) -> Column:
     """Array of the issues a row has, in the order of ``checks``."""
     found = [

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.checks import Check, has_blocking, issue_types, validate
 from modelvigil.functions.text import is_blank
+from modelvigil.operators.joins import BROADCAST_ROWS
 from modelvigil.operators.timeseries import rolling_counts
 from modelvigil.presets import ISSUE_RATE_ALERT, MIN_TEXT_LENGTH, ROLLING_DAYS
+from modelvigil.session import materialise
+
+#: Bytes of reference values that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 
 RATE_OF_ISSUE = {
     "null_text_rate": "null_or_empty_text",
@@ -28,6 +33,26 @@ def validate_records(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def with_reference(
+    df: DataFrame, field: str, reference: DataFrame, column: str, known: str,
+    broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``df`` with ``known``: whether the value of ``field`` is in ``column`` of a reference table of any size.
+
+    A left join with the distinct values, so rows neither vanish nor multiply, and issues keep their order. The values
+    are computed once and measured: only up to ``broadcast_rows`` and ``broadcast_bytes`` they are broadcast; beyond
+    that the join is a shuffle whose heavy values adaptive execution splits. ``df`` may be a stream; the table is then
+    as it was when the stream started, so restart it (a run that takes what is there does) to see a changed one.
+    """
+    values = materialise(reference.where(F.col(column).isNotNull()).select(F.col(column).alias("_reference")).distinct())
+    size = F.coalesce(F.sum(F.octet_length(F.col("_reference").cast("string"))), F.lit(0))
+    n, n_bytes = values.agg(F.count(F.lit(1)), size).first()
+    side = F.broadcast(values) if n <= broadcast_rows and n_bytes <= broadcast_bytes else values
+    return df.join(side, F.col(field) == F.col("_reference"), "left").withColumn(
+        known, F.col("_reference").isNotNull()
+    ).drop("_reference")
+
+
 def score_unblocked(df: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Send only unblocked rows to the scorer; blocked rows keep null outcomes.
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.text import normalize_prediction as normalized
 from modelvigil.functions.text import truncate
-from modelvigil.operators import evaluation, scoring, skew
+from modelvigil.operators import evaluation, scoring, sketches, skew
 from modelvigil.plans.rolling import rounded
-from modelvigil.plans.sql import MODEL_RUNS, REPEATED_RUNS, SKEW_EVAL, with_
+from modelvigil.plans.sql import MODEL_RUNS, PRED_LOG, REPEATED_RUNS, SKEW_EVAL, with_
+from modelvigil.presets import ROLLING_DAYS
 from modelvigil.session import materialise
 from modelvigil.sources import views
 from modelvigil.sources.views import LANG_LABELS, SERVING_LENGTHS
@@ -48,6 +49,24 @@ def eval_latency(spark, folder):
     return rounded(latency, "p50", "p95")
 
 
+def rolling_latency(spark, folder):
+    """Trailing median and 95th percentile of latencies from daily sketches, each held against the exact ranks.
+
+    What is sketched differs from run to run inside its bound, so the query returns whether it is inside."""
+    log = views.pred_log(spark, folder).select("day", "latency_ms")
+    found = materialise(sketches.rolling_quantiles(sketches.daily_sketches(log, "latency_ms")))
+    ends = F.explode(F.sequence(F.col("day"), F.col("day") + ROLLING_DAYS - 1))
+    near = log.where(F.col("latency_ms").isNotNull()).select("latency_ms", ends.alias("day")).join(F.broadcast(found), "day")
+
+    def inside(name, share):  # the rank that the value has, or ends at if it comes several times
+        below, through = F.count_if(F.col("latency_ms") < F.col(name)), F.count_if(F.col("latency_ms") <= F.col(name))
+        slack = 2 * sketches.rank_error() * F.count(F.lit(1)) + 1
+        return ((below - slack <= share * F.count(F.lit(1))) & (through + slack >= share * F.count(F.lit(1)))).alias(f"{name}_inside")
+
+    checked = near.groupBy("day", "n_in_window").agg(F.count(F.lit(1)).alias("n_counted"), inside("p50", 0.5), inside("p95", 0.95))
+    return checked.select("day", "n_in_window", "n_counted", "p50_inside", "p95_inside")
+
+
 def event_latency(spark, folder):
     log = views.pred_log(spark, folder)
     return rounded(evaluation.latency_percentiles(log, "latency_ms", row_key="event_id"), "p50", "p95")
@@ -151,7 +170,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         normalize_prediction, eval_summary, eval_per_category, eval_confusion, eval_top_confusions, eval_latency,
-        event_latency, self_consistency, compare_models, error_groups, worst_errors, skew_truncate, skew_gap,
+        event_latency, rolling_latency, self_consistency, compare_models, error_groups, worst_errors, skew_truncate, skew_gap,
         skew_sweep, skew_by_category, score_rule, score_batched, softmax_confidence,
     )
 }
@@ -174,6 +193,10 @@ latency AS (
 """
 
 ORACLES = {
+    "rolling_latency": with_(PRED_LOG) + """
+        SELECT d.day, count(*) AS n_in_window, count(*) AS n_counted, TRUE AS p50_inside, TRUE AS p95_inside
+        FROM (SELECT DISTINCT day FROM pred_log WHERE latency_ms IS NOT NULL) d
+        JOIN pred_log p ON p.day > d.day - 7 AND p.day <= d.day AND p.latency_ms IS NOT NULL GROUP BY d.day""",
     "normalize_prediction": with_(MODEL_RUNS) + "SELECT model, ex_id, predicted FROM model_runs",
     "eval_summary": with_(MODEL_RUNS) + """
         SELECT model, count(*) AS n, CAST(sum(correct) AS BIGINT) AS n_correct, round(avg(correct), 6) AS accuracy,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from modelvigil.functions.checks import check_reference
 from modelvigil.operators import incidents, quality, skew
 from modelvigil.plans.rolling import drift_frame, rounded
 from modelvigil.plans.sql import (
@@ -22,6 +23,17 @@ def dq_validate(spark, folder):
     )
 
 
+def dq_validate_reference(spark, folder):
+    """The checks of the log with its sources taken from a table: those that the first three weeks have."""
+    tickets = views.raw_tickets(spark, folder)
+    known = tickets.where(F.col("day") < 21).select(F.col("source_system").alias("name"))
+    held = quality.with_reference(tickets, "source_system", known, "name", "_known")
+    checks = [*views.ticket_checks()[:2], check_reference("source_system", "_known")]
+    return quality.validate_records(held, checks).select(
+        "event_id", "day", "blocked", "issue_types", F.size("issues").alias("n_issues")
+    )
+
+
 def dq_route(spark, folder):
     log = quality.score_unblocked(
         views.checked_tickets(spark, folder), lambda df: df.withColumns(views.ticket_outcomes())
@@ -99,7 +111,7 @@ def digest_summary(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
-        dq_validate, dq_route, daily_ingestion, rolling_dq, rolling_dq_by_segment, dq_first_alerts, dq_attribution, data_gate,
+        dq_validate, dq_validate_reference, dq_route, daily_ingestion, rolling_dq, rolling_dq_by_segment, dq_first_alerts, dq_attribution, data_gate,
         dq_incidents, skew_incidents, alert_digest, digest_summary,
     )
 }
@@ -161,6 +173,17 @@ ORACLES = {
                          CASE WHEN bad_priority THEN priority END,
                          CASE WHEN bad_source THEN source_system END) AS bad_values
         FROM ingest_log""",
+    "dq_validate_reference": with_(INGEST_LOG) + """,
+        checked AS (
+            SELECT event_id, day, CAST(bad_text AS INT) AS blocked,
+                   concat_ws(',', CASE WHEN bad_text THEN 'null_or_empty_text' END,
+                             CASE WHEN bad_priority THEN 'silent_default_priority' END,
+                             CASE WHEN source_system IS NOT NULL
+                                       AND source_system NOT IN (SELECT source_system FROM raw_tickets WHERE day < 21)
+                                  THEN 'unknown_reference_value' END) AS issue_types
+            FROM flagged)
+        SELECT *, CAST(CASE WHEN issue_types = '' THEN 0 ELSE len(string_split(issue_types, ',')) END AS INT) AS n_issues
+        FROM checked""",
     "dq_route": with_(INGEST_LOG) + """
         SELECT event_id, day, blocked, issue_types, predicted, round(confidence, 6) AS confidence, correct
         FROM ingest_log""",

@@ -235,33 +235,37 @@ def gate_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _letter_hits(text: Column) -> dict[str, Column]:
+    return {
+        f"_h{i}": F.when(has_letters(text, v), count_letters(text, v)).otherwise(0) for i, v in enumerate(LETTERS)
+    }
+
+
+def _rule_says(hits: Sequence[Column], size: Column) -> Column:
+    """What the rule of a grid cell (its columns are in the row) says of a text with these letters and this size."""
+    names = list(LETTERS)
+    found = [(h >= F.col("min_hits")) & (h * 1000 >= size * F.col("min_per_1000")) for h in hits]
+
+    def first_found(start: int) -> Column:
+        order = [(start + j) % len(names) for j in range(len(names))]
+        return F.coalesce(*[F.when(found[i], F.lit(names[i])) for i in order], F.lit("lang_en"))
+
+    return F.when(F.col("first_class") == 0, first_found(0)).when(F.col("first_class") == 1, first_found(1)).otherwise(first_found(2))
+
+
 def trial_results(spark: SparkSession, folder: str) -> DataFrame:
     """Validation and test accuracy of 27 rule settings, searched separately for every source.
 
     The letters of a text are counted once. Then each setting is one narrow row with an arithmetic test,
     so one scan and one aggregation with map-side combining measure the whole grid.
     """
-    hits = {
-        f"_h{i}": F.when(has_letters(F.col("text"), v), count_letters(F.col("text"), v)).otherwise(0)
-        for i, v in enumerate(LETTERS)
-    }
+    hits = _letter_hits(F.col("text"))
     docs = labelled_docs(spark, folder).select(
         F.col("source").alias("search_id"), "label", F.length("text").alias("_size"),
         (draw(F.col("ex_id"), 42) < 0.5).alias("_val"), *[h.alias(n) for n, h in hits.items()],
     )
     rows = docs.select("*", F.inline(grid_array(TRIAL_AXES)))
-    names = list(LETTERS)
-    found = [
-        (F.col(f"_h{i}") >= F.col("min_hits")) & (F.col(f"_h{i}") * 1000 >= F.col("_size") * F.col("min_per_1000"))
-        for i in range(len(names))
-    ]
-
-    def first_found(start: int) -> Column:
-        order = [(start + j) % len(names) for j in range(len(names))]
-        return F.coalesce(*[F.when(found[i], F.lit(names[i])) for i in order], F.lit("lang_en"))
-
-    says = F.when(F.col("first_class") == 0, first_found(0)).when(F.col("first_class") == 1, first_found(1)).otherwise(first_found(2))
-    judged = rows.withColumn("_right", says == F.col("label"))
+    judged = rows.withColumn("_right", _rule_says([F.col(n) for n in hits], F.col("_size")) == F.col("label"))
     sums = judged.groupBy("search_id", "trial_idx", *TRIAL_AXES).agg(
         F.count_if(F.col("_val")).alias("n_val"),
         F.count_if(~F.col("_val")).alias("n_test"),
@@ -271,3 +275,24 @@ def trial_results(spark: SparkSession, folder: str) -> DataFrame:
     return sums.withColumn("val_accuracy", F.try_divide(F.col("n_val_correct").cast("double"), F.col("n_val"))).withColumn(
         "test_accuracy", F.try_divide(F.col("n_test_correct").cast("double"), F.col("n_test"))
     )
+
+
+def trial_consistency(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each search and trial the test examples whose two runs, on the two halves of the text, agree.
+
+    The letters of both halves are counted once, then every setting is a narrow row, as for the accuracies.
+    """
+    half = F.floor(F.length("text") / 2).cast("int")
+    halves = [F.substring(F.col("text"), F.lit(1), half), F.substring(F.col("text"), half + 1, F.length("text"))]
+    counted = {f"{n}_{run}": h for run, text in enumerate(halves) for n, h in _letter_hits(text).items()}
+    docs = labelled_docs(spark, folder).where(draw(F.col("ex_id"), 42) >= 0.5).select(
+        F.col("source").alias("search_id"), *[F.length(text).alias(f"_size_{run}") for run, text in enumerate(halves)],
+        *[h.alias(n) for n, h in counted.items()],
+    )
+    rows = docs.select("*", F.inline(grid_array(TRIAL_AXES)))
+    first, second = (
+        _rule_says([F.col(f"_h{i}_{run}") for i in range(len(LETTERS))], F.col(f"_size_{run}")) for run in range(2)
+    )
+    return rows.withColumn("_agree", first == second).groupBy("search_id", "trial_idx").agg(
+        F.count(F.lit(1)).alias("n_examples"), F.count_if(F.col("_agree")).alias("n_agree")
+    )
