@@ -103,6 +103,9 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = after
 
 
+#: Accuracy of the sketch that cuts the blocks, at most; it bounds the sketch, not the blocks.
+MOST_ACCURATE = 200_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = "vec_id long, copies long, unit binary, place double"
 _UNIT_OUT = pa.schema([("vec_id", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary()), ("place", pa.float64())])
 _DEALT = "low int, high int, side int, vec_id long, copies long, unit binary"
@@ -150,13 +153,16 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     units = materialise(map_columns(distinct, ["vec_id", "copies", "vector"], _UNIT, project, _UNIT_OUT))
     blocks = max(1, -(-units.count() // block))
     cuts = [k / blocks for k in range(blocks + 1)]
-    edges = np.array(units.agg(F.percentile_approx("place", cuts, 100 * blocks)).first()[0] or [0.0, 0.0])
+    edges = np.array(units.agg(F.percentile_approx("place", cuts, min(100 * blocks, MOST_ACCURATE))).first()[0] or [0.0, 0.0])
     reach = REACH * math.sqrt(2 - 2 * cosine)
 
     def deal(batches: Iterator[dict]) -> Iterator[dict]:
         """Each vector to all pairs of its block with a block in reach."""
         for batch in batches:
-            own = np.clip(np.searchsorted(edges[1:-1], batch["place"], side="right"), 0, blocks - 1)
+            # A place that several edges share, as many vectors have it, is dealt over all the blocks it bounds.
+            lowest, highest = (np.searchsorted(edges[1:-1], batch["place"], side=side) for side in ("left", "right"))
+            spread = (np.array(batch["vec_id"], dtype=np.int64).view(np.uint64) * _MIX >> np.uint64(33)).astype(np.int64)
+            own = lowest + spread % (highest - lowest + 1)
             out: dict[str, list] = {name: [] for name in _DEALT_OUT.names}
             for i, mine in enumerate(own.tolist()):
                 first = int(np.searchsorted(edges[1:], edges[mine] - reach, side="left"))

@@ -12,6 +12,8 @@ from modelvigil.llm.common import table
 #: Documents of one range block, of one slice (the blocks a task holds), and queries of one chunk.
 BLOCK, SLICE, QUERIES = 64, 8_192, 8_192
 SCALE, K, EVERY = 256, 5, 50
+#: Queries looked at together, and the share of blocks left to them above which one product scores all.
+STRIP, DENSE = 256, 0.25
 #: Sums up to this are exact in double precision.
 _EXACT = 2.0**52
 
@@ -31,16 +33,33 @@ def _matrix(column: pa.ChunkedArray, width: int = 0) -> np.ndarray:
     return out
 
 
+def _coherent(rows: np.ndarray) -> np.ndarray:
+    """An order in which rows with the same strongest term, and like values of it, are neighbours, so that the ranges of
+    a block's terms are narrow."""
+    strongest = np.abs(rows).argmax(axis=1) if rows.size else np.zeros(len(rows), dtype=np.int64)
+    value = rows[np.arange(len(rows)), strongest] if rows.size else strongest
+    return np.lexsort((-value, value < 0, strongest))
+
+
+def _best(score: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` highest scores, ties to smaller ids."""
+    return np.lexsort((names, ~score if score.dtype.kind == "i" else -score))[:k]
+
+
 def search_slice(
     ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, block: int = BLOCK
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Best ``k`` of a slice for each query: positions of queries, ids, scores, and the number of blocks scored.
 
-    Rows come in id order and are cut into range blocks. Each block keeps the largest and the smallest value of
-    every term; the sum over a query's terms of the larger possible product bounds its scores there. Per query the
-    blocks are taken by falling bound, scored through their rows, until the bound is below the k-th score so far.
-    A bound that equals it is still looked at, for the sake of smaller ids.
+    Rows are ordered by their strongest term and cut into range blocks. Each block keeps the largest and the smallest
+    value of every term; the sum over a query's terms of the larger possible product bounds its scores there. Per query
+    the block with the highest bound is scored first. Where the k-th score found there rules most other blocks out,
+    the rest are taken by falling bound until the bound is below the k-th score so far; where it rules few out, for
+    a strip of queries, all that is left is scored in one product. A bound that equals the k-th score is still looked
+    at, for the sake of smaller ids.
     """
+    arranged = _coherent(rows)
+    ids, rows = ids[arranged], rows[arranged]
     starts = np.arange(0, len(rows), block)
     top, low = np.maximum.reduceat(rows, starts, axis=0), np.minimum.reduceat(rows, starts, axis=0)
     largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1]
@@ -52,27 +71,44 @@ def search_slice(
         bounds = up @ top.T.astype(np.float64) + down @ low.T.astype(np.float64)
     else:  # products may wrap round like any long, so nothing can be pruned
         bounds = np.full((len(queries), len(starts)), np.inf)
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    found_query, found_id, found_score, scored = [], [], [], 0
-    for number, query in enumerate(asked):
-        best_ids, best = ids[:0], forward[:0, 0]
-        for at in order[number].tolist():
-            if len(best) == k and bounds[number, at] < best[-1]:
-                break
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    scored = 0
+
+    def take(number: int, at: int, best: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(starts[at], starts[at] + block)
+        score, other = forward[own] @ asked[number], ids[own] != query_ids[number]
+        best, names = np.concatenate([best, score[other]]), np.concatenate([names, ids[own][other]])
+        keep = _best(best, names, k)
+        return best[keep], names[keep]
+
+    for a in range(0, len(asked), STRIP):
+        strip = range(a, min(a + STRIP, len(asked)))
+        first = bounds[strip].argmax(axis=1)
+        begun = [take(number, at, forward[:0, 0], ids[:0]) for number, at in zip(strip, first)]
+        least = [best[-1] if len(best) == k else None for best, _ in begun]
+        left = np.array([bounds[n] >= floor if floor is not None else np.ones(len(starts), dtype=bool) for n, floor in zip(strip, least)])
+        if left.mean() > DENSE:
+            scored += int(left.sum())
+            score = asked[strip] @ forward.T
+            hit = np.array([row >= floor if floor is not None else np.ones(len(row), dtype=bool) for row, floor in zip(score, least)])
+            hit &= ids != query_ids[strip][:, None]
+            for number, row, own in zip(strip, score, hit):
+                best, names = row[own], ids[own]
+                keep = _best(best, names, k)
+                found.append((np.full(len(keep), number), names[keep], best[keep]))
+            continue
+        for number, at, (best, names), own in zip(strip, first, begun, left):
             scored += 1
-            a, b = starts[at], starts[at] + block
-            score, names = forward[a:b] @ query, ids[a:b]
-            if len(best) == k:
-                near = score >= best[-1]
-                score, names = score[near], names[near]
-            other = names != query_ids[number]
-            best, best_ids = np.concatenate([best, score[other]]), np.concatenate([best_ids, names[other]])
-            keep = np.lexsort((best_ids, -best))[:k] if exact else np.lexsort((best_ids, ~best))[:k]
-            best, best_ids = best[keep], best_ids[keep]
-        found_query.append(np.full(len(best), number))
-        found_id.append(best_ids)
-        found_score.append(best.astype(np.int64))
-    return np.concatenate(found_query), np.concatenate(found_id), np.concatenate(found_score), scored
+            rest = np.flatnonzero(own)
+            for other in rest[np.argsort(-bounds[number, rest], kind="stable")].tolist():
+                if len(best) == k and bounds[number, other] < best[-1]:
+                    break
+                if other != at:
+                    scored += 1
+                    best, names = take(number, other, best, names)
+            found.append((np.full(len(best), number), names, best))
+    query, names, score = (np.concatenate(part) for part in zip(*found))
+    return query, names, score.astype(np.int64), scored
 
 
 _FOUND = "query_id long, vec_id long, score long"

@@ -62,6 +62,21 @@ def test_blocks_are_pruned_and_the_rest_is_exact():
     assert list(zip((-scores).tolist(), ids.tolist())) == want
 
 
+@pytest.mark.parametrize("spread, most", [(0.05, 0.1), (3.0, 1.0)])
+def test_clustered_slices_are_pruned_and_others_scored_at_once(spread, most):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 32))
+    rows = (256 * (centres[rng.integers(0, 40, 4_000)] + spread * rng.normal(size=(4_000, 32)))).astype(np.int64)
+    ids = rng.permutation(4_000)
+    asked = rows[:300]
+    query, found, score, scored = topk.search_slice(ids, rows, ids[:300], asked, 5, 50)
+    assert scored <= most * 300 * 80
+    exact = asked @ rows.T
+    for n in range(0, 300, 7):
+        want = sorted((-s, i) for s, i in zip(exact[n].tolist(), ids.tolist()) if i != ids[n])[:5]
+        assert [(-s, i) for s, i in zip(score[query == n].tolist(), found[query == n].tolist())] == want
+
+
 def test_scores_beyond_double_precision_are_exact(spark):
     rows = spark.createDataFrame([(1, [2**40 + 1, 3]), (2, [2**20, 5]), (0, [2**20, 1])], "vec_id long, terms array<long>")
     got = topk.top_k(rows, rows.where("vec_id = 0"), 2).collect()
@@ -107,6 +122,13 @@ def test_near_vectors_in_many_blocks(spark):
     assert got == want
 
 
+def test_tied_places_are_dealt_to_many_blocks(spark):
+    """Multiples of one direction are different vectors with one place."""
+    rows = [(i, [float(i + 1), 0.0]) for i in range(400)] + [(1_000 + i, [0.0, float(i + 1)]) for i in range(30)]
+    got = found_links(vectors(spark, rows), block=40)
+    assert got == brute_links(rows)
+
+
 def test_an_empty_side_has_no_pairs():
     some, none = np.eye(3), np.zeros((0, 3))
     for left, right in [(none, some), (some, none), (none, None)]:
