@@ -60,9 +60,34 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return odds / odds.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, classes: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Sample:
+    """Rows kept by the features they have; only the rows of one step are ever made dense."""
+
+    slots: list[np.ndarray]
+    values: list[np.ndarray]
+    width: int = 1 << BITS
+
+    def __len__(self) -> int:
+        return len(self.slots)
+
+    def dense(self, some: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(some), self.width), dtype=np.float32)
+        for row, i in zip(out, some.tolist()):
+            row[self.slots[i]] = self.values[i]
+        return out
+
+    def take(self, some: np.ndarray) -> Sample:
+        return Sample([self.slots[i] for i in some], [self.values[i] for i in some], self.width)
+
+    def logits(self, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        every = np.arange(len(self))
+        return np.concatenate([self.dense(every[a : a + STEP]) @ weights.T + bias for a in range(0, len(self), STEP)])
+
+
+def fit(rows: Sample, labels: np.ndarray, classes: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and biases by FTRL-proximal steps with an elastic net (no penalty on biases)."""
-    width = rows.shape[1] + 1
+    width = rows.width + 1
     z, n = np.zeros((classes, width)), np.zeros((classes, width))
     l1, l2 = np.full(width, L1), np.full(width, L2)
     l1[-1] = l2[-1] = 0.0
@@ -75,7 +100,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, classes: int, seed: int = 5) -> tu
         turn = order.permutation(len(rows))
         for at in range(0, len(turn), STEP):
             some = turn[at : at + STEP]
-            x = np.concatenate([rows[some], np.ones((len(some), 1), dtype=rows.dtype)], axis=1)
+            x = np.concatenate([rows.dense(some), np.ones((len(some), 1), dtype=np.float32)], axis=1)
             w = weights()
             wrong = softmax(x @ w.T)
             wrong[np.arange(len(some)), labels[some]] -= 1
@@ -159,16 +184,15 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     languages = sorted({r.lang for r in sample})
     if not languages:
         return Model([], idf, np.zeros((0, 1 << BITS)), np.zeros(0), 1.0)
-    rows = np.zeros((len(sample), 1 << BITS), dtype=np.float32)
-    for row, r in zip(rows, sample):
-        used = np.frombuffer(r.slots, dtype="<i4")
-        row[used] = tf_idf(np.frombuffer(r.counts, dtype="<i4"), idf[used])
+    slots = [np.frombuffer(r.slots, dtype="<i4") for r in sample]
+    values = [tf_idf(np.frombuffer(r.counts, dtype="<i4"), idf[used]).astype(np.float32) for r, used in zip(sample, slots)]
+    rows = Sample(slots, values)
     labels = np.array([languages.index(r.lang) for r in sample])
     apart = np.arange(len(sample)) % CALIBRATION == CALIBRATION - 1
-    weights, bias = fit(rows[~apart], labels[~apart], len(languages))
+    weights, bias = fit(rows.take(np.flatnonzero(~apart)), labels[~apart], len(languages))
     model = Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, 1.0)
     if apart.any():
-        model.temperature = temperature(rows[apart] @ weights.T + bias, labels[apart])
+        model.temperature = temperature(rows.take(np.flatnonzero(apart)).logits(weights, bias), labels[apart])
     return model
 
 

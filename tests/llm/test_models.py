@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -55,7 +56,9 @@ def test_elastic_net_leaves_weights_out_and_temperature_softens():
     rng = np.random.default_rng(2)
     rows = rng.normal(size=(300, 40)).astype(np.float32)
     labels = (rows[:, 3] > 0).astype(int)
-    weights, bias = language.fit(rows, labels, 2)
+    sample = language.Sample([np.arange(40)] * 300, list(rows), 40)
+    weights, bias = language.fit(sample, labels, 2)
+    assert np.allclose(sample.take(np.arange(5)).logits(weights, bias), rows[:5] @ weights.T + bias, atol=1e-5)
     assert ((rows @ weights.T + bias).argmax(axis=1) == labels).mean() > 0.95
     noisy = np.where(rng.random(300) < 0.2, 1 - labels, labels)
     logits = np.stack([np.where(labels == 0, 9.0, 0.0), np.where(labels == 1, 9.0, 0.0)], axis=1)
@@ -183,3 +186,88 @@ def test_toxicity_ignores_held_out_labels(spark, tables):
     flipped = labels.selectExpr("doc_id", "if(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, 1 - toxic, toxic) as toxic")
     one, other = (toxicity.learn(docs, some) for some in (labels, flipped))
     assert (one.weights == other.weights).all() and one.bias == other.bias
+
+
+MASK = (1 << 64) - 1
+
+
+def plain_slot(key, bits):
+    return (key * 0x9E3779B97F4A7C15 & MASK) >> (64 - bits)
+
+
+def plain_ngrams(text):
+    points = list(map(ord, text.lower()))
+    counts = {}
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            key = 0
+            for p in points[i : i + n]:
+                key = (key << 21 | p) & MASK
+            slot = plain_slot(key, language.BITS)
+            counts[slot] = counts.get(slot, 0) + 1
+    return counts
+
+
+def test_language_query_by_plain_computation(spark):
+    """Document frequencies and every score of the table, worked out again in plain Python."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = docs.collect()
+    model = language.learn(docs)
+    taught = [r for r in rows if not held(r.doc_id) and r.lang is not None and r.text is not None]
+    assert model.languages == sorted({r.lang for r in taught})
+    frequency = {}
+    for r in taught:
+        for slot in plain_ngrams(r.text):
+            frequency[slot] = frequency.get(slot, 0) + 1
+    for slot in range(0, 1 << language.BITS, 37):
+        want = math.log((1 + len(taught)) / (1 + frequency.get(slot, 0))) + 1
+        assert model.idf[slot] == pytest.approx(want, rel=1e-5)
+    got = {r.doc_id: r for r in language.op6_language(spark, folder).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r.doc_id].held_out == held(r.doc_id)
+        if not any(map(str.isalpha, r.text or "")):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        values = {slot: math.log1p(n) * float(model.idf[slot]) for slot, n in plain_ngrams(r.text).items()}
+        size = math.sqrt(sum(v * v for v in values.values()))
+        logits = [
+            (sum(float(w[slot]) * v for slot, v in values.items()) / size + float(b)) / model.temperature
+            for w, b in zip(model.weights, model.bias)
+        ]
+        odds = [math.exp(x - max(logits)) for x in logits]
+        best = odds.index(max(odds))
+        assert got[r.doc_id].lang_pred == model.languages[best]
+        assert got[r.doc_id].score == pytest.approx(odds[best] / sum(odds), abs=1e-4)
+
+
+def plain_words(text):
+    base, found, word = 0x100000001B3, set(), []
+    for p in [*map(ord, text.lower()), 32]:
+        if 48 <= p < 58 or 97 <= p < 123 or p >= 0xC0:
+            word.append(p)
+            continue
+        if word:
+            keys = [sum(p * pow(base, i, 1 << 64) for i, p in enumerate(word)) & MASK]
+            for length in toxicity.PREFIXES:
+                if len(word) >= length:
+                    keys.append(sum(p * pow(base, i, 1 << 64) for i, p in enumerate(word[:length])) + length & MASK)
+            found.update(plain_slot(key, toxicity.BITS) for key in keys)
+        word = []
+    return found
+
+
+def test_toxicity_query_by_plain_computation(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    got = {r.doc_id: r for r in toxicity.op5_toxicity(spark, folder).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) and any(r.predicted for r in got.values())
+    for r in rows:
+        total = sum(float(model.weights[slot]) for slot in plain_words(r.text or "")) + model.bias
+        score = 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+        own = got[r.doc_id]
+        assert own.held_out == held(r.doc_id) and own.score == pytest.approx(score, abs=1e-4)
+        assert own.predicted == int(own.score >= 0.7)
