@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from modelvigil.session import materialise
 
 BROADCAST_ROWS = 100_000
+#: Bytes of group keys that are broadcast at most; the other columns of a group are few and of fixed size.
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
@@ -23,15 +25,17 @@ def join_group_rows(
 ) -> DataFrame:
     """Attach the one row per group in ``groups`` to every row of ``large``; keys may be null.
 
-    ``groups`` is computed once and counted. Up to ``broadcast_rows`` it is broadcast. Beyond that it is
-    repeated over ``salts`` and each large row joins the copy its ``row_key`` hashes to, so that one hot
+    ``groups`` is computed once and measured. Up to ``broadcast_rows`` and ``BROADCAST_BYTES`` it is broadcast. Beyond
+    that it is repeated over ``salts`` and each large row joins the copy its ``row_key`` hashes to, so that one hot
     group spreads over that many partitions.
     """
     groups = materialise(groups)
     right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in by], *[c for c in groups.columns if c not in by])
     on = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by]
     right_keys = [f"_g_{k}" for k in by]
-    if groups.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in by), F.lit(0))
+    n, n_bytes = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0))).first()
+    if n <= broadcast_rows and n_bytes <= BROADCAST_BYTES:
         return large.join(F.broadcast(right), on, "inner").drop(*right_keys)
     right = right.withColumn("_g_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     left = large.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int"))

@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 
 from modelvigil.functions.checks import Check, has_blocking, issue_types, validate
 from modelvigil.functions.text import is_blank
-from modelvigil.operators.joins import BROADCAST_ROWS
+from modelvigil.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS
 from modelvigil.operators.timeseries import rolling_counts
 from modelvigil.presets import ISSUE_RATE_ALERT, MIN_TEXT_LENGTH, ROLLING_DAYS
 from modelvigil.session import materialise
 
-#: Bytes of reference values that are broadcast at most.
-BROADCAST_BYTES = 32 << 20
-
 RATE_OF_ISSUE = {
     "null_text_rate": "null_or_empty_text",
     "sentinel_rate": "silent_default_priority",
