@@ -51,8 +51,8 @@ _ALPHABET = _byte_letters()
 class PieceEncoder:
     """Little-endian unsigned 32-bit ids of texts.
 
-    ``memory`` bounds the bytes of the words kept; beyond it the memory starts anew. Words above ``longest``
-    characters seldom repeat and are not kept. The tokenizer for whole texts is loaded when
+    ``memory`` bounds the bytes of the words kept, in two halves: when one is full, the other is dropped, but for the
+    words that come again meanwhile. Words above ``longest`` characters seldom repeat and are not kept. The tokenizer for whole texts is loaded when
     a text needs it.
     """
 
@@ -63,6 +63,7 @@ class PieceEncoder:
         self.added = [token.content.lower() for token in self.merger.get_added_tokens_decoder().values()]
         self.memory, self.longest = memory, longest
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
         self.words = self.merger.normalizer is not None  # lower case, blanks dropped
         self.cut = (_WORD_PARTS if self.words else _BYTE_PARTS).findall
@@ -114,9 +115,13 @@ class PieceEncoder:
                     out[i] = self.whole([text])[0]
         needed = set(chain.from_iterable(cut.values()))
         fresh = needed.difference(self.known)
-        if self.held > self.memory:
-            self.known, self.held = {}, 0
+        if self.held > self.memory // 2:
+            self.older, self.known, self.held = self.known, {}, 0
             fresh = needed
+        kept = {part: self.older[part] for part in fresh if part in self.older}
+        self.known.update(kept)
+        self.held += sum(map(_size, kept.items()))
+        fresh = fresh.difference(kept)
         blank = [part for part in fresh if not part.strip()] if self.words else []
         self.known.update(dict.fromkeys(blank, b""))
         self.known.update(self.merged(list(fresh.difference(blank)) if blank else list(fresh)))
@@ -126,8 +131,8 @@ class PieceEncoder:
         for part in fresh:
             if len(part) > self.longest:
                 del self.known[part]
-            else:  # a word, its ids, and a place in the table
-                self.held += _ENTRY + len(part) + len(self.known[part])
+            else:
+                self.held += _size((part, self.known[part]))
         return out
 
     def stream(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[bytes]:
@@ -142,6 +147,10 @@ class PieceEncoder:
         yield from self.encode(some)
 
 
+def _size(entry: tuple[str, bytes]) -> int:
+    return _ENTRY + len(entry[0]) + len(entry[1])
+
+
 def _latin(text: str) -> bool:
     if text.isascii():
         return True

@@ -43,7 +43,8 @@ def test_ids_with_a_small_memory(spark, path):
     ids = [code for doc in docs for code in (small.encode([doc])[0], sizes.append(small.held))[:1]]
     assert ids == small.whole(docs)
     largest = max(len(set(d.split())) for d in docs)
-    assert max(sizes) <= 60_000 + 2 * largest * 210 and len(small.known) <= max(sizes) / 180
+    assert max(sizes) <= 30_000 + 2 * largest * 210 and len(small.known) <= max(sizes) / 180
+    assert len(small.older) <= max(sizes) / 180
 
 
 def reference(text, path, end):
