@@ -20,11 +20,9 @@ def learn_vocabulary(df: DataFrame, *columns: str, first_id: int = FIRST_ID) ->
     counted before they are shuffled, and ranked range by range, so neither a frequent word nor their number meets in
     one task. The table is computed once.
     """
-    counts = None
-    for column in columns:
-        words = df.select(F.explode(column).alias("word")).where(F.col("word").isNotNull())
-        counts = words if counts is None else counts.union(words)
-    counts = counts.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = F.concat(*[F.coalesce(column, F.array().cast("array<string>")) for column in columns])
+    said = df.select(F.explode(words).alias("word")).where(F.col("word").isNotNull())
+    counts = said.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     ranked = with_order_position(counts, [F.desc("n"), F.asc("word")])
     return materialise(ranked.select("word", "n", (F.col("position") + first_id).alias("id")))
 
