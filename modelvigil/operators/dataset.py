@@ -167,7 +167,10 @@ def resample_mix(
 
 
 def split_words(text: Column) -> Column:
-    return F.array_remove(F.split(text, r"\s+"), "")
+    """Words between blanks, the characters ``\\s`` names. One literal blank splits several times faster than a pattern."""
+    for blank in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def hashed_id(word: Column, vocabulary_size: int = 32_000) -> Column:

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -37,6 +38,28 @@ def test_words_keep_their_order(spark, head):
     ], key=str)
 
 
+def test_known_words_are_looked_up_where_they_are(spark):
+    table = spark.createDataFrame([("a", 9, 3), ("b", 5, 4)], "word string, n long, id long")
+    df = spark.createDataFrame([(1, ["b", "a", "new"])], "k long, words array<string>")
+    plan = lambda **options: vocabulary.encode_words(df, "words", table, "ids", **options)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan() and "Generate" not in plan()
+    assert "ShuffledHashJoin" in plan(head=1)  # the word beyond the head is joined
+
+
+@pytest.mark.parametrize("head", [0, 3, 40, 4_096])
+def test_any_split_of_the_vocabulary_gives_the_same_ids(spark, head):
+    rng = random.Random(5)
+    known = [f"w{i}" for i in range(60)] + ["long" * 30]
+    table = spark.createDataFrame([(w, 1, 3 + i) for i, w in enumerate(known)], "word string, n long, id long")
+    rows = [(i, rng.choices([*known, "new", None, "", "w\x000"], k=rng.randint(0, 70))) for i in range(200)] + [(200, None)]
+    rows += [(1_000 + i, words) for i, (_, words) in enumerate(rows[:50])]
+    ids = {w: 3 + i for i, w in enumerate(known)}
+    df = spark.createDataFrame(rows, "k long, words array<string>").repartition(7)
+    got = vocabulary.encode_words(df, "words", table, "ids", head=head).collect()
+    assert {r.k: r.ids for r in got} == {k: [ids.get(w, 2) for w in words or []] for k, words in rows}
+    assert len(got) == len(rows)
+
+
 def test_examples_of_a_vocabulary_equal_those_of_its_function(spark):
     df = spark.createDataFrame([(1, " ".join(f"w{i % 7}" for i in range(40)), "yes no"), (2, None, "yes"), (3, "w1", None), (4, "", "")], "ex_id long, prompt string, label string")
     words = [f"w{i}" for i in range(7)] + ["yes", "no"]
