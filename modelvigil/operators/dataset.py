@@ -23,6 +23,7 @@ from modelvigil.presets import (
     TYPO_SWAPS,
     VAL_SHARE,
 )
+from modelvigil.session import materialise
 
 
 def dedup_ci(df: DataFrame, label: str = "label", text: str = "text", row_key: str = "ex_id") -> DataFrame:
@@ -191,14 +192,27 @@ def _windows(split: DataFrame, answer_size: Column, max_len: int) -> DataFrame:
     return split.withColumn("_own", F.slice("_prompt", F.col("window") * F.col("_room") + 1, F.col("_room")))
 
 
+def _word_windows(df: DataFrame, prompt: str, label: str, words: Callable[[Column], Column], max_len: int) -> DataFrame:
+    none = F.array().cast("array<string>")
+    split = df.withColumns({"_prompt": F.coalesce(words(F.col(prompt)), none), "_answer": F.coalesce(words(F.col(label)), none)})
+    return _windows(split, F.size("_answer") + 1, max_len)
+
+
+def example_sizes(
+    df: DataFrame, key: str = "ex_id", prompt: str = "prompt", label: str = "label",
+    words: Callable[[Column], Column] = split_words, max_len: int = MAX_TOKENS,
+) -> DataFrame:
+    """``key``, ``window`` and ``n_tokens`` of the arrays that :func:`build_examples` makes, without any ids."""
+    own = _word_windows(df.select(key, prompt, label), prompt, label, words, max_len)
+    return own.select(key, "window", (F.size("_own") + F.size("_answer") + 1).alias("n_tokens"))
+
+
 def _examples_of_vocabulary(
     df: DataFrame, prompt: str, label: str, words: Callable[[Column], Column], vocabulary: DataFrame, eos_id: int,
     max_len: int,
 ) -> DataFrame:
     """Windows are cut in words; each then meets the vocabulary, prompt part and answer together."""
-    none = F.array().cast("array<string>")
-    split = df.withColumns({"_prompt": F.coalesce(words(F.col(prompt)), none), "_answer": F.coalesce(words(F.col(label)), none)})
-    own = _windows(split, F.size("_answer") + 1, max_len)
+    own = _word_windows(df, prompt, label, words, max_len)
     own = own.withColumns({"_all": F.concat("_own", "_answer"), "_masked": F.size("_own")})
     coded = encode_words(own.drop("_prompt", "_answer", "_own", "_room"), "_all", vocabulary, "_ids")
     ids = F.concat("_ids", F.array(F.lit(eos_id).cast("bigint")))
@@ -237,19 +251,22 @@ def build_examples(
 
 def pad_batches(
     df: DataFrame, key: str = "ex_id", seed: int = 42, batch_size: int = BATCH_SIZE, pad_id: int = 0,
-    window: str = "window",
+    window: str = "window", sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle rows into batches and pad each batch to its longest member; labels pad with the ignored id.
 
     A row is named by ``key`` and its ``window``, as :func:`build_examples` returns them. Place, batch and longest
-    member are found on the name and the length alone; the arrays then move once, to be joined with them.
+    member are found on the name and the length alone, which are computed once: from ``sizes`` (``key``, ``window``,
+    ``n_tokens``) if given, so that ``df`` is computed once too. The arrays then move once, unsorted, to be joined with them.
     """
     name = F.concat_ws(":", F.col(key).cast("string"), F.col(window).cast("string"))
-    named = df.withColumn("_name", name)
-    narrow = named.select("_name", F.size("input_ids").alias("_size"))
+    if sizes is None:
+        sizes = df.select(key, window, F.size("input_ids").alias("n_tokens"))
+    narrow = materialise(sizes.select(name.alias("_name"), F.col("n_tokens").alias("_size")))
     placed = with_shuffle_position(narrow, "_name", seed).withColumn("batch", F.floor(F.col("position") / batch_size))
     longest = F.max("_size").over(Window.partitionBy("batch"))
-    padded = named.join(placed.select("_name", "batch", longest.alias("_longest")), "_name")
+    placed = placed.select("_name", "batch", longest.alias("_longest"))
+    padded = df.withColumn("_name", name).join(placed.hint("shuffle_hash"), "_name")
     padded = padded.withColumn("_missing", F.col("_longest") - F.size("input_ids"))
     for column, filler in (("input_ids", pad_id), ("labels", IGNORED_LABEL_ID), ("attention_mask", 0)):
         padded = padded.withColumn(column, F.concat(F.col(column), F.array_repeat(F.lit(filler), F.col("_missing"))))

@@ -90,7 +90,8 @@ def sft_mask(spark, folder):
 
 
 def sft_pad(spark, folder):
-    return _shown(dataset.pad_batches(_coded(spark, folder), seed=SEED))
+    sizes = dataset.example_sizes(prompts(spark, folder))
+    return _shown(dataset.pad_batches(_coded(spark, folder), seed=SEED, sizes=sizes))
 
 
 def sft_chat(spark, folder):

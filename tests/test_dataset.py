@@ -176,6 +176,28 @@ def test_padding_to_the_longest_of_each_batch(spark):
             assert r.labels == raw.labels + [-100] * n and r.attention_mask == raw.attention_mask + [0] * n
 
 
+def test_sizes_are_known_without_ids_and_arrays_are_made_once(spark):
+    prompts = [(i, " ".join(f"w{j}" for j in range(n)), " ".join(f"a{j}" for j in range(m))) for i, (n, m) in enumerate(
+        [(0, 0), (1, 30), (3, 19), (97, 2), (98, 5), (40, 9)]
+    )] + [(90, None, "x"), (91, "w", None)]
+    df = spark.createDataFrame(prompts, "ex_id long, prompt string, label string")
+    table = spark.createDataFrame([(f"w{j}", 1, 3 + j) for j in range(98)], "word string, n long, id long")
+    arrays = dataset.build_examples(df, token_id=table, max_len=20)
+    sizes = dataset.example_sizes(df, max_len=20)
+    assert sorted(map(tuple, sizes.collect())) == sorted((r.ex_id, r.window, len(r.input_ids)) for r in arrays.collect())
+    padded = dataset.pad_batches(arrays, sizes=sizes, batch_size=3)
+    assert sorted(map(str, padded.collect())) == sorted(map(str, dataset.pad_batches(arrays, batch_size=3).collect()))
+    plan = padded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ArrowEvalPython") == 1 and "SortMergeJoin" not in plan
+
+
+def test_words_are_split_at_all_blanks(spark):
+    texts = ["", " ", "a\t\nb\x0bc\fd\re  f ", "no\u00a0blank\x1cno\x85blank", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.w for r in df.select("i", dataset.split_words(F.col("t")).alias("w")).collect()}
+    assert got == {0: [], 1: [], 2: list("abcdef"), 3: [texts[3]], 4: None}
+
+
 def test_gate(spark):
     rows = [(1, "long enough", "a"), (2, None, None), (3, "  ab ", "b"), (4, "long enough", "zzz")]
     df = spark.createDataFrame(rows, "ex_id long, text string, label string")
