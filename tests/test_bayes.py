@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -40,6 +41,25 @@ def plain(train, asked, alpha, min_docs, presence):
     return out
 
 
+@pytest.mark.parametrize("head", [0, 2, 1 << 16])
+def test_words_in_and_beyond_the_broadcast_part_score_alike(spark, head):
+    schema = "id long, label string, text string"
+    rng = random.Random(3)
+    said = lambda: " ".join(rng.choices(["red", "blue", "sea", "sky", "x" * 90, "new"], k=rng.randint(0, 30)))
+    taught = [(i, rng.choice("abc"), said().replace("new", "red")) for i in range(40)]
+    questions = [(100 + i, rng.choice("abc"), said()) for i in range(60)] + [(None, "a", "red sea")]
+    train, asked = (spark.createDataFrame(rows, schema) for rows in (taught, questions))
+    stats = bayes.statistics(train, bayes.word_features(train, "id", keep=["label"]))
+    grid = bayes.cells()
+    scored = bayes.posteriors(asked, bayes.word_features(asked, "id").repartition(5), stats, grid, "id", head=head)
+    rows = {r.id: r for r in scored.collect()}
+    for j, cell in enumerate(grid):
+        want = plain(taught, [q for q in questions if q[0]], **cell)
+        assert {i: r.scores[j] for i, r in rows.items() if i} == {i: s for i, (_, s) in want.items()}, cell
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1  # 48 sums a pair of text and word are no generated code
+
+
 def test_all_cells_equal_their_own_fit(spark):
     schema = "id long, label string, text string"
     train, asked = spark.createDataFrame(ROWS, schema), spark.createDataFrame(ASKED, schema)
