@@ -11,7 +11,6 @@ import codecs
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
@@ -56,7 +55,7 @@ class PieceEncoder:
     a text needs it.
     """
 
-    def __init__(self, path: str, memory: int = 48_000_000, longest: int = 14):
+    def __init__(self, path: str, memory: int = 96_000_000, longest: int = 14):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.path, self.tokenizer = path, None
         self.merger = Tokenizer.from_file(path)  # the merges alone
@@ -100,7 +99,10 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
+        if self.held > self.memory:
+            self.known, self.held = {}, 0
+        known, cut = self.known.get, {}
+        fresh: set[str] = set()
         for i, text in enumerate(texts):
             if text:
                 lower = text.lower()
@@ -108,26 +110,28 @@ class PieceEncoder:
                     out[i] = self.whole([text])[0]
                     continue
                 parts = self.cut(lower if self.words else text)
-                if sum(map(len, parts)) == len(text) and _latin(text):
-                    cut[i] = parts
+                if len("".join(parts)) == len(text) and _latin(text):
+                    codes = list(map(known, parts))
+                    if None in codes:  # the words to merge, and their places
+                        places = [k for k, code in enumerate(codes) if code is None]
+                        missing = [parts[k] for k in places]
+                        fresh.update(missing)
+                        cut[i] = (codes, places, missing)
+                    else:
+                        out[i] = b"".join(codes)
                 else:
                     out[i] = self.whole([text])[0]
-        needed = set(chain.from_iterable(cut.values()))
-        fresh = needed.difference(self.known)
-        if self.held > self.memory:
-            self.known, self.held = {}, 0
-            fresh = needed
         blank = [part for part in fresh if not part.strip()] if self.words else []
-        self.known.update(dict.fromkeys(blank, b""))
-        self.known.update(self.merged(list(fresh.difference(blank)) if blank else list(fresh)))
-        ids_of = self.known.__getitem__
-        for i, parts in cut.items():
-            out[i] = b"".join(map(ids_of, parts))
-        for part in fresh:
-            if len(part) > self.longest:
-                del self.known[part]
-            else:  # a word, its ids, and a place in the table
-                self.held += _ENTRY + len(part) + len(self.known[part])
+        merged = dict.fromkeys(blank, b"")
+        merged.update(self.merged(list(fresh.difference(blank)) if blank else list(fresh)))
+        for i, (codes, places, missing) in cut.items():
+            for k, part in zip(places, missing):
+                codes[k] = merged[part]
+            out[i] = b"".join(codes)
+        for part, code in merged.items():
+            if len(part) <= self.longest:  # a word, its ids, and a place in the table
+                self.known[part] = code
+                self.held += _ENTRY + len(part) + len(code)
         return out
 
     def stream(self, texts: Iterable[str], chars: int = 2_000_000) -> Iterator[bytes]:

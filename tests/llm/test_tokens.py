@@ -237,3 +237,15 @@ def test_token_file_query(spark):
         assert (got.start, got.n_tokens, got.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert not found
+
+
+def test_words_of_a_large_vocabulary_are_merged_once():
+    encoder = tokens.PieceEncoder(tokens.default_path("byte_bpe_50k.json"))
+    merged, merge = [], encoder.merged
+    encoder.merged = lambda parts: merged.extend(parts) or merge(parts)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(str(i).translate(letters) for i in range(a, a + 1_000)) for a in range(0, 300_000, 1_000)]
+    first = list(encoder.stream(texts))
+    once = len(merged)
+    assert list(encoder.stream(texts)) == first and len(merged) == once >= 300_000
+    assert first[::90] == encoder.whole(texts[::90])
