@@ -55,7 +55,7 @@ class PieceEncoder:
     a text needs it.
     """
 
-    def __init__(self, path: str, memory: int = 96_000_000, longest: int = 14):
+    def __init__(self, path: str, memory: int = 72_000_000, longest: int = 14):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.path, self.tokenizer = path, None
         self.merger = Tokenizer.from_file(path)  # the merges alone
