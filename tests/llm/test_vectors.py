@@ -150,6 +150,84 @@ def test_count_is_calibrated_to_the_wanted_recall():
     assert not any(len(near_vectors.linked_pairs(base[i : i + 1], far[i : i + 1])[0]) for i in range(500))
 
 
+def test_a_vector_goes_to_few_buckets_however_many_vectors_there_are():
+    """It once went to all blocks in reach, six of ten, in one batch of rows."""
+    for rows in (100, 10_000, 1_000_000, 100_000_000):
+        sides, tables, probes = near_vectors.planned_buckets(rows, 0.95, 4_096)
+        assert tables * probes <= 32 and tables * sides**2 <= 1 << near_vectors.BUCKET_BITS
+        assert probes * rows / sides**2 <= 4_096
+
+
+@pytest.mark.parametrize("width", [2, 64])
+def test_pairs_at_the_cosine_share_a_bucket(width):
+    rng = np.random.default_rng(5)
+    base = near_vectors.unit_rows(rng.normal(size=(20_000, width)))
+    side = rng.normal(size=base.shape)
+    side = near_vectors.unit_rows(side - (side * base).sum(axis=1, keepdims=True) * base)
+    near = 0.95 * base + np.sqrt(1 - 0.95**2) * side
+    plan = near_vectors.planned_buckets(200_000, 0.95, 4_096)
+    one, two = (
+        np.concatenate([near_vectors.bucket_names(x[i : i + 2_000], *plan) for i in range(0, len(x), 2_000)]) for x in (base, near)
+    )
+    shared = np.zeros(len(one), dtype=bool)
+    for column in one.T:
+        shared |= (column[:, None] == two).any(axis=1)
+    assert (~shared).sum() <= 5
+    # nothing is taken for counted before in the first bucket it shares
+    mixed, large = near_vectors.mixed, np.int64(1 << 40)
+    order = np.where((one[:, :, None] == two[:, None, :]).any(axis=2), mixed(one.ravel()).reshape(one.shape), large)
+    first = np.take_along_axis(one, order.argmin(axis=1)[:, None], 1)[:, 0]
+    before = near_vectors.met_before(near_vectors.first_buckets(one), near_vectors.first_buckets(two), first)
+    assert not before[shared].any()
+
+
+def test_rows_of_a_large_bucket_leave_a_task_some_at_a_time(monkeypatch):
+    class Units:
+        def select(self, *names):
+            return self
+
+    n, none = 1_000, near_vectors.Balls(np.zeros((0, 4)), 0.95, (1, 1, 1))
+    batch = near_vectors.pa.RecordBatch.from_pydict({
+        "unit": np.arange(n), "s1": np.arange(n), "s2": np.arange(n), "buckets": near_vectors._binary(np.full((n, 1), 3, np.int32)),
+    })
+    monkeypatch.setattr(near_vectors, "_mapped", lambda df, work, ddl: work)
+    monkeypatch.setattr(near_vectors, "OUT_ROWS", 700)
+    out = list(near_vectors._dealt(Units(), none, "f4", {3: 40})(iter([batch])))
+    assert max(len(rows["key"]) for rows in out) <= 700
+    keys, unit = (np.concatenate([rows[name] for rows in out]) for name in ("key", "unit"))
+    assert len(keys) == 40 * n
+    bits = near_vectors.BUCKET_BITS
+    met = {}
+    for key, one in zip(keys.tolist(), unit.tolist()):
+        met.setdefault(key, []).append(one)
+    piece = (near_vectors.mixed(np.arange(n)) % 40).tolist()
+    for key, units in met.items():
+        low, high = key >> bits & (1 << bits) - 1, key >> 2 * bits
+        assert sorted(units) == [i for i in range(n) if piece[i] in (low, high)]
+
+
+def test_near_vectors_of_large_groups_and_what_lies_around(spark):
+    rng = np.random.default_rng(11)
+
+    def around(centre, angle, n):
+        side = rng.normal(size=(n, 24))
+        side = near_vectors.unit_rows(side - (side @ centre)[:, None] * centre)
+        return np.cos(angle)[:, None] * centre + np.sin(angle)[:, None] * side
+
+    one, two = near_vectors.unit_rows(rng.normal(size=(2, 24)))
+    values = np.concatenate([
+        around(one, rng.uniform(0, 0.1, 300), 300), around(one, rng.uniform(0.1, 0.45, 150), 150),
+        around(two, rng.uniform(0, 0.12, 120), 120), rng.normal(size=(100, 24)),
+    ])
+    # float32 values, as the table holds them
+    values = (values * rng.uniform(0.1, 9, (len(values), 1))).astype(np.float32)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(values)), values)]
+    want = brute_links(rows)
+    assert found_links(vectors(spark, rows), block=16) == want
+    doubles = vectors(spark, rows).selectExpr("vec_id", "cast(embedding as array<double>) embedding")
+    assert found_links(doubles) == want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)
