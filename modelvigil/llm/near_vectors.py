@@ -14,7 +14,6 @@ from pyspark.sql.types import FloatType
 
 from modelvigil.llm.common import release_worker_memory, slices, table
 from modelvigil.llm.components import connected_components
-from modelvigil.llm.topk import usable
 from modelvigil.session import stored
 
 COSINE = 0.95
@@ -112,7 +111,7 @@ def best_buckets(first: np.ndarray, second: np.ndarray, probes: int) -> np.ndarr
     probes, top = min(probes, sides * second.shape[1]), min(probes, sides)
 
     def largest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.argpartition(values, sides - top, axis=1)[:, sides - top :] if top < sides else np.tile(np.arange(sides), (len(values), 1))
+        at = np.argpartition(values, sides - top, axis=1)[:, sides - top :] if top < sides else np.argsort(values, axis=1)
         return at, np.take_along_axis(values, at, 1)
 
     (i, x), (j, y) = largest(first), largest(second)
@@ -175,8 +174,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def first_buckets(buckets: np.ndarray) -> np.ndarray:
     """Three buckets of each row, the first ones in mixed order, in one number."""
-    order = np.argsort(mixed(buckets.ravel()).reshape(buckets.shape), axis=1, kind="stable")[:, [0, min(1, buckets.shape[1] - 1), min(2, buckets.shape[1] - 1)]]
-    few = np.take_along_axis(buckets, order, 1).astype(np.int64)
+    order = np.argsort(mixed(buckets.ravel()).reshape(buckets.shape), axis=1, kind="stable")
+    few = np.take_along_axis(buckets, order[:, np.minimum([0, 1, 2], buckets.shape[1] - 1)], 1).astype(np.int64)
     return few[:, 0] | few[:, 1] << BUCKET_BITS | few[:, 2] << 2 * BUCKET_BITS
 
 
@@ -329,21 +328,6 @@ def _coded(distinct: DataFrame, width: int, kind: str, plan: tuple[int, int, int
     return _mapped(distinct, work, _UNIT)
 
 
-def _large_buckets(units: DataFrame, plan: tuple[int, int, int], limit: int) -> dict[int, int]:
-    """Vectors of each bucket that has over ``limit``."""
-    sides, tables, probes = plan
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        count = np.zeros(tables * sides * sides, dtype=np.int64)
-        for batch in batches:
-            count += np.bincount(_rows(batch.column("buckets"), "i4").ravel(), minlength=len(count))
-        at = np.flatnonzero(count)
-        yield {"bucket": at, "n": count[at]}
-
-    sums = _mapped(units.select("buckets"), work, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return {r.bucket: r.n for r in sums.where(F.col("n") > limit).collect()}
-
-
 def _centres(units: DataFrame, rows: int, width: int, kind: str, cosine: float) -> np.ndarray:
     """Centres of balls, from the cells of equal leading signs that hold many vectors.
 
@@ -357,7 +341,7 @@ def _centres(units: DataFrame, rows: int, width: int, kind: str, cosine: float)
     if not many:
         return np.zeros((0, width))
     counts = units.sparkSession.createDataFrame(many, "cell long, n long")
-    few = F.pmod(F.xxhash64("unit", F.lit(SEED)), F.lit(1 << 30)) * F.col("n") < F.lit(CENTRE_MEAN << 30)
+    few = F.pmod(F.xxhash64("unit", F.lit(SEED)), F.lit(1 << 30)).cast("double") * F.col("n") < F.lit(float(CENTRE_MEAN << 30))
     picked = units.select(cell.alias("cell"), "unit", "vector").join(F.broadcast(counts), "cell").where(few)
     found = picked.select("cell", "n", "vector").collect()
     if not found:
@@ -366,22 +350,84 @@ def _centres(units: DataFrame, rows: int, width: int, kind: str, cosine: float)
     return ball_centres(np.array([r.cell for r in found], dtype=np.int64), np.array([r.n for r in found], dtype=np.int64), vectors, cosine)
 
 
-def _members(units: DataFrame, balls: Balls, kind: str) -> DataFrame:
-    """``vec_id``, ``copies`` and ``ball`` of the vectors in a ball."""
+class Pieces:
+    """How the rows of large buckets are cut: a ball with many rows there has pieces of its own, all others share some.
+
+    Each piece meets all others of its bucket and itself, but the pieces of a ball do not meet one another.
+    """
+
+    def __init__(self, counts: list[tuple[int, int, int]], limit: int):
+        self.parts: dict[tuple[int, int], tuple[int, int]] = {}
+        self.total: dict[int, int] = {}
+        for bucket, ball, n in sorted(counts):  # ball 0: all that have no pieces of their own
+            start, parts = self.total.get(bucket, 0), -(-n // limit)
+            self.parts[bucket, ball], self.total[bucket] = (start, parts), start + parts
+        self.buckets = np.array(sorted(self.total), dtype=np.int64)
+
+    def of_rows(self, bucket: np.ndarray, ball: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Each row's piece, the pieces of its bucket, and the first one and the number of those it does not meet."""
+        mine, start, out, total = np.zeros((4, len(bucket)), dtype=np.int64)
+        total += 1
+        if not len(self.buckets):
+            return mine, total, start, out
+        at = np.flatnonzero(self.buckets[np.minimum(np.searchsorted(self.buckets, bucket), len(self.buckets) - 1)] == bucket)
+        names, which = np.unique(np.stack([bucket[at], ball[at].astype(np.int64)]), axis=1, return_inverse=True)
+        found = []
+        for x, y in names.T.tolist():
+            own = y > 0 and (x, y) in self.parts
+            first, parts = self.parts.get((x, y if own else 0), (0, 1))
+            found.append((first, max(parts, 1), self.total[x], parts if own else 0))
+        first, parts, total[at], out[at] = np.array(found, dtype=np.int64).reshape(-1, 4)[which.ravel()].T
+        mine[at], start[at] = first + mixed(unit[at]) % parts, first
+        return mine, total, start, out
+
+
+def _marked(units: DataFrame, balls: Balls, kind: str, plan: tuple[int, int, int]) -> DataFrame:
+    """The vectors in a ball (``bucket`` null), and for each bucket the rows ``n`` of each ball and of none."""
+    sides, tables, _ = plan
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        alone, inside = np.zeros(tables * sides * sides, dtype=np.int64), np.zeros((3, 0), dtype=np.int64)
         for batch in batches:
-            number = balls.of_units(unit_rows(_rows(batch.column("vector"), kind)), _rows(batch.column("buckets"), "i4"))
+            buckets = _rows(batch.column("buckets"), "i4")
+            number = np.zeros(len(buckets), dtype=np.int32)
+            if len(balls.centres):
+                number = balls.of_units(unit_rows(_rows(batch.column("vector"), kind)), buckets)
+            alone += np.bincount(buckets[number == 0].ravel(), minlength=len(alone))
             at = np.flatnonzero(number)
-            yield {"vec_id": batch.column("vec_id").take(pa.array(at)), "copies": batch.column("copies").take(pa.array(at)), "ball": number[at]}
-
-    return _mapped(units.select("vec_id", "copies", "vector", "buckets"), work, "vec_id long, copies long, ball int")
+            if len(at):
+                more = [buckets[at].ravel(), np.repeat(number[at], buckets.shape[1]), np.ones(buckets[at].size)]
+                inside = np.concatenate([inside, np.stack(more).astype(np.int64)], axis=1)
+                names, which = np.unique(inside[:2], axis=1, return_inverse=True)
+                inside = np.concatenate([names, np.bincount(which.ravel(), inside[2])[None].astype(np.int64)])
+                yield {name: batch.column(name).take(pa.array(at)) for name in ("vec_id", "copies")} | {
+                    "ball": number[at], "bucket": pa.nulls(len(at), pa.int64()), "n": pa.nulls(len(at), pa.int64()),
+                }
+        at = np.flatnonzero(alone)
+        counts = np.concatenate([np.stack([at, np.zeros_like(at), alone[at]]), inside], axis=1)
+        none = pa.nulls(counts.shape[1], pa.int64())
+        yield {"vec_id": none, "copies": none, "ball": counts[1].astype(np.int32), "bucket": counts[0], "n": counts[2]}
+
+    read = units.select("vec_id", "copies", "buckets", *["vector"] * bool(len(balls.centres)))
+    return _mapped(read, work, "vec_id long, copies long, ball int, bucket long, n long")
+
+
+def _pieces(marked: DataFrame, limit: int) -> Pieces:
+    """Pieces of the buckets with more than ``limit`` rows."""
+    sums = marked.where(F.col("bucket").isNotNull()).groupBy("bucket", "ball").agg(F.sum("n").alias("n"))
+    own = (F.col("ball") > 0) & (F.col("n") > limit)
+    large = sums.groupBy("bucket").agg(
+        F.sum("n").alias("total"), F.sum(F.when(~own, F.col("n"))).alias("rest"),
+        F.collect_list(F.when(own, F.struct("ball", "n"))).alias("own"),
+    ).where(F.col("total") > limit)
+    counts = []
+    for r in large.collect():
+        counts += [(r.bucket, 0, r.rest or 0), *((r.bucket, x.ball, x.n) for x in r.own)]
+    return Pieces(counts, limit)
 
 
-def _dealt(units: DataFrame, balls: Balls, kind: str, pieces: dict[int, int]) -> DataFrame:
+def _dealt(units: DataFrame, balls: Balls, kind: str, pieces: Pieces) -> DataFrame:
     """A row for each bucket of a vector; in a bucket of pieces, one for each piece that its own meets."""
-    cut = np.array(sorted(pieces), dtype=np.int64)
-    parts = np.array([pieces[x] for x in cut.tolist()], dtype=np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -393,30 +439,31 @@ def _dealt(units: DataFrame, balls: Balls, kind: str, pieces: dict[int, int]) ->
             first = first_buckets(buckets)
             bucket = buckets.ravel().astype(np.int64)
             owner = np.repeat(np.arange(len(unit)), buckets.shape[1])
-            copies = np.ones(len(bucket), dtype=np.int64)
-            if len(cut):
-                at = np.minimum(np.searchsorted(cut, bucket), len(cut) - 1)
-                copies = np.where(cut[at] == bucket, parts[at], 1)
+            mine, total, start, out = pieces.of_rows(bucket, number[owner], unit[owner])
+            copies = total - out
             ends = np.cumsum(copies)
             for a in range(0, int(ends[-1]), OUT_ROWS):
                 row = np.arange(a, min(a + OUT_ROWS, int(ends[-1])))
                 at = np.searchsorted(ends, row, side="right")
                 other = row - (ends[at] - copies[at])
-                mine, i = mixed(unit[owner[at]]) % copies[at], owner[at]
-                key = bucket[at] | np.minimum(mine, other) << BUCKET_BITS | np.maximum(mine, other) << 2 * BUCKET_BITS
+                other += np.where(other >= start[at], out[at], 0)
+                i = owner[at]
+                key = bucket[at] | np.minimum(mine[at], other) << BUCKET_BITS | np.maximum(mine[at], other) << 2 * BUCKET_BITS
                 yield {"key": key, "unit": unit[i], "s1": s1[i], "s2": s2[i], "first": first[i], "ball": number[i]}
 
     return _mapped(units.select("unit", "s1", "s2", "buckets", *["vector"] * bool(len(balls.centres))), work, _DEALT)
 
 
-def _candidates(dealt: DataFrame, cosine: float, pieces: dict[int, int]) -> DataFrame:
+def _candidates(dealt: DataFrame, cosine: float, pieces: Pieces) -> DataFrame:
     """Pairs ``a`` < ``b`` of units with enough collisions, from rows sorted by bucket; some more than once."""
     counts, mask = needed_counts(cosine), (1 << BUCKET_BITS) - 1
 
-    def met(rows: list[np.ndarray], key: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def met(rows: list[np.ndarray], key: int) -> Iterator[tuple[np.ndarray, ...]]:
         unit, signs, first, ball = rows
         bucket, low, high = key & mask, key >> BUCKET_BITS & mask, key >> 2 * BUCKET_BITS
-        side = mixed(unit) % pieces[bucket] == high if low < high else np.zeros(len(unit), dtype=bool)
+        side = np.zeros(len(unit), dtype=bool)
+        if low < high:
+            side = pieces.of_rows(np.full(len(unit), bucket), ball, unit)[0] == high
         order = np.lexsort((unit, ball, side))
         unit, signs, first, ball = unit[order], signs[:, order], first[order], ball[order]
         n = int((~side).sum())
@@ -424,16 +471,18 @@ def _candidates(dealt: DataFrame, cosine: float, pieces: dict[int, int]) -> Data
             if low < high:
                 b, c = b + n, c + n
             x, y = colliding(signs[:, s:e], signs[:, b:c], counts)
-            x, y = x + s, y + b
-            new = y > x
-            x, y = x[new], y[new]
-            new = ~met_before(first[x], first[y], np.full(len(x), bucket))
-            x, y = unit[x[new]], unit[y[new]]
             if len(x):
-                yield np.minimum(x, y), np.maximum(x, y)
+                x, y = x + s, y + b
+                x, y = x[y > x], y[y > x]
+                yield unit[x], unit[y], first[x], first[y], np.full(len(x), bucket)
+
+    def new(found: list[tuple[np.ndarray, ...]]) -> dict:
+        x, y, one, two, bucket = (np.concatenate(part) for part in zip(*found))
+        first = ~met_before(one, two, bucket)
+        return {"a": np.minimum(x, y)[first], "b": np.maximum(x, y)[first]}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        kept, many = [], 0
         for rows in groups(batches):
             key, unit, s1, s2, first, ball = (rows.column(name).to_numpy() for name in _schema(_DEALT).names)
             signs = np.stack([s1, s2]).view(np.uint64)
@@ -442,11 +491,12 @@ def _candidates(dealt: DataFrame, cosine: float, pieces: dict[int, int]) -> Data
                 if e - s > 1:
                     for found in met([unit[s:e], signs[:, s:e], first[s:e], ball[s:e]], int(key[s])):
                         kept.append(found)
-                        if sum(len(a) for a, _ in kept) >= OUT_ROWS:
-                            yield {"a": np.concatenate([a for a, _ in kept]), "b": np.concatenate([b for _, b in kept])}
-                            kept = []
+                        many += len(found[0])
+                        if many >= OUT_ROWS:
+                            yield new(kept)
+                            kept, many = [], 0
         if kept:
-            yield {"a": np.concatenate([a for a, _ in kept]), "b": np.concatenate([b for _, b in kept])}
+            yield new(kept)
 
     sorted_rows = dealt.repartition("key").sortWithinPartitions("key")
     return _mapped(sorted_rows, work, "a long, b long", sliced=False)
@@ -464,6 +514,16 @@ def _verified(pairs: DataFrame, kind: str, cosine: float) -> DataFrame:
     return _mapped(pairs, work, "u long, v long, u_copies long, v_copies long")
 
 
+def _sound(vector: str) -> Column:
+    """True for vectors of finite components that are not all zero.
+
+    Extremes are compiled, and NaN counts as the largest value; a function of each component is several times as slow.
+    """
+    low, high = F.array_min(vector), F.array_max(vector)
+    finite = ~F.isnan(high) & (high < float("inf")) & (low > float("-inf"))
+    return F.coalesce(finite & ((low != 0) | (high != 0)) & ~F.exists(vector, lambda x: x.isNull()), F.lit(False))
+
+
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors`` (``vec_id``, ``embedding``).
 
@@ -479,8 +539,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     the angle of a common centre are all linked and do not meet, so large groups of near copies are not compared.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
-    sound = usable("embedding") & F.exists("embedding", lambda x: x != 0) & F.col("vec_id").isNotNull()
-    rows = rows.withColumn("vector", F.when(sound, F.col("embedding")))
+    rows = rows.withColumn("vector", F.when(_sound("embedding") & F.col("vec_id").isNotNull(), F.col("embedding")))
     kind = "f4" if isinstance(rows.schema["embedding"].dataType.elementType, FloatType) else "f8"
     n, width = rows.agg(F.count("vector"), F.max(F.size("vector"))).first()
     width = max(width or 1, 1)
@@ -496,26 +555,22 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
         F.monotonically_increasing_id().alias("unit"), "vec_id", "copies", digest(1).alias("d1"), digest(2).alias("d2"), "vector"
     )
     units = stored(_coded(distinct, width, kind, plan), "near-vectors")
-    limit = max(PIECE * block, n * plan[1] * plan[2] // 10_000)
-    pieces = {bucket: -(-count // limit) for bucket, count in _large_buckets(units, plan, limit).items()}
     balls = Balls(_centres(units, n, width, kind, cosine), cosine, plan)
+    marked = stored(_marked(units, balls, kind, plan), "near-balls")
+    pieces = _pieces(marked, max(PIECE * block, n * plan[1] * plan[2] // 100_000))
 
     found = stored(_candidates(_dealt(units, balls, kind, pieces), cosine, pieces).distinct(), "near-pairs")
     ends = found.select(F.col("a").alias("unit")).union(found.select(F.col("b").alias("unit"))).distinct()
     ends = F.broadcast(ends) if ends.count() <= FEW_IDS else ends
     few = stored(units.select("unit", "vec_id", "copies", "vector").join(ends, "unit", "left_semi"), "near-ends")
-    pairs = found.join(
-        few.select(F.col("unit").alias("a"), F.col("vec_id").alias("u"), F.col("copies").alias("u_copies"), F.col("vector").alias("x")), "a"
-    ).join(
-        few.select(F.col("unit").alias("b"), F.col("vec_id").alias("v"), F.col("copies").alias("v_copies"), F.col("vector").alias("y")), "b"
-    )
+    pairs = found.join(few.toDF("a", "u", "u_copies", "x"), "a").join(few.toDF("b", "v", "v_copies", "y"), "b")
     links = _verified(pairs.select("u", "v", "u_copies", "v_copies", "x", "y"), kind, cosine)
     links = stored(
         links.select(F.col("u").alias("vec_id"), F.col("v_copies").alias("links"), F.col("v").alias("root"))
         .union(links.select("v", "u_copies", "u")), "near-links"
     )
     if len(balls.centres):
-        members = stored(_members(units, balls, kind), "near-balls")
+        members = marked.where(F.col("bucket").isNull()).select("vec_id", "copies", "ball")
         sums = members.groupBy("ball").agg(F.sum("copies").alias("total"), F.min("vec_id").alias("root"), F.count(F.lit(1)).alias("n"))
         inside = members.join(F.broadcast(sums.where(F.col("n") > 1)), "ball")
         links = links.union(inside.select("vec_id", (F.col("total") - F.col("copies")).alias("links"), "root"))

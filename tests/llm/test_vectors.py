@@ -192,7 +192,7 @@ def test_rows_of_a_large_bucket_leave_a_task_some_at_a_time(monkeypatch):
     })
     monkeypatch.setattr(near_vectors, "_mapped", lambda df, work, ddl: work)
     monkeypatch.setattr(near_vectors, "OUT_ROWS", 700)
-    out = list(near_vectors._dealt(Units(), none, "f4", {3: 40})(iter([batch])))
+    out = list(near_vectors._dealt(Units(), none, "f4", near_vectors.Pieces([(3, 0, 4_000)], 100))(iter([batch])))
     assert max(len(rows["key"]) for rows in out) <= 700
     keys, unit = (np.concatenate([rows[name] for rows in out]) for name in ("key", "unit"))
     assert len(keys) == 40 * n
@@ -206,6 +206,20 @@ def test_rows_of_a_large_bucket_leave_a_task_some_at_a_time(monkeypatch):
         assert sorted(units) == [i for i in range(n) if piece[i] in (low, high)]
 
 
+def test_pieces_of_a_large_ball_meet_others_only():
+    """A row of a ball with very many rows in a bucket isn't sent to all the pieces of that ball."""
+    pieces = near_vectors.Pieces([(3, 0, 150), (3, 2, 4_000), (3, 5, 250)], 100)
+    unit, ball = np.arange(6_000), np.repeat([0, 2, 5, 7], 1_500)
+    mine, total, start, out = pieces.of_rows(np.full(6_000, 3), ball, unit)
+    assert (total == 2 + 40 + 3).all()
+    for number, low, high, left_out in [(0, 0, 2, 0), (2, 2, 42, 40), (5, 42, 45, 3), (7, 0, 2, 0)]:
+        some = ball == number
+        assert set(mine[some].tolist()) == set(range(low, high))
+        assert (out[some] == left_out).all() and (start[some] == low).all()
+    mine, total, start, out = pieces.of_rows(np.full(5, 4), np.zeros(5, int), np.arange(5))
+    assert (total == 1).all() and not mine.any() and not out.any()
+
+
 def test_near_vectors_of_large_groups_and_what_lies_around(spark):
     rng = np.random.default_rng(11)
 
